@@ -24,4 +24,5 @@ def compose(key: str) -> str | None:
     if not found:
         return sql
     views = ",\n".join(f"{name} AS MATERIALIZED ({VIEWS[name].strip()})" for name in found)
-    return f"WITH {views}\n{sql.strip()}"
+    body = sql.strip()
+    return f"WITH {views},\n{body[5:]}" if body.startswith("WITH ") else f"WITH {views}\n{body}"

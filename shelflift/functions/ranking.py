@@ -21,12 +21,17 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 CUTS = 64
 
 
-def _bucketed(df: DataFrame, value: str, tie: str, by: Sequence[str], cuts: int) -> DataFrame:
+def _limits(df: DataFrame, value: str, tie: str, by: Sequence[str], cuts: int) -> DataFrame:
     probabilities = [i / cuts for i in range(1, cuts)]
-    limits = df.groupBy(*by).agg(
+    return df.groupBy(*by).agg(
         F.array_distinct(F.percentile_approx(F.col(value).cast("double"), probabilities, 10_000)).alias("_value_cuts"),
         F.array_distinct(F.percentile_approx(tie, probabilities, 10_000)).alias("_tie_cuts"),
     )
+
+
+def _bucketed(
+    df: DataFrame, limits: DataFrame, value: str, tie: str, by: Sequence[str], cuts: int
+) -> DataFrame:
     # One row of at most 2 * cuts numbers per group: the groups are campaigns, segments or a constant.
     limited = df.join(F.broadcast(limits), list(by))
     v = F.col(value).cast("double")
@@ -46,18 +51,29 @@ def running_total(
     out: str = "row_num",
     total: str = "group_rows",
     cuts: int = CUTS,
+    source: DataFrame | None = None,
 ) -> DataFrame:
     """Add the running sum of ``weight`` (default 1: the row number) in the order ``value, tie``.
 
     ``value`` and ``tie`` are numeric, not NULL and exact as doubles; ``tie`` is unique for equal values.
     ``by`` names grouping columns with few distinct values; groups may be of any size.
+
+    The rows are read three times (cuts, bucket sizes, result), so ``df`` should be a stored table. When
+    ranks are chained, pass the stored table as ``source``: cuts and sizes are then taken from it and only
+    the result is read through the chain.
     """
     keys = list(by) or ["_all"]
-    base = df if by else df.withColumn("_all", F.lit(0))
-    base = base.withColumn("_weight", F.lit(1).cast("bigint") if weight is None else weight)
-    rows = _bucketed(base, value, tie, keys, cuts)
 
-    buckets = rows.groupBy(*keys, "_bucket").agg(F.sum("_weight").alias("_size"))
+    def prepared(frame: DataFrame) -> DataFrame:
+        frame = frame if by else frame.withColumn("_all", F.lit(0))
+        return frame.withColumn("_weight", F.lit(1).cast("bigint") if weight is None else weight)
+
+    base = prepared(df if source is None else source)
+    limits = _limits(base, value, tie, keys, cuts)
+    rows = _bucketed(prepared(df), limits, value, tie, keys, cuts)
+
+    sized = rows if source is None else _bucketed(base, limits, value, tie, keys, cuts)
+    buckets = sized.groupBy(*keys, "_bucket").agg(F.sum("_weight").alias("_size"))
     before = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = buckets.select(
         *keys,
@@ -73,20 +89,23 @@ def running_total(
     )
 
 
-def ntile(df: DataFrame, tiles: int, value: str, tie: str, out: str, descending: bool = False) -> DataFrame:
+def ntile(
+    df: DataFrame, tiles: int, value: str, tie: str, out: str, descending: bool = False,
+    source: DataFrame | None = None,
+) -> DataFrame:
     """SQL NTILE over the whole frame: sizes differ by at most one and the first tiles get the extra rows."""
-    order = value
-    if descending:
-        order = "_descending"
-        df = df.withColumn(order, -F.col(value))
-    ranked = running_total(df, order, tie, out="_rn", total="_n")
+    order = F.col(value) * (-1 if descending else 1)
+    ranked = running_total(
+        df.withColumn("_order", order), "_order", tie, out="_rn", total="_n",
+        source=None if source is None else source.withColumn("_order", order),
+    )
     small = F.floor(F.col("_n") / tiles)
     extra = F.col("_n") % tiles
     in_large = extra * (small + 1)
     tile = F.when(
         F.col("_rn") <= in_large, F.floor((F.col("_rn") - 1) / (small + 1)) + 1
     ).otherwise(extra + F.floor((F.col("_rn") - 1 - in_large) / F.greatest(small, F.lit(1))) + 1)
-    return ranked.withColumn(out, tile.cast("int")).drop("_rn", "_n", "_descending")
+    return ranked.withColumn(out, tile.cast("int")).drop("_rn", "_n", "_order")
 
 
 def quantile_bin(row_num: Column, n: Column, bins: int) -> Column:

@@ -138,15 +138,15 @@ def busy_households(campaigns: DataFrame, targets: DataFrame, p: Params) -> Data
     )
 
 
-def did_panel(
-    daily: DataFrame, campaigns: DataFrame, targets: DataFrame, p: Params, comparison: str = NEVER
+def did_members(
+    spent: DataFrame, campaigns: DataFrame, targets: DataFrame, p: Params, comparison: str = NEVER
 ) -> DataFrame:
-    """Household-campaign rows with average weekly spend per period, change, and historical spend decile.
+    """Households of the panel: the targeted ones and the comparison group of each campaign.
 
-    ``comparison="never"`` compares with households that no campaign was ever sent to,
-    ``"other_times"`` with targeted households that had nothing running around this campaign.
+    ``spent`` is the result of :func:`campaign_spend`. ``comparison="never"`` compares with households that
+    no campaign was ever sent to, ``"other_times"`` with targeted households that had nothing running around
+    this campaign.
     """
-    spent = campaign_spend(daily, campaigns, p)
     treated = targets.select("household_key", "campaign").distinct().withColumn("is_treated", F.lit(1))
     ever = targets.select("household_key").distinct().withColumn("ever", F.lit(1))
     members = spent.join(ever, "household_key", "left").join(treated, ["household_key", "campaign"], "left")
@@ -159,32 +159,36 @@ def did_panel(
         )
     else:
         raise ValueError(f"unknown comparison: {comparison}")
+    return members.select(
+        "household_key", "campaign", F.coalesce("is_treated", F.lit(0)).alias("treated"),
+        "history", "earlier", "before", "during",
+    )
+
 
+def did_panel(members: DataFrame, campaigns: DataFrame, p: Params) -> DataFrame:
+    """Household-campaign rows with average weekly spend per period, change, and historical spend decile.
+
+    ``members`` is the result of :func:`did_members` and should be a stored table.
+    """
     starts = campaigns.select("campaign", "campaign_type", "start_day", "end_day")
     s, half = F.col("start_day"), p.before_days
     during_weeks = _weeks(_last_campaign_day(p) - s + 1)
     history_weeks = _weeks(F.greatest(s - (2 * half + 1), F.lit(0)))
-    panel = (
-        members.withColumn("treated", F.coalesce("is_treated", F.lit(0)))
-        .join(starts, "campaign")
-        .select(
-            "campaign", "campaign_type", "treated", "household_key",
-            during_weeks.alias("weeks"),
-            F.col("history").cast("double").alias("history_spend"),
-            ratio(F.col("history"), history_weeks).alias("history"),
-            (F.col("earlier").cast("double") / _weeks(F.lit(half))).alias("earlier"),
-            (F.col("before").cast("double") / _weeks(F.lit(half))).alias("before"),
-            (F.col("during").cast("double") / during_weeks).alias("during"),
-        )
-        .withColumns({
-            "change": F.col("during") - F.col("before"),
-            "pre_change": F.col("before") - F.col("earlier"),
-        })
-    )
-    return spend_decile(panel)
-
-
-def spend_decile(panel: DataFrame) -> DataFrame:
+    return spend_decile(members).join(starts, "campaign").select(
+        "campaign", "campaign_type", "treated", "household_key",
+        during_weeks.alias("weeks"),
+        ratio(F.col("history"), history_weeks).alias("history"),
+        (F.col("earlier").cast("double") / _weeks(F.lit(half))).alias("earlier"),
+        (F.col("before").cast("double") / _weeks(F.lit(half))).alias("before"),
+        (F.col("during").cast("double") / during_weeks).alias("during"),
+        "spend_decile",
+    ).withColumns({
+        "change": F.col("during") - F.col("before"),
+        "pre_change": F.col("before") - F.col("earlier"),
+    })
+
+
+def spend_decile(members: DataFrame) -> DataFrame:
     """Decile 0-9 of historical spend within each campaign.
 
     Equal histories are ordered treated first, then by household. Spend and average weekly spend have the
@@ -192,11 +196,9 @@ def spend_decile(panel: DataFrame) -> DataFrame:
     """
     untreated_last = (1 - F.col("treated")) * F.lit(1 << 40) + F.col("household_key")
     ranked = running_total(
-        panel.withColumn("_tie", untreated_last), "history_spend", "_tie", by=["campaign"], out="_rn", total="_n"
-    )
-    return ranked.withColumn("spend_decile", quantile_bin(F.col("_rn"), F.col("_n"), 10)).drop(
-        "_tie", "_rn", "_n", "history_spend"
+        members.withColumn("_tie", untreated_last), "history", "_tie", by=["campaign"], out="_rn", total="_n"
     )
+    return ranked.withColumn("spend_decile", quantile_bin(F.col("_rn"), F.col("_n"), 10)).drop("_tie", "_rn", "_n")
 
 
 def did_per_campaign(panel: DataFrame) -> DataFrame:

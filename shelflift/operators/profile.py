@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-Tables = dict[str, DataFrame]
+Tables = Mapping[str, DataFrame]
 
 # (check, table, key columns)
 KEYS = [

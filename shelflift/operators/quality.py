@@ -5,7 +5,7 @@ All checks on one table are conditional counts in a single aggregation, so a rep
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from shelflift.functions.columns import count_where
 from shelflift.schema import NO_COMMODITY
 
-Tables = dict[str, DataFrame]
+Tables = Mapping[str, DataFrame]
 
 
 def _slashed(*counts: Column) -> Column:

@@ -54,10 +54,10 @@ def recent_13w(trips: DataFrame, p: Params) -> DataFrame:
 
 
 def rfm_scores(base: DataFrame) -> DataFrame:
-    """Quintile scores 1-5 (5 is best); ties are ordered by household."""
+    """Quintile scores 1-5 (5 is best); ties are ordered by household. ``base`` should be a stored table."""
     scored = ntile(base, 5, "days_since_last", "household_key", "r_score", descending=True)
-    scored = ntile(scored, 5, "trips", "household_key", "f_score")
-    return ntile(scored, 5, "sales", "household_key", "m_score")
+    scored = ntile(scored, 5, "trips", "household_key", "f_score", source=base)
+    return ntile(scored, 5, "sales", "household_key", "m_score", source=base)
 
 
 def segment(r: Column, f: Column) -> Column:

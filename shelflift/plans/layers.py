@@ -1,12 +1,13 @@
 """The layer tables and what each is built from.
 
-``Layers`` wires the operators together. Without a store every table is a lazy DataFrame, so a query plans
-only what it needs. With a store, tables that several others read are written once and read back.
+``Layers`` wires the operators together. Without a store a table is a lazy DataFrame, so a query plans only
+what it needs; only pinned tables, which their readers go through several times, are written to the scratch
+folder first. With a store, all tables that others read are written once and read back.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +16,7 @@ from shelflift.operators import (
     bi, campaign, cannibal, clean, experiment, kpi, placebo, recommend, segments, uplift, weekly,
 )
 from shelflift.params import Params
-from shelflift.sources.tables import materialize
+from shelflift.sources.tables import materialize, scratch_path
 
 PAIR_KEYS = ("product_id", "store_id")
 
@@ -26,12 +27,13 @@ class Table:
     build: Callable[["Layers"], DataFrame]
     stored: bool = False
     cluster_by: tuple[str, ...] = ()
+    pinned: bool = False
 
 
 class Layers:
     """Tables by name, each built from the raw tables or from other tables."""
 
-    def __init__(self, raw: dict[str, DataFrame], params: Params = Params(), store: str | None = None):
+    def __init__(self, raw: Mapping[str, DataFrame], params: Params = Params(), store: str | None = None):
         self.raw, self.p, self.store = raw, params, store.rstrip("/") if store else None
         self._cache: dict[str, DataFrame] = {}
 
@@ -48,6 +50,8 @@ class Layers:
             df = table.build(self)
             if self.store and table.stored:
                 df = materialize(df, self.path(name), cluster_by=table.cluster_by)
+            elif table.pinned:
+                df = materialize(df, scratch_path(df.sparkSession, name))
             self._cache[name] = df
         return self._cache[name]
 
@@ -57,8 +61,9 @@ class Layers:
         return self._cache[name]
 
 
-def _panel(design: str) -> Callable[[Layers], DataFrame]:
-    return lambda L: campaign.did_panel(L["daily_spend"], L["campaigns"], L.raw["campaign_table"], L.p, design)
+def _members(design: str) -> Callable[[Layers], DataFrame]:
+    return lambda L: campaign.did_members(
+        L["campaign_spend"], L["campaigns"], L.raw["campaign_table"], L.p, design)
 
 
 def _campaign_results(L: Layers) -> DataFrame:
@@ -93,7 +98,7 @@ TABLES: dict[str, Table] = {
     "baseline": Table("analysis", lambda L: uplift.baseline(L["pair_timeline"], L.p)),
     "promo_week_uplift": Table("analysis", lambda L: uplift.promo_week_uplift(L["pair_timeline"], L.p), True),
     "pull_forward": Table("analysis", lambda L: uplift.pull_forward(L["promo_week_uplift"])),
-    "uplift_summary": Table("analysis", lambda L: uplift.uplift_summary(L["promo_week_uplift"], L.p), True),
+    "uplift_summary": Table("analysis", lambda L: uplift.uplift_summary(L["promo_week_uplift"], L.p), True, pinned=True),
     "uplift_by_type_share": Table("analysis", lambda L: uplift.uplift_by_type_share(L["uplift_summary"])),
     "uplift_additivity": Table("analysis", lambda L: uplift.uplift_additivity(L["uplift_summary"])),
     "placement_labels": Table("analysis", lambda L: uplift.placement_labels(L["uplift_summary"])),
@@ -106,7 +111,7 @@ TABLES: dict[str, Table] = {
     "subcat_weeks": Table("analysis", lambda L: cannibal.subcat_weeks(L["pair_timeline"], L.p), True),
     "subcat_baseline": Table("analysis", lambda L: cannibal.subcat_baseline(L["subcat_weeks"], L.p)),
     "cannibalisation_summary": Table("analysis", lambda L: cannibal.cannibalisation_summary(
-        L["subcat_weeks"], L["promoted_product_weeks"], L.p), True),
+        L["subcat_weeks"], L["promoted_product_weeks"], L.p), True, pinned=True),
     "cannibalisation_report": Table("analysis", lambda L: cannibal.cannibalisation_report(
         L["cannibalisation_summary"], L.p)),
     "cannibalised_share": Table("analysis", lambda L: cannibal.cannibalised_share(L["cannibalisation_summary"])),
@@ -118,8 +123,14 @@ TABLES: dict[str, Table] = {
     "campaign_reach_response": Table("analysis", lambda L: campaign.campaign_reach_response(
         L["campaigns"], L.raw["campaign_table"], L.raw["coupon_redempt"], L.p)),
     "campaign_overview": Table("analysis", lambda L: campaign.campaign_overview(L["campaign_reach_response"])),
-    "did_panel_never": Table("analysis", _panel(campaign.NEVER), True),
-    "did_panel_other_times": Table("analysis", _panel(campaign.OTHER_TIMES), True),
+    "campaign_spend": Table("analysis", lambda L: campaign.campaign_spend(
+        L["daily_spend"], L["campaigns"], L.p), True),
+    "did_members_never": Table("analysis", _members(campaign.NEVER), True, pinned=True),
+    "did_members_other": Table("analysis", _members(campaign.OTHER_TIMES), True, pinned=True),
+    "did_panel_never": Table("analysis", lambda L: campaign.did_panel(
+        L["did_members_never"], L["campaigns"], L.p), True, pinned=True),
+    "did_panel_other_times": Table("analysis", lambda L: campaign.did_panel(
+        L["did_members_other"], L["campaigns"], L.p), True, pinned=True),
     "did_per_campaign": Table("analysis", lambda L: campaign.did_per_campaign(L["did_panel_never"])),
     "did_never": Table("analysis", lambda L: campaign.did_by_type(L["did_panel_never"], L.p), True),
     "did_other": Table("analysis", lambda L: campaign.did_by_type(L["did_panel_other_times"], L.p), True),
@@ -131,13 +142,13 @@ TABLES: dict[str, Table] = {
         L["daily_spend"], L["campaigns"], L["did_panel_never"], L.p)),
     "campaign_did": Table("analysis", _campaign_results, True),
     # segments
-    "rfm_base": Table("analysis", lambda L: segments.rfm_base(L["baskets"], L.p), True),
+    "rfm_base": Table("analysis", lambda L: segments.rfm_base(L["baskets"], L.p), True, pinned=True),
     "trip_gaps": Table("analysis", lambda L: segments.trip_gaps(L["baskets"])),
     "gap_stats": Table("analysis", lambda L: segments.gap_stats(L["trip_gaps"])),
     "recent_13w": Table("analysis", lambda L: segments.recent_13w(L["baskets"], L.p)),
     "rfm_scores": Table("analysis", lambda L: segments.rfm_scores(L["rfm_base"])),
     "household_rfm": Table("analysis", lambda L: segments.household_rfm(
-        L["rfm_scores"], L["gap_stats"], L["recent_13w"], L.p), True),
+        L["rfm_scores"], L["gap_stats"], L["recent_13w"], L.p), True, pinned=True),
     "rfm_segment_summary": Table("analysis", lambda L: segments.rfm_segment_summary(L["household_rfm"])),
     "churn_flags": Table("analysis", lambda L: segments.churn_flags(L["household_rfm"])),
     "churn_backtest": Table("analysis", lambda L: segments.churn_backtest(L["baskets"], L.p)),
@@ -150,7 +161,7 @@ TABLES: dict[str, Table] = {
     "dim_week": Table("bi", lambda L: bi.dim_week(L["baskets"], L.p), True),
     "fact_baskets": Table("bi", lambda L: bi.fact_baskets(L["baskets"]), True, ("week_no",)),
     "fact_category_week": Table("bi", lambda L: bi.fact_category_week(L["weekly_category_sales"]), True, ("week_no",)),
-    "dim_household": Table("bi", lambda L: bi.dim_household(L["household_rfm"], L["households"]), True),
+    "dim_household": Table("bi", lambda L: bi.dim_household(L["household_rfm"], L["households"]), True, pinned=True),
     "bi_promo_uplift": Table("bi", lambda L: uplift.bi_promo_uplift(L["uplift_summary"]), True),
     "bi_promo_cannibalisation": Table("bi", lambda L: cannibal.bi_promo_cannibalisation(
         L["cannibalisation_summary"]), True),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import argparse
+from collections.abc import Mapping
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -15,11 +16,15 @@ from shelflift.sources.report import report_sheets, write_report
 
 REPORT_INPUTS = ("dim_week", "fact_baskets", "fact_category_week")
 CAMPAIGN_RESULTS = "campaign_did"
+CAMPAIGN_STEPS = {
+    "campaign_spend", "did_members_never", "did_members_other", "did_panel_never", "did_panel_other_times",
+    "did_never", "did_other", "pretrend_never", "pretrend_other",
+}
 
 
 def rebuild_all(
     spark: SparkSession,
-    raw: dict[str, DataFrame],
+    raw: Mapping[str, DataFrame],
     out: str,
     params: Params = Params(),
     week: int | None = None,
@@ -41,8 +46,7 @@ def rebuild_all(
                 layers.reuse(spark, CAMPAIGN_RESULTS)
             except AnalysisException as missing:
                 raise RuntimeError("there are no stored campaign results; rebuild them first") from missing
-        skip = {"did_panel_never", "did_panel_other_times", "did_never", "did_other", "pretrend_never",
-                "pretrend_other"} if reuse_campaigns else set()
+        skip = CAMPAIGN_STEPS if reuse_campaigns else set()
         for name, table in TABLES.items():
             if table.stored and name not in skip:
                 layers[name]

@@ -6,6 +6,8 @@ so that another engine can derive identical rows. See FIXTURES.md for the defini
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from shelflift.schema import SOURCE_TABLES
@@ -175,21 +177,36 @@ def hh_demographic(customer: DataFrame) -> DataFrame:
     return _conform(rows, "hh_demographic")
 
 
-def retail_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The eight source tables for one data folder."""
-    def read(name: str) -> DataFrame:
-        return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-
-    lineitem, orders, part = read("lineitem"), read("orders"), read("part")
-    campaigns = campaign_desc(read("nation"))
-    targets = campaign_table(orders)
-    return {
-        "transaction_data": transaction_data(lineitem, orders),
-        "product": product(part),
-        "hh_demographic": hh_demographic(read("customer")),
-        "campaign_table": targets,
-        "campaign_desc": campaigns,
-        "coupon": coupon(part),
-        "coupon_redempt": coupon_redempt(targets, campaigns),
-        "causal_data": causal_data(lineitem),
-    }
+class RetailTables(Mapping):
+    """The eight source tables of one data folder, each built when it is first asked for."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        def read(name: str) -> DataFrame:
+            return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+        self._build = {
+            "transaction_data": lambda: transaction_data(read("lineitem"), read("orders")),
+            "product": lambda: product(read("part")),
+            "hh_demographic": lambda: hh_demographic(read("customer")),
+            "campaign_table": lambda: campaign_table(read("orders")),
+            "campaign_desc": lambda: campaign_desc(read("nation")),
+            "coupon": lambda: coupon(read("part")),
+            "coupon_redempt": lambda: coupon_redempt(self["campaign_table"], self["campaign_desc"]),
+            "causal_data": lambda: causal_data(read("lineitem")),
+        }
+        self._built: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = self._build[name]()
+        return self._built[name]
+
+    def __iter__(self):
+        return iter(self._build)
+
+    def __len__(self) -> int:
+        return len(self._build)
+
+
+def retail_tables(spark: SparkSession, sf_dir: str) -> Mapping[str, DataFrame]:
+    return RetailTables(spark, sf_dir)
