@@ -113,11 +113,11 @@ def subcat_baseline(weeks: DataFrame, p: Params, missing_baseline: str = "null")
     )
 
 
-def cannibalisation_summary(
-    weeks: DataFrame, promoted: DataFrame, p: Params, missing_baseline: str = "null"
-) -> DataFrame:
+def cannibalisation_summary(weeks: DataFrame, p: Params, missing_baseline: str = "null") -> DataFrame:
     """Promoted extra sales against the growth of the whole sub-category, at three levels.
 
+    ``weeks`` is the result of :func:`subcat_weeks` and should be a stored table; its promoted extra sales add
+    up to those of all promoted products, measured or not.
     The baseline of a sub-category-store comes from a window over its at most ``tracked_weeks`` rows. The
     range is built from sub-category-store totals because their weeks share one baseline.
     """
@@ -150,7 +150,7 @@ def cannibalisation_summary(
             F.sum("category_extra").alias("category"),
         )
     )
-    all_extra = promoted.agg(F.sum("extra")).scalar()
+    all_extra = weeks.agg(F.sum("promoted_extra")).scalar()
     own, whole = F.sum("promoted"), F.sum("category")
     summary = per_pair.groupBy("level", "grp").agg(
         F.sum("weeks").alias("subcat_store_weeks"),

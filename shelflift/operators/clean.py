@@ -44,16 +44,29 @@ def clean_transactions(tx: DataFrame, product: DataFrame) -> DataFrame:
     )
 
 
+def _code_number(name: str) -> Column:
+    """A one-character placement code as a number of the same order; other texts fail the job."""
+    code = F.col(name)
+    too_long = F.raise_error(F.concat(F.lit(f"{name} is not a one-character code: "), code)).cast("int")
+    return F.when(F.length(code) <= 1, F.ascii(code)).when(code.isNotNull(), too_long)
+
+
 def clean_promotions(causal: DataFrame) -> DataFrame:
-    """One row per product, store and week. Codes compare as text, so any placement wins over '0'."""
-    return (
-        causal.groupBy("product_id", "store_id", "week_no")
-        .agg(F.max("display").alias("display"), F.max("mailer").alias("mailer"))
-        .withColumns({
-            "on_display": F.col("display") != NOT_PLACED,
-            "in_mailer": F.col("mailer") != NOT_PLACED,
-        })
+    """One row per product, store and week. Codes compare as text, so any placement wins over '0'.
+
+    The codes are compared as numbers: a maximum of text would make Spark sort this, the largest table,
+    on both sides of the shuffle instead of hashing it.
+    """
+    codes = {"display": _code_number("display"), "mailer": _code_number("mailer")}
+    best = causal.groupBy("product_id", "store_id", "week_no").agg(
+        *[F.max(number).alias(name) for name, number in codes.items()]
     )
+    return best.withColumns({
+        name: F.when(F.col(name) == 0, "").otherwise(F.char(F.col(name))) for name in codes
+    }).withColumns({
+        "on_display": F.col("display") != NOT_PLACED,
+        "in_mailer": F.col("mailer") != NOT_PLACED,
+    })
 
 
 def promo_stores(promotions: DataFrame) -> DataFrame:

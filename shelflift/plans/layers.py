@@ -81,7 +81,7 @@ TABLES: dict[str, Table] = {
     "promo_stores": Table("clean", lambda L: clean.promo_stores(L["promotions"]), True),
     "weekly_product_store_sales": Table("clean", lambda L: clean.weekly_product_store_sales(
         L.raw["transaction_data"], L.raw["product"], L["promotions"], L["promo_stores"], L.p),
-        True, (*PAIR_KEYS, "week_no")),
+        True, (*PAIR_KEYS, "week_no"), pinned=True),
     "weekly_category_sales": Table("clean", lambda L: clean.weekly_category_sales(L["transactions"]), True),
     "baskets": Table("clean", lambda L: clean.baskets(L["transactions"]), True, ("household_key", "day")),
     "households": Table("clean", lambda L: clean.households(
@@ -89,7 +89,8 @@ TABLES: dict[str, Table] = {
     "coupons": Table("clean", lambda L: clean.clean_coupons(L.raw["coupon"])),
     "campaigns": Table("clean", lambda L: clean.campaigns(L.raw["campaign_desc"], L.raw["campaign_table"])),
     # uplift
-    "season_index": Table("analysis", lambda L: uplift.season_index(L["weekly_product_store_sales"], L.p), True),
+    "season_index": Table("analysis", lambda L: uplift.season_index(L["weekly_product_store_sales"], L.p), True,
+        pinned=True),
     "ps_weeks": Table("analysis", lambda L: uplift.ps_weeks(L["weekly_product_store_sales"], L["season_index"])),
     "timeline": Table("analysis", lambda L: uplift.promotion_timeline(L["ps_weeks"], L["promotions"], L.p)),
     "pair_timeline": Table("analysis", lambda L: uplift.pair_timeline(L["timeline"], L.p), True, (*PAIR_KEYS, "week_no")),
@@ -108,10 +109,11 @@ TABLES: dict[str, Table] = {
     # cannibalisation
     "ps_all_baseline": Table("analysis", lambda L: cannibal.ps_all_baseline(L["pair_timeline"], L.p)),
     "promoted_product_weeks": Table("analysis", lambda L: cannibal.promoted_product_weeks(L["pair_timeline"], L.p)),
-    "subcat_weeks": Table("analysis", lambda L: cannibal.subcat_weeks(L["pair_timeline"], L.p), True),
+    "subcat_weeks": Table("analysis", lambda L: cannibal.subcat_weeks(L["pair_timeline"], L.p), True,
+        pinned=True),
     "subcat_baseline": Table("analysis", lambda L: cannibal.subcat_baseline(L["subcat_weeks"], L.p)),
     "cannibalisation_summary": Table("analysis", lambda L: cannibal.cannibalisation_summary(
-        L["subcat_weeks"], L["promoted_product_weeks"], L.p), True, pinned=True),
+        L["subcat_weeks"], L.p), True, pinned=True),
     "cannibalisation_report": Table("analysis", lambda L: cannibal.cannibalisation_report(
         L["cannibalisation_summary"], L.p)),
     "cannibalised_share": Table("analysis", lambda L: cannibal.cannibalised_share(L["cannibalisation_summary"])),
