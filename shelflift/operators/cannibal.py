@@ -90,8 +90,11 @@ def subcat_weeks(pairs: DataFrame, p: Params) -> DataFrame:
     )
 
 
-def _normal_sales(missing_baseline: str):
-    normal = sum_where(~F.col("promo_week"), F.col("total_sales"))
+def _normal_sales():
+    return sum_where(~F.col("promo_week"), F.col("total_sales"))
+
+
+def _filled(normal, missing_baseline: str):
     return F.coalesce(normal, F.lit(0.0)) if missing_baseline == "zero" else normal
 
 
@@ -104,11 +107,11 @@ def subcat_baseline(weeks: DataFrame, p: Params, missing_baseline: str = "null")
     normal_weeks = p.tracked_weeks - F.col("promo_weeks")
     return (
         weeks.groupBy(*SUBCAT_STORE)
-        .agg(count_where(F.col("promo_week")).alias("promo_weeks"), _normal_sales(missing_baseline).alias("normal"))
+        .agg(count_where(F.col("promo_week")).alias("promo_weeks"), _normal_sales().alias("normal"))
         .where(normal_weeks >= p.min_normal_weeks)
         .select(
             *SUBCAT_STORE, "promo_weeks", normal_weeks.alias("normal_weeks"),
-            (F.col("normal") / normal_weeks).alias("baseline_weekly"),
+            (_filled(F.col("normal"), missing_baseline) / normal_weeks).alias("baseline_weekly"),
         )
     )
 
@@ -127,10 +130,10 @@ def cannibalisation_summary(weeks: DataFrame, p: Params, missing_baseline: str =
         weeks.where(F.col("department").isNotNull() & F.col("sub_commodity_desc").isNotNull())
         .withColumns({
             "n_promo": F.count_if("promo_week").over(place),
-            "normal": _normal_sales(missing_baseline).over(place),
+            "normal": _normal_sales().over(place),
         })
         .where(F.col("promo_week") & (normal_weeks >= p.min_normal_weeks))
-        .withColumn("category_extra", F.col("total_sales") - F.col("normal") / normal_weeks)
+        .withColumn("category_extra", F.col("total_sales") - _filled(F.col("normal"), missing_baseline) / normal_weeks)
     )
 
     def tag(level: str, group):
