@@ -558,3 +558,24 @@ UNION ALL SELECT 'Departments', count(DISTINCT department) FROM v_categories
 UNION ALL SELECT 'Categories', count(*) FROM v_categories
 UNION ALL SELECT 'Rising', least(count(*), 10) FROM v_categories WHERE avg4 >= 100 AND this > avg4
 UNION ALL SELECT 'Falling', least(count(*), 10) FROM v_categories WHERE avg4 >= 100 AND this < avg4"""
+_STORED = {
+    "promotions": "v_promos", "promo_stores": "(SELECT DISTINCT store_id FROM v_promos)",
+    "weekly_product_store_sales": "v_weekly", "weekly_category_sales": "v_category", "baskets": "v_trips",
+    "households": "v_homes", "season_index": "v_season",
+    "pair_timeline": "(SELECT product_id, store_id, week_no FROM v_psweeks UNION SELECT product_id, store_id, week_no "
+                     "FROM v_active) SEMI JOIN v_pairs USING (product_id, store_id)",
+    "promo_week_uplift": "v_uplift", "uplift_summary": "v_summary", "subcat_weeks": "v_subweeks",
+    "cannibalisation_summary": "v_cannibal", "daily_spend": "(SELECT DISTINCT household_key, day FROM v_trips)",
+    "campaign_spend": "v_periods", "did_members_never": "v_panel_never", "did_members_other": "v_panel_other",
+    "did_panel_never": "v_panel_never", "did_panel_other_times": "v_panel_other",
+    "did_never": "(SELECT DISTINCT campaign_type FROM v_panel_never)",
+    "did_other": "(SELECT DISTINCT campaign_type FROM v_panel_other)",
+    "pretrend_never": "(SELECT DISTINCT campaign_type FROM v_panel_never)",
+    "pretrend_other": "(SELECT DISTINCT campaign_type FROM v_panel_other)",
+    "campaign_did": _VIEW_ROWS["campaign_results"], "rfm_base": "v_scores", "household_rfm": "v_rfm",
+    "dim_week": "v_week", "fact_baskets": "v_trips", "fact_category_week": "v_category", "dim_household": "v_dimhome",
+    "bi_promo_uplift": _VIEW_ROWS["promo_uplift"], "bi_promo_cannibalisation": _VIEW_ROWS["promo_cannibalisation"],
+    "bi_campaign_results": _VIEW_ROWS["campaign_results"],
+}
+RESULTS["rebuild_all"] = " UNION ALL ".join(
+    f"SELECT '{n}' AS table_name, count(*) AS row_count FROM {v}" for n, v in _STORED.items())

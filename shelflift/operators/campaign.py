@@ -4,14 +4,14 @@ Every campaign splits the calendar into four periods: history, earlier (the 8 we
 before (the 8 weeks before the start) and during. Trips are first summed per household and day, which bounds a
 household to one row per calendar day however often it shops. The periods are expanded to days, so that all
 campaigns and periods are served by one equality join, and because the daily rows are partitioned by
-household, the expanded rows are summed where they are and not shuffled.
+household before it, the expanded rows are summed where they are and not shuffled.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from shelflift.functions.columns import ratio, sum_where
 from shelflift.functions.distributions import student_two_sided_p
@@ -26,12 +26,8 @@ DESIGN_NAMES = {NEVER: "Never targeted", OTHER_TIMES: "Targeted at other times"}
 
 
 def daily_spend(trips: DataFrame) -> DataFrame:
-    """Spend per household and shopping day, partitioned by household."""
-    return (
-        trips.groupBy("household_key", "day")
-        .agg(F.sum("basket_value").alias("spend"))
-        .repartition("household_key")
-    )
+    """Spend per household and shopping day."""
+    return trips.groupBy("household_key", "day").agg(F.sum("basket_value").alias("spend"))
 
 
 def never_targeted(trips: DataFrame, targets: DataFrame) -> DataFrame:
@@ -109,7 +105,8 @@ def campaign_days(campaigns: DataFrame, p: Params) -> DataFrame:
 
 def campaign_spend(daily: DataFrame, campaigns: DataFrame, p: Params) -> DataFrame:
     """Spend per household, campaign and period, for households that shopped in the 8 weeks before."""
-    spent = daily.join(campaign_days(campaigns, p), "day").groupBy("household_key", "campaign").agg(*[
+    by_household = daily.repartition("household_key")
+    spent = by_household.join(campaign_days(campaigns, p), "day").groupBy("household_key", "campaign").agg(*[
         F.coalesce(sum_where(F.col("period") == name, F.col("spend")), F.lit(0).cast("decimal(38,2)")).alias(name)
         for name in ("history", "earlier", "before", "during")
     ])
@@ -282,7 +279,8 @@ def event_study(daily: DataFrame, campaigns: DataFrame, panel: DataFrame, p: Par
         F.explode(F.sequence(F.col("start_day") - 7 * w, F.col("start_day") + 7 * w + 6)).alias("day"),
     ).select("campaign", "day", F.floor((F.col("day") - F.col("start_day")) / 7).cast("int").alias("rel_week"))
     weekly = (
-        daily.join(start_days, "day")
+        daily.repartition("household_key")
+        .join(start_days, "day")
         .groupBy("household_key", "campaign", "rel_week")
         .agg(F.sum("spend").alias("spend"))
     )
@@ -298,8 +296,8 @@ def event_study(daily: DataFrame, campaigns: DataFrame, panel: DataFrame, p: Par
     zero = F.lit(0).cast("decimal(38,2)")
     gap = ratio(F.coalesce("s1", zero), F.col("n1")) - ratio(F.coalesce("s0", zero), F.col("n0"))
     gaps = grid.join(sums, ["campaign", "rel_week"], "left").withColumn("raw_gap", gap)
-    centre = gaps.where(F.col("rel_week") < 0).groupBy("campaign").agg(F.avg("raw_gap").alias("centre"))
-    centred = gaps.join(centre, "campaign").withColumn("gap", F.col("raw_gap") - F.col("centre"))
+    before = F.avg(F.when(F.col("rel_week") < 0, F.col("raw_gap"))).over(Window.partitionBy("campaign"))
+    centred = gaps.withColumn("gap", F.col("raw_gap") - before)
     return centred.groupBy("campaign_type", "rel_week").agg(
         ratio(F.sum(F.col("gap") * F.col("n1")), F.sum("n1")).alias("gap")
     )

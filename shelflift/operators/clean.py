@@ -183,9 +183,12 @@ def clean_reconciliation(
 ) -> DataFrame:
     """What cleaning removed: rows, sales, baskets and households before and after."""
     def purchases(df: DataFrame, layer: str, amount: str) -> DataFrame:
-        return df.agg(
-            F.count(F.lit(1)).alias("rows"),
-            F.round(F.sum(amount), 0).cast("double").alias("sales"),
+        # Several distinct counts multiply their input rows, so lines are summed per trip first.
+        per_trip = df.groupBy("basket_id", "household_key").agg(
+            F.count(F.lit(1)).alias("n"), F.sum(amount).alias("amount"))
+        return per_trip.agg(
+            F.sum("n").alias("rows"),
+            F.round(F.sum("amount"), 0).cast("double").alias("sales"),
             F.countDistinct("basket_id").alias("baskets"),
             F.countDistinct("household_key").alias("households"),
         ).select(F.lit(layer).alias("layer"), "*")

@@ -12,16 +12,23 @@ from shelflift.schema import CANNIBAL_TYPE, LEVEL_TYPE
 
 
 def kpi_sales_tree(tx: DataFrame) -> DataFrame:
-    """Sales = households x trips per household x spend per trip, with the covered range."""
-    return tx.agg(
-        F.sum("sales_value").cast("double").alias("sales"),
+    """Sales = households x trips per household x spend per trip, with the covered range.
+
+    Several distinct counts multiply their input rows, so purchases are summed per trip first.
+    """
+    per_trip = tx.groupBy("basket_id", "household_key", "store_id").agg(
+        F.sum("sales_value").alias("sales"),
+        *[fn(c).alias(f"{name}_{c}") for c in ("day", "week_no") for name, fn in (("min", F.min), ("max", F.max))],
+    )
+    return per_trip.agg(
+        F.sum("sales").cast("double").alias("sales"),
         F.countDistinct("household_key").alias("households"),
         F.countDistinct("basket_id").alias("trips"),
         F.countDistinct("store_id").alias("stores"),
-        F.min("day").alias("first_day"),
-        F.max("day").alias("last_day"),
-        F.min("week_no").alias("first_week"),
-        F.max("week_no").alias("last_week"),
+        F.min("min_day").alias("first_day"),
+        F.max("max_day").alias("last_day"),
+        F.min("min_week_no").alias("first_week"),
+        F.max("max_week_no").alias("last_week"),
     ).withColumns({
         "trips_per_household": ratio(F.col("trips"), F.col("households")),
         "spend_per_trip": ratio(F.col("sales"), F.col("trips")),
@@ -71,7 +78,9 @@ def kpi_discount_describe(tx: DataFrame, columns=("retail_disc", "coupon_disc"))
     return reduce(DataFrame.unionByName, rows)
 
 
-def kpi_campaign_reach(tx: DataFrame, campaign_desc: DataFrame, targets: DataFrame, demographics: DataFrame) -> DataFrame:
+def kpi_campaign_reach(
+    tx: DataFrame, campaign_desc: DataFrame, targets: DataFrame, demographics: DataFrame
+) -> DataFrame:
     """Campaigns per type, and the households reached and described."""
     shoppers = tx.agg(F.countDistinct("household_key")).scalar()
     reached = targets.agg(F.countDistinct("household_key")).scalar()

@@ -33,7 +33,7 @@ def _changes() -> dict[str, Column]:
 
 def weekly_category_report(category_weeks: DataFrame, week: Column) -> DataFrame:
     """Sales of the week against last week, the last four weeks and last year, per category."""
-    span = category_weeks.withColumn("ago", week - F.col("week_no")).where(F.col("ago").between(0, 52))
+    span = category_weeks.where(F.col("week_no").between(week - 52, week)).withColumn("ago", week - F.col("week_no"))
     ago = F.col("ago")
 
     def sales(cond: Column) -> Column:
@@ -66,7 +66,7 @@ def weekly_department_report(categories: DataFrame) -> DataFrame:
 
 def weekly_headline(trips: DataFrame, week: Column) -> DataFrame:
     """Sales, households, trips and basket value: the week against the week before."""
-    near = trips.withColumn("ago", week - F.col("week_no")).where(F.col("ago").between(0, 1))
+    near = trips.where(F.col("week_no").between(week - 1, week)).withColumn("ago", week - F.col("week_no"))
     per_week = near.groupBy("ago").agg(
         F.sum("basket_value").cast("double").alias("sales"),
         F.countDistinct("household_key").cast("double").alias("households"),

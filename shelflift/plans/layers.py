@@ -18,8 +18,6 @@ from shelflift.operators import (
 from shelflift.params import Params
 from shelflift.sources.tables import materialize, scratch_path
 
-PAIR_KEYS = ("product_id", "store_id")
-
 
 @dataclass(frozen=True)
 class Table:
@@ -77,13 +75,13 @@ def _campaign_results(L: Layers) -> DataFrame:
 TABLES: dict[str, Table] = {
     # clean
     "transactions": Table("clean", lambda L: clean.clean_transactions(L.raw["transaction_data"], L.raw["product"])),
-    "promotions": Table("clean", lambda L: clean.clean_promotions(L.raw["causal_data"]), True, (*PAIR_KEYS, "week_no")),
+    "promotions": Table("clean", lambda L: clean.clean_promotions(L.raw["causal_data"]), True, pinned=True),
     "promo_stores": Table("clean", lambda L: clean.promo_stores(L["promotions"]), True),
     "weekly_product_store_sales": Table("clean", lambda L: clean.weekly_product_store_sales(
         L.raw["transaction_data"], L.raw["product"], L["promotions"], L["promo_stores"], L.p),
-        True, (*PAIR_KEYS, "week_no"), pinned=True),
+        True, pinned=True),
     "weekly_category_sales": Table("clean", lambda L: clean.weekly_category_sales(L["transactions"]), True),
-    "baskets": Table("clean", lambda L: clean.baskets(L["transactions"]), True, ("household_key", "day")),
+    "baskets": Table("clean", lambda L: clean.baskets(L["transactions"]), True),
     "households": Table("clean", lambda L: clean.households(
         L["baskets"], L.raw["campaign_table"], L.raw["coupon_redempt"], L.raw["hh_demographic"]), True),
     "coupons": Table("clean", lambda L: clean.clean_coupons(L.raw["coupon"])),
@@ -93,7 +91,7 @@ TABLES: dict[str, Table] = {
         pinned=True),
     "ps_weeks": Table("analysis", lambda L: uplift.ps_weeks(L["weekly_product_store_sales"], L["season_index"])),
     "timeline": Table("analysis", lambda L: uplift.promotion_timeline(L["ps_weeks"], L["promotions"], L.p)),
-    "pair_timeline": Table("analysis", lambda L: uplift.pair_timeline(L["timeline"], L.p), True, (*PAIR_KEYS, "week_no")),
+    "pair_timeline": Table("analysis", lambda L: uplift.pair_timeline(L["timeline"], L.p), True),
     "ps_candidates": Table("analysis", lambda L: uplift.ps_candidates(L["ps_weeks"], L.p)),
     "promo_weeks": Table("analysis", lambda L: uplift.promo_weeks(L["pair_timeline"], L.p)),
     "baseline": Table("analysis", lambda L: uplift.baseline(L["pair_timeline"], L.p)),
@@ -120,7 +118,7 @@ TABLES: dict[str, Table] = {
     "cannibalised_by_department": Table("analysis", lambda L: cannibal.cannibalised_by_department(
         L["cannibalisation_summary"], L.p)),
     # campaigns
-    "daily_spend": Table("analysis", lambda L: campaign.daily_spend(L["baskets"])),
+    "daily_spend": Table("analysis", lambda L: campaign.daily_spend(L["baskets"]), True, pinned=True),
     "never_targeted": Table("analysis", lambda L: campaign.never_targeted(L["baskets"], L.raw["campaign_table"])),
     "campaign_reach_response": Table("analysis", lambda L: campaign.campaign_reach_response(
         L["campaigns"], L.raw["campaign_table"], L.raw["coupon_redempt"], L.p)),

@@ -36,5 +36,4 @@ def test_query_equals_sql(spark, con, name):
 
 def test_every_query_has_sql_but_the_regressions():
     without = set(entry.queries()) - set(entry.oracle_sql())
-    assert without == {"did_by_type", "pretrend_by_type", "did_summary", "campaign_results", "bi_campaign_results",
-                       "rebuild_all"}
+    assert without == {"did_by_type", "pretrend_by_type", "did_summary", "campaign_results", "bi_campaign_results"}
