@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shelflift.llm import secret_entropy, warc_store
-from shelflift.llm.common import span_text, table
+from shelflift.llm import secret_entropy, simhash_trie, warc_store
+from shelflift.llm.common import pin, span_text, table
 
 
 def op5_warc_store(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,9 +26,16 @@ def op9_secret_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_simhash_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fps = pin(simhash_trie.fingerprints(table(spark, sf_dir, "documents"), words=4), "fingerprints")
+    return simhash_trie.near_duplicates(fps, bits=4).select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_warc_store": op5_warc_store,
     "op9_secret_entropy": op9_secret_entropy,
+    "op10_simhash_trie": op10_simhash_trie,
 }
 
 _LETTER = "substr('" + warc_store.BASE32 + "', 1 + ((('0x' || substr(sha1(html), 5*i + 1, 5))::INT >> s) & 31), 1)"
