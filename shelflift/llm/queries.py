@@ -6,10 +6,25 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shelflift.llm import secret_entropy, simhash_trie, warc_store
+from shelflift.llm import pii_votes, secret_entropy, simhash_trie, warc_store
 from shelflift.llm.common import pin, span_text, table
 
 
+def op2_pii_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii_votes.personal_data(table(spark, sf_dir, "documents").select("doc_id", "text"), pin=_without_text)
+    ordered = lambda spans: secret_entropy.in_order(spans, pii_votes.KINDS, by_kind_first=True)
+    return found.select(
+        "doc_id",
+        *[F.size(F.filter(F.col("base")["kind"], lambda x: x == k)).cast("long").alias(f"n_{k}") for k in pii_votes.KINDS],
+        F.sha2(span_text(ordered(F.col("base"))), 256).alias("base_sha256"),
+        span_text(ordered(F.concat("base", "added"))).alias("spans"),
+    )
+
+
+def _without_text(found: DataFrame, name: str) -> DataFrame:
+    return pin(found.drop("text"), name)
+
+
 def op5_warc_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     archive = warc_store.store(table(spark, sf_dir, "pages"), "page_id", "url", "html", min_bytes=0)
     back = warc_store.parse(warc_store.records(archive))
@@ -33,6 +48,7 @@ def op10_simhash_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_pii_votes": op2_pii_votes,
     "op5_warc_store": op5_warc_store,
     "op9_secret_entropy": op9_secret_entropy,
     "op10_simhash_trie": op10_simhash_trie,
