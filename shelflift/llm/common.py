@@ -92,3 +92,28 @@ def span_text(spans: Column) -> Column:
     """kind:start:end of each span, comma-joined."""
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(
         ":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+
+# ---- columns computed by a function of whole texts, in Arrow batches ---------------------------------
+
+
+def with_computed(df: DataFrame, text_col: str, fields: str, compute: Callable) -> DataFrame:
+    """``df`` with the columns ``fields`` (DDL) that ``compute(texts) -> list of pyarrow arrays`` yields for a batch.
+
+    A column of ``df`` with one of these names is replaced. Rows stay where they are: no shuffle, one batch in memory.
+    """
+    import pyarrow as pa
+    from pyspark.sql.types import StructType
+
+    added = StructType.fromDDL(fields)
+    kept = [c for c in df.columns if c not in added.names]
+    schema = StructType([f for f in df.schema.fields if f.name in kept] + added.fields)
+    small_batches(df.sparkSession)
+    n_kept, names = len(kept), [*kept, *added.names]
+
+    def run(batches):
+        for batch in batches:
+            new = compute(batch.column(n_kept).to_pylist())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:n_kept], *new], names)
+
+    return df.select(*[F.col(f"`{c}`") for c in kept], F.col(text_col).cast("string").alias("_text_to_read")).mapInArrow(run, schema)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shelflift.llm import pii_votes, secret_entropy, simhash_trie, warc_store
+from shelflift.llm import best_fit, lang_kernel, pii_votes, secret_entropy, simhash_trie, warc_store
 from shelflift.llm.common import pin, span_text, table
 
 
@@ -25,12 +25,24 @@ def _without_text(found: DataFrame, name: str) -> DataFrame:
     return pin(found.drop("text"), name)
 
 
+def op3_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = best_fit.pieces(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    stored = pin(cut.withColumn("ids_crc32", F.crc32("ids")).drop("ids"), "pieces")
+    return best_fit.pack(stored).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
 def op5_warc_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     archive = warc_store.store(table(spark, sf_dir, "pages"), "page_id", "url", "html", min_bytes=0)
     back = warc_store.parse(warc_store.records(archive))
     return back.select(F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op8_lang_kernel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = lang_kernel.predict(docs.select("doc_id", "text"), lang_kernel.fit(docs))
+    return scored.select("doc_id", lang_kernel.held_out().alias("held_out"), "lang_pred", "score")
+
+
 def op9_secret_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_entropy.secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
     base = secret_entropy.in_order(F.concat("assign", "access", "hex"))
@@ -49,7 +61,9 @@ def op10_simhash_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_pii_votes": op2_pii_votes,
+    "op3_best_fit": op3_best_fit,
     "op5_warc_store": op5_warc_store,
+    "op8_lang_kernel": op8_lang_kernel,
     "op9_secret_entropy": op9_secret_entropy,
     "op10_simhash_trie": op10_simhash_trie,
 }
