@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shelflift.llm import best_fit, lang_kernel, pii_votes, secret_entropy, simhash_trie, warc_store
+from shelflift.llm import best_fit, lang_kernel, pii_votes, secret_entropy, simhash_trie, syncmers, warc_store
 from shelflift.llm.common import pin, span_text, table
 
 
@@ -37,6 +37,10 @@ def op5_warc_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select(F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op6_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return syncmers.edited(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 def op8_lang_kernel(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     scored = lang_kernel.predict(docs.select("doc_id", "text"), lang_kernel.fit(docs))
@@ -63,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_pii_votes": op2_pii_votes,
     "op3_best_fit": op3_best_fit,
     "op5_warc_store": op5_warc_store,
+    "op6_syncmers": op6_syncmers,
     "op8_lang_kernel": op8_lang_kernel,
     "op9_secret_entropy": op9_secret_entropy,
     "op10_simhash_trie": op10_simhash_trie,
