@@ -6,10 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shelflift.llm import best_fit, lang_kernel, pii_votes, secret_entropy, simhash_trie, syncmers, warc_store
+from shelflift.llm import best_fit, chat_tree, decontaminate, lang_kernel, pii_votes, secret_entropy, simhash_trie, syncmers, warc_store
 from shelflift.llm.common import pin, span_text, table
 
 
+# Its texts consist of another template's control strings.
+CONTROL_TALK = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
+
+
+def op1_chat_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    talks = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.createDataFrame(CONTROL_TALK, "conv_id long, turn long, role string, text string").select(
+        *[F.col(c).cast(t) for c, t in talks.dtypes])
+    return chat_tree.read_back(chat_tree.layout(talks.unionByName(extra)))
+
+
 def op2_pii_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii_votes.personal_data(table(spark, sf_dir, "documents").select("doc_id", "text"), pin=_without_text)
     ordered = lambda spans: secret_entropy.in_order(spans, pii_votes.KINDS, by_kind_first=True)
@@ -31,6 +42,12 @@ def op3_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit.pack(stored).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.matches(docs, table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", F.explode("matches").alias("m")).select("doc_id", "m.*")
+
+
 def op5_warc_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     archive = warc_store.store(table(spark, sf_dir, "pages"), "page_id", "url", "html", min_bytes=0)
     back = warc_store.parse(warc_store.records(archive))
@@ -64,8 +81,10 @@ def op10_simhash_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_chat_tree": op1_chat_tree,
     "op2_pii_votes": op2_pii_votes,
     "op3_best_fit": op3_best_fit,
+    "op4_decontaminate": op4_decontaminate,
     "op5_warc_store": op5_warc_store,
     "op6_syncmers": op6_syncmers,
     "op8_lang_kernel": op8_lang_kernel,
