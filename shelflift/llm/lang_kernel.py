@@ -6,6 +6,9 @@
   ridge regression is fitted there on at most ``max_train`` labelled rows, drawn the same way. Rows are never drawn where their id is held out.
 * Scoring multiplies the presence matrix of a batch with the matrix of all landmarks, then with the weights.
 
+There is no constant term, so a text that shares nothing with the landmarks scores 0 for every language; the score is the best
+language's regression value, cut to 0 to 1.
+
 ``lang`` is read for training only. Null text or no letter: ``und``, score 0. Without labelled rows every text is ``und``. Rows are kept as they
 come, with repeated and null ids (never held out, never trained on) and further columns; an empty table gives an empty result.
 """
@@ -40,7 +43,7 @@ class Model:
     langs: list[str]
     vocabulary: np.ndarray  # codes of n-grams
     landmarks: np.ndarray   # (n-grams, landmarks), each column divided by the root of its sum
-    weights: np.ndarray     # (landmarks + 1, langs)
+    weights: np.ndarray     # (landmarks, langs)
 
 
 def held_out(id_col: str = "doc_id") -> Column:
@@ -116,16 +119,14 @@ def fit(docs: DataFrame, params: Params = Params(), id_col: str = "doc_id", text
     fitted = with_computed(rows_of(sample["id"]), "text", "k binary", scored).select("id", "k").collect()
     lang_of = dict(zip(sample["id"], sample["lang"]))
     k = np.stack([np.frombuffer(r["k"], "<f4") for r in fitted]).astype(np.float64)
-    target = np.array([[1.0 if lang_of[r["id"]] == x else -1.0 for x in langs] for r in fitted])
+    target = np.array([[float(lang_of[r["id"]] == x) for x in langs] for r in fitted])
     gram = ((matrix > 0).T.astype(np.float64) @ (matrix > 0)) / np.outer(*[np.sqrt([len(s) for s in sets])] * 2)
     values, vectors = np.linalg.eigh(gram)
     good = values > 1e-8 * values.max()
     root = vectors[:, good] / np.sqrt(values[good])
-    phi = np.c_[k @ root, np.ones(len(k))]
-    penalty = params.ridge * len(k) * np.eye(phi.shape[1])
-    penalty[-1, -1] = 1e-9
-    w = np.linalg.solve(phi.T @ phi + penalty, phi.T @ target)
-    return Model(langs, vocabulary, matrix, np.r_[root @ w[:-1], w[-1:]].astype(np.float32))
+    phi = k @ root
+    w = np.linalg.solve(phi.T @ phi + params.ridge * len(k) * np.eye(phi.shape[1]), phi.T @ target)
+    return Model(langs, vocabulary, matrix, (root @ w).astype(np.float32))
 
 
 def predict(df: DataFrame, model: Model | None, text_col: str = "text") -> DataFrame:
@@ -141,10 +142,10 @@ def predict(df: DataFrame, model: Model | None, text_col: str = "text") -> DataF
         known = [i for i, t in enumerate(texts) if has_letter(t)]
         for at in range(0, len(known), 128):
             some = known[at:at + 128]
-            values = kernels([texts[i] for i in some], cache[0], model.landmarks) @ model.weights[:-1] + model.weights[-1]
+            values = kernels([texts[i] for i in some], cache[0], model.landmarks) @ model.weights
             best = values.argmax(1)
             lang[some] = [model.langs[b] for b in best]
-            score[some] = np.clip((values[np.arange(len(some)), best] + 1) / 2, 0, 1)
+            score[some] = np.clip(values[np.arange(len(some)), best], 0, 1)
         return [pa.array(lang.tolist(), pa.string()), pa.array(score)]
 
     return with_computed(df, text_col, "lang_pred string, score double", compute)

@@ -20,7 +20,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from shelflift.llm.common import let, match_spans
+from shelflift.llm.common import let, match_spans, pin
 
 KINDS = ("email", "ip", "card", "phone")
 # Possessive forms of the base patterns. A match can only begin where a run of its first class begins or the last match ended.
@@ -240,13 +240,16 @@ def decide(found: DataFrame, model: Column, weights: Column, params: Params = Pa
     return found.withColumns({"base": spans(lambda c: c["base"]), "added": spans(lambda c: ~c["base"] & probable(c))})
 
 
-def personal_data(df: DataFrame, text_col: str = "text", params: Params = Params(), pin=None) -> DataFrame:
-    """``df`` with ``base`` and ``added``. ``pin`` stores the candidates of ``df`` between its passes; without it they are found anew."""
-    found = candidates(df, text_col, params)
-    found = pin(found, "candidates") if pin else found
+def fit(found: DataFrame, params: Params = Params()) -> tuple[Column, Column]:
+    """The labelers' model and the classifier's weights, both of bounded size, as constants. ``found`` is read twice."""
     model = _literal(fit_reliabilities(patterns(found), params), "model", _MODEL)
-    weights = _literal(fit_classifier(found, model), "weights", "map<string,double>")
-    return decide(found, model, weights, params).drop("candidates")
+    return model, _literal(fit_classifier(found, model), "weights", "map<string,double>")
+
+
+def personal_data(df: DataFrame, text_col: str = "text", params: Params = Params()) -> DataFrame:
+    """``df`` with ``base`` and ``added``. Only the candidates are stored between the passes; the last finds them anew beside the texts."""
+    found = candidates(df, text_col, params)
+    return decide(found, *fit(pin(found.select("candidates"), "candidates"), params), params).drop("candidates")
 
 
 def _literal(row: DataFrame, name: str, kind: str) -> Column:

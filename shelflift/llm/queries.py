@@ -22,7 +22,9 @@ def op1_chat_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_pii_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = pii_votes.personal_data(table(spark, sf_dir, "documents").select("doc_id", "text"), pin=_without_text)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    candidates = pin(pii_votes.candidates(docs).drop("text"), "candidates")
+    found = pii_votes.decide(candidates, *pii_votes.fit(candidates))
     ordered = lambda spans: secret_entropy.in_order(spans, pii_votes.KINDS, by_kind_first=True)
     return found.select(
         "doc_id",
@@ -32,10 +34,6 @@ def op2_pii_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _without_text(found: DataFrame, name: str) -> DataFrame:
-    return pin(found.drop("text"), name)
-
-
 def op3_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = best_fit.pieces(table(spark, sf_dir, "documents").select("doc_id", "text"))
     stored = pin(cut.withColumn("ids_crc32", F.crc32("ids")).drop("ids"), "pieces")

@@ -21,7 +21,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from shelflift.llm.common import pin, small_batches
+from shelflift.llm.common import pin, small_batches, with_computed
 from shelflift.llm.components import components
 
 MAX_LEVEL = 4
@@ -203,12 +203,37 @@ def links(classes: DataFrame, bits: int = 4, limit: int = 50_000) -> DataFrame:
 
 
 def near_duplicates(fps: DataFrame, bits: int = 4, limit: int = 50_000) -> DataFrame:
-    """``fps`` (doc_id, fp) with component_id. ``fps`` is read several times, so it should be stored."""
+    """``fps`` (doc_id, fp) with component_id and root (a fingerprint that names the component). ``fps`` is read several times, so it should be stored."""
+    return fps.join(_named(fps, bits, limit), "fp", "left")
+
+
+def _named(fps: DataFrame, bits: int, limit: int) -> DataFrame:
+    """(fp, root, component_id) for every fingerprint."""
     classes = pin(fps.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "classes")
     roots = components(links(classes, bits, limit))
     named = pin(
         classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
         .select("fp", "first_id", F.coalesce("root", "fp").alias("root")), "named")
     smallest = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    ids = named.join(smallest, "root").select("fp", "component_id")
-    return fps.join(ids, "fp", "left")
+    return named.join(smallest, "root").select("fp", "root", "component_id")
+
+
+def keep_first(docs: DataFrame, words: int = 4, bits: int = 4, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
+    """The rows of ``docs`` with one row per component: that with the smallest id; of rows that share it, any one.
+
+    Rows with an id of their own are dropped by id. Null and repeated ids, where an id does not say which row is meant, are settled by fingerprint.
+    """
+    fps = pin(fingerprints(docs, text_col, id_col, words), "fingerprints")
+    named = pin(_named(fps, bits, 50_000), "components")
+    found = fps.join(named, "fp")
+    later = found.filter("doc_id <> component_id").select("doc_id").distinct()
+    shared = pin(fps.groupBy("doc_id").count().filter("count > 1 or doc_id is null").select("doc_id"), "shared_ids")
+    same = lambda other: docs[id_col].cast("long").eqNullSafe(other["doc_id"])
+    first = docs.join(later, docs[id_col].cast("long") == later["doc_id"], "left_anti")
+    if shared.isEmpty():
+        return first
+    computed = with_computed(docs.join(shared, same(shared), "left_semi"), text_col, "_fp long", lambda texts: [
+        pa.array(np.fromiter((fingerprint(t, words) for t in texts), np.uint64, len(texts)).view(np.int64))])
+    rows = computed.select(F.col("_fp").alias("fp"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")).join(named, "fp")
+    one = rows.filter(F.col("row")[id_col].cast("long").eqNullSafe(F.col("component_id"))).groupBy("root").agg(F.first("row").alias("row"))
+    return first.join(shared, same(shared), "left_anti").unionByName(one.select("row.*"))
