@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shelflift.llm import best_fit, chat_tree, decontaminate, lang_kernel, pii_votes, secret_entropy, simhash_trie, syncmers, warc_store
+from shelflift.llm import best_fit, chat_tree, decontaminate, lang_kernel, pii_votes, secret_entropy, simhash_trie, suffix_dedup, syncmers, warc_store
 from shelflift.llm.common import pin, span_text, table
 
 
@@ -56,6 +56,13 @@ def op6_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return syncmers.edited(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("removed", F.lit(0).cast("long"), lambda acc, r: acc + r["end"] - r["start"])
+    return kept.select(F.col("id").alias("doc_id"), "n_bytes", removed.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"),
+                       F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op8_lang_kernel(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     scored = lang_kernel.predict(docs.select("doc_id", "text"), lang_kernel.fit(docs))
@@ -85,6 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_decontaminate": op4_decontaminate,
     "op5_warc_store": op5_warc_store,
     "op6_syncmers": op6_syncmers,
+    "op7_suffix_dedup": op7_suffix_dedup,
     "op8_lang_kernel": op8_lang_kernel,
     "op9_secret_entropy": op9_secret_entropy,
     "op10_simhash_trie": op10_simhash_trie,
