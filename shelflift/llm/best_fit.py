@@ -152,5 +152,6 @@ def pack(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     ranked = ranged.withColumn("_place", F.row_number().over(within) - 1).join(first, ["_part", "length"])
     counts = {r["length"]: r["n"] for r in parts.groupBy("length").agg(F.sum("_n").alias("n")).collect()}
     slots = _slots(cut.sparkSession, rounds(counts, capacity))
-    placed = ranked.withColumn("rank", F.col("_first") + F.col("_place")).join(slots, ["length", "rank"])
+    # There are as many slots as pieces, though what Spark sees of them is the size of the blocks: merge, never broadcast.
+    placed = ranked.withColumn("rank", F.col("_first") + F.col("_place")).join(slots.hint("merge"), ["length", "rank"])
     return placed.select(*keyed.columns, "sequence_id", "offset")
