@@ -44,26 +44,10 @@ def clean_transactions(tx: DataFrame, product: DataFrame) -> DataFrame:
     )
 
 
-def _code_number(name: str) -> Column:
-    """A one-character placement code as a number of the same order; other texts fail the job."""
-    code = F.col(name)
-    too_long = F.raise_error(F.concat(F.lit(f"{name} is not a one-character code: "), code)).cast("int")
-    return F.when(F.length(code) <= 1, F.ascii(code)).when(code.isNotNull(), too_long)
-
-
 def clean_promotions(causal: DataFrame) -> DataFrame:
-    """One row per product, store and week. Codes compare as text, so any placement wins over '0'.
-
-    The codes are compared as numbers: a maximum of text would make Spark sort this, the largest table,
-    on both sides of the shuffle instead of hashing it.
-    """
-    codes = {"display": _code_number("display"), "mailer": _code_number("mailer")}
-    best = causal.groupBy("product_id", "store_id", "week_no").agg(
-        *[F.max(number).alias(name) for name, number in codes.items()]
-    )
+    """One row per product, store and week. Codes are any text and compare as text, so any placement wins over '0'."""
+    best = causal.groupBy("product_id", "store_id", "week_no").agg(F.max("display").alias("display"), F.max("mailer").alias("mailer"))
     return best.withColumns({
-        name: F.when(F.col(name) == 0, "").otherwise(F.char(F.col(name))) for name in codes
-    }).withColumns({
         "on_display": F.col("display") != NOT_PLACED,
         "in_mailer": F.col("mailer") != NOT_PLACED,
     })
@@ -80,8 +64,8 @@ def weekly_product_store_sales(
     """One row per product, store and week with a sale, with the week's promotion flags.
 
     Purchases are summed on the three keys before anything is joined: the shuffle carries three numbers
-    as key instead of category names, a best-selling product is reduced to its store-weeks first, and the
-    promotion join finds both sides already partitioned on the keys.
+    as key instead of category names, and a best-selling product is reduced to its store-weeks first. What is
+    no merchandise goes before the promotions are joined.
     """
     weekly = (
         sold_lines(tx)
@@ -97,8 +81,8 @@ def weekly_product_store_sales(
     tracked_store = stores.select("store_id", F.lit(True).alias("has_promo_data"))
     tracked_week = F.col("week_no").between(p.first_week, p.last_week)
     return (
-        weekly.join(promotions, ["product_id", "store_id", "week_no"], "left")
-        .join(dims, "product_id")
+        weekly.join(dims, "product_id")
+        .join(promotions, ["product_id", "store_id", "week_no"], "left")
         .join(tracked_store, "store_id", "left")
         .select(
             "product_id", "store_id", "week_no", "department", "commodity_desc", "sub_commodity_desc",
@@ -112,10 +96,17 @@ def weekly_product_store_sales(
 
 
 def weekly_category_sales(lines: DataFrame) -> DataFrame:
-    return lines.groupBy("department", "commodity_desc", "week_no").agg(
-        F.sum("sales_value").alias("sales"),
-        F.sum("quantity").alias("units"),
-        F.sum(_discount()).alias("discount"),
+    """Sales, trips and households per category and week.
+
+    Two distinct counts would multiply the lines, so they are summed per trip first.
+    """
+    keys = ["department", "commodity_desc", "week_no"]
+    per_trip = lines.groupBy(*keys, "basket_id", "household_key").agg(
+        F.sum("sales_value").alias("sales"), F.sum("quantity").alias("units"), F.sum(_discount()).alias("discount"))
+    return per_trip.groupBy(*keys).agg(
+        F.sum("sales").cast("decimal(20,2)").alias("sales"),
+        F.sum("units").alias("units"),
+        F.sum("discount").cast("decimal(22,2)").alias("discount"),
         F.countDistinct("basket_id").alias("baskets"),
         F.countDistinct("household_key").alias("households"),
     )
@@ -201,11 +192,12 @@ def clean_reconciliation(
             kept.agg(n).scalar().alias("baskets"), third.alias("households"),
         )
 
+    # The layer names are fixed values.
     parts = [
-        purchases(tx, "1. raw purchases", "sales_value"),
-        purchases(lines, "2. clean purchases", "sales_value"),
-        purchases(trips, "3. clean trips (rows = baskets)", "basket_value"),
-        sizes("4. promotions: raw rows, clean rows, stores", causal, promotions, stores),
-        sizes("5. coupons: raw rows, clean rows", raw_coupons, coupons),
+        purchases(tx, "1. raw transactions", "sales_value"),
+        purchases(lines, "2. clean transactions", "sales_value"),
+        purchases(trips, "3. clean baskets (rows should = baskets)", "basket_value"),
+        sizes("4. promotions: raw rows / clean rows / stores", causal, promotions, stores),
+        sizes("5. coupons: raw rows / clean rows", raw_coupons, coupons),
     ]
     return reduce(DataFrame.unionByName, parts).orderBy("layer")

@@ -9,15 +9,15 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 Tables = Mapping[str, DataFrame]
 
-# (check, table, key columns)
+# (check, table, key columns). The check names are fixed values, here and below.
 KEYS = [
-    ("product key", "product", ["product_id"]),
-    ("household key", "hh_demographic", ["household_key"]),
-    ("campaign key", "campaign_desc", ["campaign"]),
-    ("target key", "campaign_table", ["household_key", "campaign"]),
-    ("coupon key", "coupon", ["coupon_upc", "product_id", "campaign"]),
-    ("purchase key", "transaction_data", ["basket_id", "product_id"]),
-    ("placement key", "causal_data", ["product_id", "store_id", "week_no"]),
+    ("1. product: distinct product_id of rows", "product", ["product_id"]),
+    ("2. hh_demographic: distinct household_key of rows", "hh_demographic", ["household_key"]),
+    ("3. campaign_desc: distinct campaign of rows", "campaign_desc", ["campaign"]),
+    ("4. campaign_table: distinct (household, campaign) of rows", "campaign_table", ["household_key", "campaign"]),
+    ("5. coupon: distinct (coupon_upc, product_id, campaign) of rows", "coupon", ["coupon_upc", "product_id", "campaign"]),
+    ("6. transactions: distinct (basket, product) of rows", "transaction_data", ["basket_id", "product_id"]),
+    ("7. causal_data: distinct (product, store, week) of rows", "causal_data", ["product_id", "store_id", "week_no"]),
 ]
 
 
@@ -57,12 +57,15 @@ def profile_ranges(tables: Tables) -> DataFrame:
     )
     causal = tables["causal_data"].agg(_text(F.min("week_no"), "-", F.max("week_no")).alias("result"))
     campaigns = tables["campaign_desc"].agg(_text(F.min("start_day"), " / ", F.max("end_day")).alias("result"))
-    named = [("purchase days / weeks", tx), ("placement weeks", causal), ("first start / last end", campaigns)]
+    named = [("8. transactions: day range / week range", tx), ("9. causal_data: week range", causal), ("10. campaigns: first start day / last end day", campaigns)]
     return _rows([df.select(F.lit(name).alias("check_name"), "result") for name, df in named])
 
 
 def profile_coverage(tables: Tables) -> DataFrame:
-    """Distinct stores and households per table that holds them."""
+    """Distinct stores and households per table that holds them.
+
+    Two distinct counts would multiply the purchases, so those are reduced to (store, household) first.
+    """
     def distinct(table: str, column: str) -> Column:
         return tables[table].agg(F.countDistinct(column)).scalar()
 
@@ -71,12 +74,12 @@ def profile_coverage(tables: Tables) -> DataFrame:
         F.col("households"), " / ", distinct("hh_demographic", "household_key"),
         " / ", distinct("campaign_table", "household_key"),
     )
-    tx = tables["transaction_data"].agg(
+    tx = tables["transaction_data"].select("store_id", "household_key").distinct().agg(
         F.countDistinct("store_id").alias("stores"), F.countDistinct("household_key").alias("households")
     )
     return tx.select(F.explode(F.array(
-        F.struct(F.lit("stores: placements / purchases").alias("check_name"), stores.alias("result")),
-        F.struct(F.lit("households: purchases / demographics / campaigns").alias("check_name"), homes.alias("result")),
+        F.struct(F.lit("11. stores: in causal_data / in transactions").alias("check_name"), stores.alias("result")),
+        F.struct(F.lit("12. households: transactions / demographics / campaigns").alias("check_name"), homes.alias("result")),
     )).alias("r")).select("r.*")
 
 
@@ -90,8 +93,8 @@ def _orphans(facts: DataFrame, dim: DataFrame, key: str, check: str) -> DataFram
 
 
 def profile_orphan_products(tables: Tables) -> DataFrame:
-    return _orphans(tables["transaction_data"], tables["product"], "product_id", "purchases without a product")
+    return _orphans(tables["transaction_data"], tables["product"], "product_id", "13. transaction rows whose product_id is missing from product")
 
 
 def profile_orphan_coupons(tables: Tables) -> DataFrame:
-    return _orphans(tables["coupon_redempt"], tables["coupon"], "coupon_upc", "redemptions without a coupon")
+    return _orphans(tables["coupon_redempt"], tables["coupon"], "coupon_upc", "14. redemptions whose coupon_upc is missing from coupon")

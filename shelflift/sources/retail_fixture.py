@@ -109,11 +109,12 @@ def causal_data(lineitem: DataFrame) -> DataFrame:
         "store_id",
         F.explode(F.sequence(F.col("first_week"), (F.col("first_week") + weeks - 1).cast("int"))).alias("week_no"),
         F.when(always, "3").otherwise(F.expr(
-            "CASE WHEN h = 0 THEN '1' WHEN h = 1 THEN '3' WHEN h = 2 THEN '7' WHEN h = 3 THEN 'A' ELSE '0' END"
+            "CASE WHEN h = 0 THEN '1' WHEN h = 1 THEN '3' WHEN h = 2 THEN '7' WHEN h = 3 THEN 'A' "
+            "WHEN h = 8 AND product_id % 7 = 0 THEN '10' ELSE '0' END"
         )).alias("display"),
         F.expr(
             "CASE WHEN h IN (3, 4) THEN 'A' WHEN h = 5 THEN 'D' WHEN h = 6 THEN 'H' "
-            "WHEN h = 7 AND product_id % 5 = 0 THEN 'X' ELSE '0' END"
+            "WHEN h = 7 AND product_id % 5 = 0 THEN 'X' WHEN h = 9 AND product_id % 11 = 0 THEN 'Łx' ELSE '0' END"
         ).alias("mailer"),
     ).filter("week_no BETWEEN 9 AND 101")
     return _conform(rows, "causal_data")

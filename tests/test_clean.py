@@ -1,7 +1,5 @@
 from decimal import Decimal as D
 
-import pytest
-from pyspark.errors import PySparkException
 
 from shelflift.operators import clean, quality
 from shelflift.params import Params
@@ -45,9 +43,13 @@ def test_promotions_keep_the_placement_of_either_record(frame):
     assert rows[12].display is None and rows[12].on_display is None and rows[12].mailer == ""
 
 
-def test_longer_placement_code_fails(frame):
-    with pytest.raises(PySparkException):
-        clean.clean_promotions(frame(CAUSAL, [(1, 1, 9, "10", "0")])).collect()
+def test_any_placement_code_survives(frame):
+    codes = ["10", "Ł", "\u0100", "", None, "a longer code"]
+    causal = frame(CAUSAL, [(i, 1, 9, code, "0") for i, code in enumerate(codes)] + [(i, 1, 9, "0", code) for i, code in enumerate(codes)])
+    rows = {r.product_id: r for r in clean.clean_promotions(causal).collect()}
+    for i, code in enumerate(codes):
+        want = max("0", code or "")
+        assert (rows[i].display, rows[i].mailer, rows[i].on_display, rows[i].in_mailer) == (want, want, want != "0", want != "0")
 
 
 def test_causal_conflicts_tell_copies_from_disagreements(frame):
