@@ -518,8 +518,10 @@ FROM (SELECT *, 2 * asin(sqrt(b)) - 2 * asin(sqrt(a)) AS h
       FROM (SELECT came_back AS a, least(came_back + 0.05, 1) AS b FROM v_backtest WHERE flagged))"""
 RESULTS["ab_assignment"] = "SELECT household_key, segment, arm FROM v_arms"
 RESULTS["ab_balance"] = f"""
-SELECT segment, arm, count(*) AS households, {d("avg(coalesce(spend, 0))", "mean_weekly_spend")}
-FROM v_arms LEFT JOIN (SELECT household_key, sum(value_c) / 800.0 AS spend FROM v_trips
+SELECT segment, arm, count(*) AS households, {d("coalesce(sum(spend_c), 0) / (800.0 * count(*))::DOUBLE", "mean_weekly_spend")},
+       {d("coalesce(sum(trips), 0) / (8.0 * count(*))::DOUBLE", "mean_weekly_trips")},
+       {d("count(*) / sum(count(*)) OVER (PARTITION BY segment)", "share_of_segment")}
+FROM v_arms LEFT JOIN (SELECT household_key, sum(value_c) AS spend_c, count(*) AS trips FROM v_trips
                        WHERE week_no BETWEEN 94 AND 101 GROUP BY 1) USING (household_key)
 GROUP BY segment, arm"""
 RESULTS["ab_readout"] = f"""
@@ -561,7 +563,7 @@ UNION ALL SELECT 'Categories', count(*) FROM v_categories
 UNION ALL SELECT 'Rising', least(count(*), 10) FROM v_categories WHERE avg4 >= 100 AND this > avg4
 UNION ALL SELECT 'Falling', least(count(*), 10) FROM v_categories WHERE avg4 >= 100 AND this < avg4"""
 _STORED = {
-    "promotions": "v_promos", "promo_stores": "(SELECT DISTINCT store_id FROM v_promos)",
+    "transactions": "v_lines", "promotions": "v_promos", "promo_stores": "(SELECT DISTINCT store_id FROM v_promos)",
     "weekly_product_store_sales": "v_weekly", "weekly_category_sales": "v_category", "baskets": "v_trips",
     "households": "v_homes", "season_index": "v_season",
     "pair_timeline": "(SELECT product_id, store_id, week_no FROM v_psweeks UNION SELECT product_id, store_id, week_no "

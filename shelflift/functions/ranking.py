@@ -9,7 +9,8 @@ The approximate cuts only decide how even the buckets are, never the result:
   again by the tie-break column;
 * all other rows lie strictly between two cuts.
 
-So no bucket holds more than about ``2 / cuts`` of its group, whatever the distribution.
+So no bucket holds more than about ``2 / cuts`` of its group, whatever the distribution. NULL values come first, as one more value that the
+tie-break cuts. The number of cuts follows from the number of rows, so that a bucket stays at about ``BUCKET_ROWS`` at most.
 """
 
 from __future__ import annotations
@@ -19,6 +20,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 CUTS = 64
+BUCKET_ROWS = 500_000
+MAX_CUTS = 4096  # above this, buckets grow instead of the list of cuts, which every row's task holds
 
 
 def _limits(df: DataFrame, value: str, tie: str, by: Sequence[str], cuts: int) -> DataFrame:
@@ -32,13 +35,14 @@ def _limits(df: DataFrame, value: str, tie: str, by: Sequence[str], cuts: int) -
 def _bucketed(
     df: DataFrame, limits: DataFrame, value: str, tie: str, by: Sequence[str], cuts: int
 ) -> DataFrame:
-    # One row of at most 2 * cuts numbers per group: the groups are campaigns, segments or a constant.
-    limited = df.join(F.broadcast(limits), list(by))
+    # One row of at most 2 * cuts numbers per group: groups are few by contract, and Spark checks the size before it broadcasts them.
+    limited = df.join(limits, list(by))
     v = F.col(value).cast("double")
     below = F.size(F.filter("_value_cuts", lambda c: c < v))
     on_cut = F.array_contains("_value_cuts", v)
-    tie_bucket = F.when(on_cut, F.size(F.filter("_tie_cuts", lambda c: c < F.col(tie)))).otherwise(0)
-    bucket = (below * 2 + on_cut.cast("int")) * (cuts + 1) + tie_bucket
+    ties_below = F.size(F.filter("_tie_cuts", lambda c: c < F.col(tie)))
+    bucket = F.when(v.isNull(), ties_below - (cuts + 1)).otherwise(
+        (below * 2 + on_cut.cast("int")) * (cuts + 1) + F.when(on_cut, ties_below).otherwise(0))
     return limited.withColumn("_bucket", bucket).drop("_value_cuts", "_tie_cuts")
 
 
@@ -50,12 +54,12 @@ def running_total(
     weight: Column | None = None,
     out: str = "row_num",
     total: str = "group_rows",
-    cuts: int = CUTS,
+    cuts: int | None = None,
     source: DataFrame | None = None,
 ) -> DataFrame:
     """Add the running sum of ``weight`` (default 1: the row number) in the order ``value, tie``.
 
-    ``value`` and ``tie`` are numeric, not NULL and exact as doubles; ``tie`` is unique for equal values.
+    ``value`` and ``tie`` are numeric and exact as doubles; ``tie`` is not NULL and unique for equal values. NULL values come first.
     ``by`` names grouping columns with few distinct values; groups may be of any size.
 
     The rows are read three times (cuts, bucket sizes, result), so ``df`` should be a stored table. When
@@ -69,6 +73,7 @@ def running_total(
         return frame.withColumn("_weight", F.lit(1).cast("bigint") if weight is None else weight)
 
     base = prepared(df if source is None else source)
+    cuts = cuts or max(CUTS, min(MAX_CUTS, base.count() // BUCKET_ROWS))
     limits = _limits(base, value, tie, keys, cuts)
     rows = _bucketed(prepared(df), limits, value, tie, keys, cuts)
 
@@ -118,13 +123,12 @@ def quantile_bin(row_num: Column, n: Column, bins: int) -> Column:
     return F.greatest(above - 1, F.lit(0)).cast("int")
 
 
-def exact_quantiles(df: DataFrame, column: str, probabilities: Sequence[float]) -> DataFrame:
-    """One row ``q0, q1, ...`` of linearly interpolated quantiles.
+def exact_quantiles(counts: DataFrame, probabilities: Sequence[float], by: str) -> DataFrame:
+    """``(by, q0, q1, ...)``: linearly interpolated quantiles per group.
 
-    Values are counted first, so the ordered pass sees each distinct value once.
+    ``counts`` holds each group's distinct values once, as (``by``, v, c) with c the number of rows; it is read three times, so it should be stored.
     """
-    counts = df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("v")).agg(F.count(F.lit(1)).alias("c"))
-    ranked = running_total(counts, "v", "v", weight=F.col("c"), out="upto", total="n")
+    ranked = running_total(counts.where("v IS NOT NULL"), "v", "v", by=[by], weight=F.col("c"), out="upto", total="n")
     v, last = F.col("v").cast("double"), F.col("n") - 1
     parts = []
     for i, p in enumerate(probabilities):
@@ -133,8 +137,8 @@ def exact_quantiles(df: DataFrame, column: str, probabilities: Sequence[float])
             holds = (F.col("upto") > target) & (F.col("upto") - F.col("c") <= target)
             parts.append(F.max(F.when(holds, v)).alias(f"{side}{i}"))
         parts.append(F.max(position - F.floor(position)).alias(f"part{i}"))
-    wide = ranked.agg(*parts)
-    return wide.select(*[
+    wide = ranked.groupBy(by).agg(*parts)
+    return wide.select(by, *[
         (F.col(f"lo{i}") + (F.col(f"hi{i}") - F.col(f"lo{i}")) * F.col(f"part{i}")).alias(f"q{i}")
         for i in range(len(probabilities))
     ])

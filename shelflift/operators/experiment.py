@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from shelflift.functions.columns import constant_rows, count_where, ratio
 from shelflift.functions.intervals import Z_POWER_80, Z_TWO_SIDED_95
@@ -11,7 +11,8 @@ from shelflift.params import Params
 from shelflift.schema import AT_RISK
 
 TEST, CONTROL = "test", "control"
-PRIME = 1_000_003
+# Fixed values of the draw: the largest prime below 2^53, two multipliers and an offset.
+PRIME, MULTIPLIER, SALT_MULTIPLIER, OFFSET = 9_007_199_254_740_881, 6_364_136_223_846_793, 1_442_695_040_888_963, 777_767_777
 Z_SUM = Z_TWO_SIDED_95 + Z_POWER_80
 
 
@@ -77,6 +78,21 @@ def ab_sample_size_prop(backtest: DataFrame, p: Params) -> DataFrame:
     )
 
 
+def draw(key: Column, salt: int) -> Column:
+    """A number below 2^53 that no other key below ``PRIME`` shares.
+
+    A linear map and cubing are one-to-one modulo this prime, as 3 does not divide PRIME - 1; exact decimals hold the products.
+    """
+    def mod(x: Column) -> Column:
+        return (x % PRIME).cast("decimal(16,0)")
+
+    def cubed(x: Column) -> Column:
+        return mod(mod(x * x) * x)
+
+    start = mod(key.cast("decimal(19,0)") * F.lit(MULTIPLIER).cast("decimal(16,0)") + F.lit(salt * SALT_MULTIPLIER % PRIME + OFFSET).cast("decimal(17,0)"))
+    return cubed(mod(cubed(start) + OFFSET)).cast("bigint")
+
+
 def ab_assignment(pool: DataFrame, salt: int = 17) -> DataFrame:
     """Half of each segment at random to the offer, the other half to control.
 
@@ -84,9 +100,7 @@ def ab_assignment(pool: DataFrame, salt: int = 17) -> DataFrame:
     within a segment and can be repeated. The order comes from bucketed ranks: a segment of any size is
     never sorted in one task.
     """
-    k = F.col("household_key").cast("bigint")
-    h = (k * 7919 + salt * 104729) % PRIME
-    scrambled = (h * (h + 12345) % PRIME) * (h + 777) % PRIME
+    scrambled = draw(F.col("household_key"), salt)
     dealt = running_total(
         pool.withColumn("_draw", scrambled), "_draw", "household_key", by=["segment"], out="_rn", total="_n"
     )
@@ -96,16 +110,26 @@ def ab_assignment(pool: DataFrame, salt: int = 17) -> DataFrame:
 
 
 def ab_balance(assignment: DataFrame, trips: DataFrame, p: Params) -> DataFrame:
-    """Arms per segment before the test: households and average weekly spend."""
-    spend = weekly_spend(trips, p.pool_first_week, p.pool_last_week)
-    return (
-        assignment.join(spend, "household_key", "left")
+    """Arms per segment before the test: households, average weekly spend and trips, and the arm's share of the segment."""
+    weeks = p.pool_last_week - p.pool_first_week + 1
+    before = (
+        trips.where(F.col("week_no").between(p.pool_first_week, p.pool_last_week))
+        .groupBy("household_key")
+        .agg(F.sum("basket_value").alias("spend"), F.count(F.lit(1)).alias("trips"))
+    )
+    arms = (
+        assignment.join(before, "household_key", "left")
         .groupBy("segment", "arm")
         .agg(
             F.count(F.lit(1)).alias("households"),
-            F.avg(F.coalesce("spend", F.lit(0.0))).alias("mean_weekly_spend"),
+            F.coalesce(F.sum("spend"), F.lit(0).cast("decimal(38,2)")).alias("spend"),
+            F.coalesce(F.sum("trips"), F.lit(0)).alias("trips"),
         )
     )
+    n, both = F.col("households"), F.sum("households").over(Window.partitionBy("segment"))
+    return arms.select(
+        "segment", "arm", "households", ratio(F.col("spend") * 100, n * weeks * 100).alias("mean_weekly_spend"),
+        ratio(F.col("trips"), n * weeks).alias("mean_weekly_trips"), ratio(n, both).alias("share_of_segment"))
 
 
 def ab_readout(

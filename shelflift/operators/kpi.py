@@ -57,25 +57,28 @@ def kpi_discounts(tx: DataFrame) -> DataFrame:
     )
 
 
-def kpi_discount_describe(tx: DataFrame, columns=("retail_disc", "coupon_disc")) -> DataFrame:
-    """Count, mean, spread, quartiles and range of the discount columns, one row each."""
-    rows = []
-    for name in columns:
-        basics = tx.agg(
-            F.count(name).alias("count"),
-            F.avg(F.col(name).cast("double")).alias("mean"),
-            F.stddev_samp(F.col(name).cast("double")).alias("std"),
-            F.min(name).cast("double").alias("min"),
-            F.max(name).cast("double").alias("max"),
-        )
-        quartiles = exact_quantiles(tx, name, [0.25, 0.5, 0.75]).select(
-            F.struct(F.col("q0"), F.col("q1"), F.col("q2")).alias("q")
-        )
-        rows.append(basics.withColumn("q", quartiles.scalar()).select(
-            F.lit(name).alias("column_name"), "count", "mean", "std", "min",
-            F.col("q.q0").alias("p25"), F.col("q.q1").alias("p50"), F.col("q.q2").alias("p75"), "max",
-        ))
-    return reduce(DataFrame.unionByName, rows)
+DISCOUNT_COLUMNS = ("retail_disc", "coupon_disc")
+
+
+def discount_counts(tx: DataFrame, columns=DISCOUNT_COLUMNS) -> DataFrame:
+    """(column_name, v, c): how many purchase lines have each discount, from one pass over the lines."""
+    together = tx.groupBy(*columns).agg(F.count(F.lit(1)).alias("n"))
+    each = F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("v")) for c in columns]))
+    return together.select(each.alias("e"), "n").groupBy("e.column_name", "e.v").agg(F.sum("n").alias("c"))
+
+
+def kpi_discount_describe(counts: DataFrame) -> DataFrame:
+    """Count, mean, spread, quartiles and range of the discount columns, one row each, from :func:`discount_counts`."""
+    v, c = F.col("v"), F.col("c")
+    sums = counts.where("v IS NOT NULL").groupBy("column_name").agg(
+        F.sum("c").alias("count"), F.sum((v * c).cast("decimal(38,2)")).cast("double").alias("s1"),
+        F.sum((v * v * c).cast("decimal(38,4)")).cast("double").alias("s2"),
+        F.min("v").cast("double").alias("min"), F.max("v").cast("double").alias("max"))
+    n = F.col("count")
+    basics = sums.withColumn("mean", ratio(F.col("s1"), n)).withColumn(
+        "std", F.sqrt(F.greatest(ratio(F.col("s2") - F.col("s1") * F.col("mean"), n - 1), F.lit(0.0))))
+    return basics.join(exact_quantiles(counts, [0.25, 0.5, 0.75], "column_name"), "column_name").select(
+        "column_name", "count", "mean", "std", "min", F.col("q0").alias("p25"), F.col("q1").alias("p50"), F.col("q2").alias("p75"), "max")
 
 
 def kpi_campaign_reach(

@@ -66,13 +66,16 @@ def promotion_timeline(weeks: DataFrame, promotions: DataFrame, p: Params) -> Da
     """Sale weeks and promoted weeks side by side, one row per product, store and week.
 
     ``weeks`` is the result of :func:`ps_weeks`. A promoted week without a sale has NULL ``adj_sales``;
-    a week without promotion has NULL ``promo_type``.
+    a week without promotion has NULL ``promo_type``. Both sides are put under one another and dealt once, by product and
+    store; that serves the rows of a week and every later window over the pair. A full outer join would lose the partitioning.
     """
     promoted = promotions.where(
         (F.col("on_display") | F.col("in_mailer")) & F.col("week_no").between(p.first_week, p.last_week)
     ).select(*PAIR, "week_no", "display", "mailer", promo_type().alias("promo_type"))
     sold = weeks.select(*PAIR, "week_no", *CATEGORY, "discount", "adj_sales")
-    return sold.join(promoted, [*PAIR, "week_no"], "full_outer")
+    rows = sold.unionByName(promoted, allowMissingColumns=True).repartition(*PAIR)
+    values = [*CATEGORY, "discount", "adj_sales", "display", "mailer", "promo_type"]
+    return rows.groupBy(*PAIR, "week_no").agg(*[F.max(v).alias(v) for v in values])
 
 
 def pair_timeline(timeline: DataFrame, p: Params) -> DataFrame:

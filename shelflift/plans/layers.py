@@ -72,14 +72,17 @@ def _campaign_results(L: Layers) -> DataFrame:
     return campaign.campaign_results(designs, L["campaign_overview"])
 
 
+# How the large tables of product, store and week are laid out, so that a reader of some products skips the rest.
+PAIR_WEEK = ("product_id", "store_id", "week_no")
+
 TABLES: dict[str, Table] = {
     # clean
-    "transactions": Table("clean", lambda L: clean.clean_transactions(L.raw["transaction_data"], L.raw["product"])),
-    "promotions": Table("clean", lambda L: clean.clean_promotions(L.raw["causal_data"]), True, pinned=True),
+    "transactions": Table("clean", lambda L: clean.clean_transactions(L.raw["transaction_data"], L.raw["product"]), True, pinned=True),
+    "promotions": Table("clean", lambda L: clean.clean_promotions(L.raw["causal_data"]), True, PAIR_WEEK, pinned=True),
     "promo_stores": Table("clean", lambda L: clean.promo_stores(L["promotions"]), True),
     "weekly_product_store_sales": Table("clean", lambda L: clean.weekly_product_store_sales(
         L.raw["transaction_data"], L.raw["product"], L["promotions"], L["promo_stores"], L.p),
-        True, pinned=True),
+        True, PAIR_WEEK, pinned=True),
     "weekly_category_sales": Table("clean", lambda L: clean.weekly_category_sales(L["transactions"]), True),
     "baskets": Table("clean", lambda L: clean.baskets(L["transactions"]), True),
     "households": Table("clean", lambda L: clean.households(
@@ -91,7 +94,7 @@ TABLES: dict[str, Table] = {
         pinned=True),
     "ps_weeks": Table("analysis", lambda L: uplift.ps_weeks(L["weekly_product_store_sales"], L["season_index"])),
     "timeline": Table("analysis", lambda L: uplift.promotion_timeline(L["ps_weeks"], L["promotions"], L.p)),
-    "pair_timeline": Table("analysis", lambda L: uplift.pair_timeline(L["timeline"], L.p), True),
+    "pair_timeline": Table("analysis", lambda L: uplift.pair_timeline(L["timeline"], L.p), True, PAIR_WEEK, pinned=True),
     "ps_candidates": Table("analysis", lambda L: uplift.ps_candidates(L["ps_weeks"], L.p)),
     "promo_weeks": Table("analysis", lambda L: uplift.promo_weeks(L["pair_timeline"], L.p)),
     "baseline": Table("analysis", lambda L: uplift.baseline(L["pair_timeline"], L.p)),
@@ -159,8 +162,9 @@ TABLES: dict[str, Table] = {
     "income_band": Table("analysis", lambda L: segments.household_income_bands(L["households"])),
     # dashboards
     "dim_week": Table("bi", lambda L: bi.dim_week(L["baskets"], L.p), True),
-    "fact_baskets": Table("bi", lambda L: bi.fact_baskets(L["baskets"]), True, ("week_no",)),
-    "fact_category_week": Table("bi", lambda L: bi.fact_category_week(L["weekly_category_sales"]), True, ("week_no",)),
+    "fact_baskets": Table("bi", lambda L: bi.fact_baskets(L["baskets"]), True, ("week_no", "basket_id")),
+    "fact_category_week": Table(
+        "bi", lambda L: bi.fact_category_week(L["weekly_category_sales"]), True, ("week_no", "department", "commodity_desc")),
     "dim_household": Table("bi", lambda L: bi.dim_household(L["household_rfm"], L["households"]), True, pinned=True),
     "bi_promo_uplift": Table("bi", lambda L: uplift.bi_promo_uplift(L["uplift_summary"]), True),
     "bi_promo_cannibalisation": Table("bi", lambda L: cannibal.bi_promo_cannibalisation(
@@ -182,7 +186,8 @@ TABLES: dict[str, Table] = {
     "kpi_sales_tree": Table("kpi", lambda L: kpi.kpi_sales_tree(L.raw["transaction_data"])),
     "kpi_rebuild_check": Table("kpi", lambda L: kpi.kpi_rebuild_check(L["kpi_sales_tree"])),
     "kpi_discounts": Table("kpi", lambda L: kpi.kpi_discounts(L.raw["transaction_data"])),
-    "kpi_discount_describe": Table("kpi", lambda L: kpi.kpi_discount_describe(L.raw["transaction_data"])),
+    "discount_counts": Table("kpi", lambda L: kpi.discount_counts(L.raw["transaction_data"]), pinned=True),
+    "kpi_discount_describe": Table("kpi", lambda L: kpi.kpi_discount_describe(L["discount_counts"])),
     "kpi_campaign_reach": Table("kpi", lambda L: kpi.kpi_campaign_reach(
         L.raw["transaction_data"], L.raw["campaign_desc"], L.raw["campaign_table"], L.raw["hh_demographic"])),
     "kpi_items_per_trip": Table("kpi", lambda L: kpi.kpi_items_per_trip(L.raw["transaction_data"])),

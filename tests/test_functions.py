@@ -9,6 +9,7 @@ from shelflift.functions import distributions as dist
 from shelflift.functions.intervals import wilson
 from shelflift.functions.ranking import exact_quantiles, ntile, quantile_bin, running_total
 from shelflift.functions.regression import clustered_treatment_effect
+from shelflift.operators import experiment
 
 
 def test_tail_probabilities():
@@ -60,9 +61,33 @@ def test_bins_match_interpolated_edges(frame, n):
 def test_quantiles_are_interpolated(frame):
     draw = random.Random(3)
     values = [draw.choice([-4.5, 0.0, 0.0, draw.random()]) for _ in range(501)]
-    df = frame("v double", [(v,) for v in values] + [(None,)])
-    got = exact_quantiles(df, "v", [0.0, 0.25, 0.5, 0.9, 1.0]).first()
-    assert list(got) == pytest.approx(list(np.quantile(values, [0.0, 0.25, 0.5, 0.9, 1.0])))
+    df = frame("g string, v double", [("a", v) for v in values] + [("a", None), ("b", 1.0)])
+    got = {r.g: list(r)[1:] for r in exact_quantiles(df.groupBy("g", "v").agg(F.count("*").alias("c")), [0.0, 0.25, 0.5, 0.9, 1.0], "g").collect()}
+    assert got["a"] == pytest.approx(list(np.quantile(values, [0.0, 0.25, 0.5, 0.9, 1.0]))) and got["b"] == [1.0] * 5
+
+
+@pytest.mark.parametrize("share", [0.2, 0.9, 1.0])
+def test_null_values_are_ranked_first(frame, share):
+    draw = random.Random(5)
+    rows = [(k, None if draw.random() < share else draw.randrange(5)) for k in range(1000)]
+    got = {r.k: r.row_num for r in running_total(frame("k bigint, v int", rows), "v", "k", cuts=8).collect()}
+    order = sorted(rows, key=lambda r: (r[1] is not None, r[1] or 0, r[0]))
+    assert got == {k: i + 1 for i, (k, _) in enumerate(order)}
+
+
+def draw_of(name, salt):
+    return experiment.draw(F.col(name), salt)
+
+
+def test_draws_are_one_to_one(spark):
+    keys = [*range(5000), *[k * 1_000_003 for k in range(1, 2000)], 2**31 - 1, 2**52]
+    rows = spark.createDataFrame([(k,) for k in keys], "k bigint").select("k", draw_of("k", 17).alias("d"), draw_of("k", 18).alias("e")).collect()
+    p, want = experiment.PRIME, {}
+    for k in keys:
+        x = (k * experiment.MULTIPLIER + 17 * experiment.SALT_MULTIPLIER % p + experiment.OFFSET) % p
+        want[k] = pow(pow(x, 3, p) + experiment.OFFSET, 3, p)
+    assert {r.k: r.d for r in rows} == want and len(set(want.values())) == len(set(keys))
+    assert all(r.d != r.e for r in rows)
 
 
 def panel(seed=1, effect=0.0):

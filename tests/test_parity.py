@@ -34,6 +34,5 @@ def test_query_equals_sql(spark, con, name):
     assert verdict == "ok"
 
 
-def test_every_query_has_sql_but_the_regressions():
-    without = set(entry.queries()) - set(entry.oracle_sql())
-    assert without == {"did_by_type", "pretrend_by_type", "did_summary", "campaign_results", "bi_campaign_results"}
+def test_every_query_of_the_analysis_has_sql():
+    assert set(entry.queries()) - set(entry.oracle_sql()) <= set(entry._corpus()[0])
