@@ -153,6 +153,8 @@ class Index:
             text = None
             for size in np.unique(size_of).tolist():
                 width = size - q + 1
+                if len(own) < width:
+                    continue
                 member = np.zeros(len(own) + 1, np.int64)
                 member[at[size_of == size] + 1] = 1
                 total = np.cumsum(member)

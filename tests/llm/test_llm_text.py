@@ -80,6 +80,7 @@ def test_decontamination_equals_all_windows(spark, docs):
             for j in range(k):
                 changed[-1 - j if n % 2 else j] = f"zz{rnd.random()}"
             probes.append("Before it. " * n + " ".join(changed).upper() + "; after -- it")
+    probes += [" ".join(t.split()[:8]) for _, t in items[:12]]  # texts shorter than the item they come from
     probes += [None, "", "...", "one two", items[3][1] * 2, items[4][1] + "\n" + items[5][1]]
     extra = items[:12] + [(900, "two words"), (901, None), (902, "!!"), (903, items[0][1])]
     probes.append("here are two words, and Two  Words again")
