@@ -114,7 +114,8 @@ def layout(conversations: DataFrame) -> Layout:
         F.coalesce(F.concat(F.lit("#"), F.col("conv_id").cast("string")), empty).alias("key"), F.col("conv_id").cast("string").alias("conv_id"),
         F.coalesce("role", empty).alias("role"), F.coalesce("text", empty).alias("text"), "turn")
     turns = pin(rows.repartition("key").sortWithinPartitions("key", "turn", "role", "text").drop("turn").mapInArrow(_chain, _CHAINED), "turns")
-    owners = turns.groupBy("node").agg(F.min("key").alias("owner"))
+    # Stored, so that the join below has an exchange of its own on both sides, of which Spark can split the parts of a common turn.
+    owners = pin(turns.groupBy("node").agg(F.min("key").alias("owner")), "owners")
     owned = pin(turns.select("key", "depth", "node", "n_tokens", "position").join(owners, "node"), "owned")
     runs = owned.groupBy("key", "owner").agg(
         F.min("depth").alias("branch"), F.min("position").alias("from"), F.sum("n_tokens").cast("long").alias("n"))
