@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from shelflift import schema
 from shelflift.operators.quality import NAMES
 
 RESULTS: dict[str, str] = {}
+FREE_ITEMS = ", ".join(f"'{code}'" for code in schema.FREE_ITEM_MAILERS)
 
 
 def d(expr: str, name: str | None = None) -> str:
@@ -267,6 +269,27 @@ SELECT campaign, campaign_type, n1 AS targeted, n0 AS comparison, {d("b1", "befo
        {d("b0", "before_comparison")}, {d("m1 - m0", "did_per_week")}, {d("t", "t_value")}, {d("nu", "dof")},
        {d("p", "p_value")}
 FROM t LEFT JOIN p USING (campaign)"""
+_EFFECT = ("effect_per_week", "ci95_low", "ci95_high", "p_value")
+RESULTS["did_by_type"] = f"""SELECT campaign_type, campaigns, targeted_households,
+{ds(*_EFFECT, "effect_pct_of_spend", "total_extra_sales")} FROM v_did_never"""
+RESULTS["pretrend_by_type"] = f"""SELECT campaign_type, {d("effect_per_week", "pre_trend_per_week")},
+{ds("ci95_low", "ci95_high", "p_value")} FROM v_pre_never"""
+RESULTS["did_summary"] = f"""
+SELECT campaign_type, {d("a.effect_per_week", "effect_never")}, {d("a.p_value", "p_never")}, {d("b.p_value", "pre_trend_p_never")},
+       {d("c.effect_per_week", "effect_other_times")}, {d("c.p_value", "p_other_times")}, {d("e.p_value", "pre_trend_p_other_times")}
+FROM v_did_never a FULL JOIN v_pre_never b USING (campaign_type) FULL JOIN v_did_other c USING (campaign_type)
+FULL JOIN v_pre_other e USING (campaign_type)"""
+RESULTS["campaign_results"] = f"""
+WITH both_designs AS (
+  SELECT a.*, b.p_value AS pre_p, 'Never targeted' AS comparison FROM v_did_never a LEFT JOIN v_pre_never b USING (campaign_type)
+  UNION ALL
+  SELECT a.*, b.p_value, 'Targeted at other times' FROM v_did_other a LEFT JOIN v_pre_other b USING (campaign_type)
+)
+SELECT campaign_type, x.campaigns, targeted_households, {ds(*_EFFECT, "effect_pct_of_spend", "total_extra_sales")},
+       {d("pre_p", "pre_trend_p")}, comparison, o.campaigns AS campaigns_sent, o.households_targeted, o.households_redeemed,
+       {d("o.response_rate", "response_rate")}, pre_p > 0.05 AS passes_pre_trend
+FROM both_designs x JOIN v_overview o USING (campaign_type)"""
+RESULTS["bi_campaign_results"] = RESULTS["campaign_results"]
 RESULTS["event_study"] = f"""
 WITH n AS (SELECT campaign, any_value(campaign_type) AS campaign_type, count(*) FILTER (treated = 1) AS n1,
                   count(*) FILTER (treated = 0) AS n0 FROM v_panel_never GROUP BY campaign),
@@ -339,7 +362,7 @@ SELECT grouping, value, n AS households, x AS redeemed, {d("x / n", "rate")},
 FROM (SELECT *, CAST(1.959963984540054 AS DOUBLE) ** 2 AS zz FROM v_rates)"""
 # Upper tail of the chi-square density, integrated with Simpson's rule over 400 beyond the statistic.
 RESULTS["redemption_chi_square"] = f"""
-WITH m AS (SELECT grouping, sum(n) AS n, sum(x) AS x, count(*) AS k FROM v_rates GROUP BY 1),
+WITH m AS (SELECT grouping, sum(n) AS n, sum(x) AS x, count(*) AS k FROM v_rates WHERE grouping <> 'overall' GROUP BY 1),
 cells AS (
   SELECT r.grouping, m.k, abs(r.x - r.n * m.x / m.n) AS off, r.n * m.x / m.n AS e1, r.n * (m.n - m.x) / m.n AS e0
   FROM v_rates r JOIN m USING (grouping)
@@ -373,12 +396,13 @@ SELECT household_key, segment, {_SCORES}, days_since_last, trips, {c("sales_c",
        CASE WHEN income_desc IS NULL THEN 'Not known' ELSE coalesce(b.income_band, '$125K+') END AS income_band
 FROM v_dimhome LEFT JOIN v_bands b USING (income_desc)"""
 RESULTS["bi_promo_uplift"] = f"""
-SELECT CASE level[1] WHEN '1' THEN 'Promotion type' WHEN '2' THEN 'Display location' ELSE 'Mailer placement' END AS level,
+SELECT CASE level WHEN '{schema.LEVEL_TYPE}' THEN 'Promotion type' WHEN '{schema.LEVEL_DISPLAY}' THEN 'Display location'
+                  ELSE 'Mailer placement' END AS level,
        coalesce(n.position, s.placement) AS placement, promo_weeks, {ds("extra_sales", "uplift_pct", "avg_extra_per_week",
        "ci95")}, {d("avg_extra_per_week - ci95", "ci_low")}, {d("avg_extra_per_week + ci95", "ci_high")},
        {ds("net_extra_sales", "discount_given", "extra_per_discount_dollar")}
 FROM v_summary s LEFT JOIN v_names n USING (level, placement)
-WHERE NOT (level LIKE '3.%' AND s.placement IN ('P', 'X', 'Z'))"""
+WHERE NOT (level = '{schema.LEVEL_MAILER}' AND s.placement IN ({FREE_ITEMS}))"""
 RESULTS["bi_promo_cannibalisation"] = f"""SELECT grp AS promo_type, {ds(*_CANNIBAL)}
 FROM v_cannibal WHERE level = '2. promo type'"""
 
@@ -473,6 +497,7 @@ RESULTS["rec_display_on_mailer"] = f"""
 SELECT {d("share", "share_of_mailer_weeks")}, {d("weeks", "weeks_converted")}, {d("gain", "gain_per_week")},
        {d("cost", "discount_per_week")}, {d("weeks * gain", "extra_sales")}, {d("weeks * cost", "extra_discount")},
        {d("weeks / display_weeks", "more_display_weeks")},
+       {d("(weeks * gain) / nullif(weeks * cost, 0)", "extra_sales_per_discount_dollar")},
        {d("weeks * gain / 2 / homes * 1000", "extra_sales_per_1000_hh_yr")} FROM v_display"""
 RESULTS["rec_slot_upgrade"] = f"""
 SELECT {d("s", "extra_sales_per_week")}, {d("x", "extra_discount_per_week")},
@@ -549,7 +574,7 @@ SELECT n1 AS test_households, n0 AS control_households, {d("m1", "test_weekly_sp
 FROM m"""
 _VIEW_ROWS = {
     "dim_week": "v_week", "fact_baskets": "v_trips", "fact_category_week": "v_category", "dim_household": "v_dimhome",
-    "promo_uplift": "(SELECT * FROM v_summary WHERE NOT (level LIKE '3.%' AND placement IN ('P', 'X', 'Z')))",
+    "promo_uplift": f"(SELECT * FROM v_summary WHERE NOT (level = '{schema.LEVEL_MAILER}' AND placement IN ({FREE_ITEMS})))",
     "promo_cannibalisation": "(SELECT * FROM v_cannibal WHERE level = '2. promo type')",
     "campaign_results": "(SELECT DISTINCT 'a', campaign_type FROM v_panel_never UNION ALL "
                         "SELECT DISTINCT 'b', campaign_type FROM v_panel_other)",
@@ -570,7 +595,7 @@ _STORED = {
                      "FROM v_active) SEMI JOIN v_pairs USING (product_id, store_id)",
     "promo_week_uplift": "v_uplift", "uplift_summary": "v_summary", "subcat_weeks": "v_subweeks",
     "cannibalisation_summary": "v_cannibal", "daily_spend": "(SELECT DISTINCT household_key, day FROM v_trips)",
-    "campaign_spend": "v_periods", "did_members_never": "v_panel_never", "did_members_other": "v_panel_other",
+    "campaign_spend": "(SELECT household_key, campaign FROM v_panel_never UNION SELECT household_key, campaign FROM v_panel_other)", "did_members_never": "v_panel_never", "did_members_other": "v_panel_other",
     "did_panel_never": "v_panel_never", "did_panel_other_times": "v_panel_other",
     "did_never": "(SELECT DISTINCT campaign_type FROM v_panel_never)",
     "did_other": "(SELECT DISTINCT campaign_type FROM v_panel_other)",

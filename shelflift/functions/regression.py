@@ -19,6 +19,9 @@ from pyspark.sql import DataFrame, functions as F
 from shelflift.functions.columns import ratio
 from shelflift.functions.distributions import normal_two_sided_p
 
+# A fit with more cells than this is joined like any other table.
+BROADCAST_CELLS = 100_000
+
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
@@ -56,8 +59,9 @@ def clustered_treatment_effect(
         lambda pdf: _fit_cells(pdf, a, b),
         f"{schema}, fitted double, weight double, effect double, columns bigint",
     )
+    few = cells.limit(BROADCAST_CELLS + 1).count() <= BROADCAST_CELLS
     scores = (
-        rows.join(fit, keys)
+        rows.join(F.broadcast(fit) if few else fit, keys)
         .groupBy(group, cluster)
         .agg(
             F.sum(F.col("weight") * (F.col("_y") - F.col("fitted"))).alias("score"),

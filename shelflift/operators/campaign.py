@@ -2,9 +2,8 @@
 
 Every campaign splits the calendar into four periods: history, earlier (the 8 weeks before "before"),
 before (the 8 weeks before the start) and during. Trips are first summed per household and day, which bounds a
-household to one row per calendar day however often it shops. The periods are expanded to days, so that all
-campaigns and periods are served by one equality join, and because the daily rows are partitioned by
-household before it, the expanded rows are summed where they are and not shuffled.
+household to one row per calendar day however often it shops. Which campaigns a household can stand for is settled first, from the
+few campaign rows and its own targets; its days then meet only those, by household, and are summed where they are.
 """
 
 from __future__ import annotations
@@ -87,79 +86,73 @@ def window_spend(daily: DataFrame, windows: Mapping[str, tuple[int, int]]) -> Da
     return daily.groupBy("household_key").agg(*[weekly(*w).alias(name) for name, w in windows.items()])
 
 
-def campaign_days(campaigns: DataFrame, p: Params) -> DataFrame:
-    """One row per campaign and calendar day up to its end, with the period the day falls in."""
-    s, end = F.col("start_day"), _last_campaign_day(p)
-    period = (
-        F.when(F.col("day") >= s, "during")
-        .when(F.col("day") >= s - p.before_days, "before")
-        .when(F.col("day") >= s - 2 * p.before_days, "earlier")
-        .otherwise("history")
-    )
-    return (
-        campaigns.where(s <= p.last_day)
-        .select("campaign", "start_day", F.explode(F.sequence(F.lit(1), end)).alias("day"))
-        .select("campaign", "day", period.alias("period"))
-    )
+def _all_campaigns(campaigns: DataFrame, p: Params) -> Column:
+    """The campaigns that start inside the data as one array: a few dozen rows of four numbers."""
+    inside = campaigns.where(F.col("start_day") <= p.last_day)
+    one = F.struct("campaign", F.col("start_day").cast("int").alias("start_day"), _last_campaign_day(p).cast("int").alias("last"))
+    return inside.agg(F.array_sort(F.collect_list(one))).scalar()
 
 
-def campaign_spend(daily: DataFrame, campaigns: DataFrame, p: Params) -> DataFrame:
-    """Spend per household, campaign and period, for households that shopped in the 8 weeks before."""
-    by_household = daily.repartition("household_key")
-    spent = by_household.join(campaign_days(campaigns, p), "day").groupBy("household_key", "campaign").agg(*[
-        F.coalesce(sum_where(F.col("period") == name, F.col("spend")), F.lit(0).cast("decimal(38,2)")).alias(name)
-        for name in ("history", "earlier", "before", "during")
-    ])
-    return spent.where(F.col("before") > 0)
+def memberships(daily: DataFrame, campaigns: DataFrame, targets: DataFrame, p: Params) -> DataFrame:
+    """Per shopping household, the campaigns it can stand for in either design, with start and last day.
 
-
-def busy_households(campaigns: DataFrame, targets: DataFrame, p: Params) -> DataFrame:
-    """(household, campaign) where any campaign ran for the household from 16 weeks before until the end.
-
-    Overlapping campaigns are found by an equality join on days.
+    ``treated``: it was targeted. ``ever``: some campaign targeted it. ``busy``: one of its campaigns ran between 16 weeks before the start and
+    the last day of this one. Households that were targeted, but are busy around a campaign that was not sent to them, stand for neither group of it.
     """
-    running = campaigns.select(
-        F.col("campaign").alias("other"),
-        F.explode(F.sequence(F.col("start_day"), F.col("end_day"))).alias("day"),
+    own = (
+        targets.select("household_key", "campaign").distinct()
+        .join(campaigns.select("campaign", "start_day", "end_day"), "campaign")
+        .groupBy("household_key").agg(F.collect_list(F.struct("campaign", "start_day", "end_day")).alias("own"))
     )
-    watched = campaigns.select(
-        "campaign",
-        F.explode(F.sequence(F.col("start_day") - 2 * p.before_days, _last_campaign_day(p))).alias("day"),
-    )
-    overlaps = running.join(watched, "day").select("other", "campaign").distinct()
+    shoppers = daily.select("household_key").distinct()
+    ever = F.col("own").isNotNull()
+
+    def judged(c: Column) -> Column:
+        mine = F.coalesce("own", F.array().cast("array<struct<campaign:int,start_day:int,end_day:int>>"))
+        return F.struct(
+            c["campaign"].alias("campaign"), c["start_day"].alias("start_day"), c["last"].alias("last"),
+            F.exists(mine, lambda o: o["campaign"] == c["campaign"]).alias("treated"), ever.alias("ever"),
+            F.exists(mine, lambda o: (o["start_day"] <= c["last"]) & (o["end_day"] >= c["start_day"] - 2 * p.before_days)).alias("busy"))
+
+    every = F.transform(F.col("every"), judged)
+    stands = F.filter(every, lambda m: m["treated"] | ~m["ever"] | ~m["busy"])
     return (
-        targets.select("household_key", F.col("campaign").alias("other"))
-        .join(overlaps, "other")
-        .select("household_key", "campaign")
-        .distinct()
+        shoppers.join(own, "household_key", "left").withColumn("every", _all_campaigns(campaigns, p))
+        .select("household_key", stands.alias("members"))
     )
 
 
-def did_members(
-    spent: DataFrame, campaigns: DataFrame, targets: DataFrame, p: Params, comparison: str = NEVER
-) -> DataFrame:
+def campaign_spend(daily: DataFrame, campaigns: DataFrame, targets: DataFrame, p: Params) -> DataFrame:
+    """Spend per member household, campaign and period, for households that shopped in the 8 weeks before."""
+    half, day, m = p.before_days, F.col("day"), F.col("m")
+    pairs = daily.join(memberships(daily, campaigns, targets, p), "household_key").withColumn(
+        "m", F.explode(F.filter("members", lambda m: m["last"] >= day)))
+    start = F.col("m.start_day")
+    period = (
+        F.when(day >= start, "during").when(day >= start - half, "before")
+        .when(day >= start - 2 * half, "earlier").otherwise("history")
+    )
+    spent = pairs.select(
+        "household_key", "m.campaign", "m.treated", "m.ever", "m.busy", period.alias("period"), "spend",
+    ).groupBy("household_key", "campaign").agg(
+        *[F.first(c).alias(c) for c in ("treated", "ever", "busy")],
+        *[F.coalesce(sum_where(F.col("period") == name, F.col("spend")), F.lit(0).cast("decimal(38,2)")).alias(name)
+          for name in ("history", "earlier", "before", "during")])
+    return spent.where(F.col("before") > 0)
+
+
+def did_members(spent: DataFrame, comparison: str = NEVER) -> DataFrame:
     """Households of the panel: the targeted ones and the comparison group of each campaign.
 
     ``spent`` is the result of :func:`campaign_spend`. ``comparison="never"`` compares with households that
     no campaign was ever sent to, ``"other_times"`` with targeted households that had nothing running around
     this campaign.
     """
-    treated = targets.select("household_key", "campaign").distinct().withColumn("is_treated", F.lit(1))
-    ever = targets.select("household_key").distinct().withColumn("ever", F.lit(1))
-    members = spent.join(ever, "household_key", "left").join(treated, ["household_key", "campaign"], "left")
-    if comparison == NEVER:
-        members = members.where(F.col("is_treated").isNotNull() | F.col("ever").isNull())
-    elif comparison == OTHER_TIMES:
-        busy = busy_households(campaigns, targets, p).withColumn("busy", F.lit(1))
-        members = members.join(busy, ["household_key", "campaign"], "left").where(
-            F.col("is_treated").isNotNull() | (F.col("ever").isNotNull() & F.col("busy").isNull())
-        )
-    else:
+    compared = {NEVER: ~F.col("ever"), OTHER_TIMES: F.col("ever") & ~F.col("busy")}
+    if comparison not in compared:
         raise ValueError(f"unknown comparison: {comparison}")
-    return members.select(
-        "household_key", "campaign", F.coalesce("is_treated", F.lit(0)).alias("treated"),
-        "history", "earlier", "before", "during",
-    )
+    return spent.where(F.col("treated") | compared[comparison]).select(
+        "household_key", "campaign", F.col("treated").cast("int").alias("treated"), "history", "earlier", "before", "during")
 
 
 def did_panel(members: DataFrame, campaigns: DataFrame, p: Params) -> DataFrame:
@@ -227,12 +220,14 @@ def did_by_type(panel: DataFrame, p: Params, outcome: str = "change") -> DataFra
         panel, outcome, "campaign_type", "campaign", "spend_decile", "household_key", p.z95
     )
     treated = F.col("treated") == 1
-    sizes = panel.groupBy("campaign_type").agg(
-        F.countDistinct("campaign").alias("campaigns"),
-        F.countDistinct(F.when(treated, F.col("household_key"))).alias("targeted_households"),
-        F.avg(F.when(treated, F.col("before"))).alias("before"),
-        sum_where(treated, F.col("weeks")).alias("treated_weeks"),
-    )
+    # Distinct counts as counts of groups: several of them at once would multiply the panel's rows.
+    per_campaign = panel.groupBy("campaign_type", "campaign").agg(
+        sum_where(treated, F.col("before")).alias("spent"), F.count_if(treated).alias("n"), sum_where(treated, F.col("weeks")).alias("w"))
+    sizes = per_campaign.groupBy("campaign_type").agg(
+        F.count(F.lit(1)).alias("campaigns"), ratio(F.sum("spent"), F.sum("n")).alias("before"), F.sum("w").alias("treated_weeks"))
+    homes = panel.where(treated).select("campaign_type", "household_key").distinct().groupBy("campaign_type").agg(
+        F.count(F.lit(1)).alias("targeted_households"))
+    sizes = sizes.join(homes, "campaign_type", "left").withColumn("targeted_households", F.coalesce("targeted_households", F.lit(0)))
     return fit.join(sizes, "campaign_type").select(
         "campaign_type", "campaigns", "targeted_households",
         F.col("effect").alias("effect_per_week"), "ci95_low", "ci95_high", "p_value",
@@ -274,18 +269,12 @@ def event_study(daily: DataFrame, campaigns: DataFrame, panel: DataFrame, p: Par
     centred on its mean over the weeks before the start; types average campaigns by targeted households.
     """
     w = p.event_weeks
-    start_days = campaigns.select(
-        "campaign", "start_day",
-        F.explode(F.sequence(F.col("start_day") - 7 * w, F.col("start_day") + 7 * w + 6)).alias("day"),
-    ).select("campaign", "day", F.floor((F.col("day") - F.col("start_day")) / 7).cast("int").alias("rel_week"))
-    weekly = (
-        daily.repartition("household_key")
-        .join(start_days, "day")
-        .groupBy("household_key", "campaign", "rel_week")
-        .agg(F.sum("spend").alias("spend"))
-    )
-    members = panel.select("household_key", "campaign", "treated")
-    sums = weekly.join(members, ["household_key", "campaign"]).groupBy("campaign", "rel_week").agg(
+    starts = campaigns.select("campaign", "start_day")
+    members = panel.select("household_key", "campaign", "treated").join(starts, "campaign")
+    rel_week = F.floor((F.col("day") - F.col("start_day")) / 7).cast("int")
+    around = daily.join(members, "household_key").where(F.col("day").between(
+        F.col("start_day") - 7 * w, F.col("start_day") + 7 * w + 6))
+    sums = around.groupBy("campaign", rel_week.alias("rel_week")).agg(
         sum_where(F.col("treated") == 1, F.col("spend")).alias("s1"),
         sum_where(F.col("treated") == 0, F.col("spend")).alias("s0"),
     )

@@ -64,6 +64,7 @@ def rec_display_on_mailer(economics: DataFrame, homes: DataFrame, p: Params) ->
             (F.col("weeks_converted") * F.col("cost")).alias("extra_discount"),
             ratio(F.col("weeks_converted"), F.col("display_weeks")).alias("more_display_weeks"),
         )
+        .withColumn("extra_sales_per_discount_dollar", ratio(F.col("extra_sales"), F.col("extra_discount")))
         .withColumn("extra_sales_per_1000_hh_yr", _per_1000_households(F.col("extra_sales"), households, p))
     )
 

@@ -11,7 +11,7 @@ from shelflift.functions.intervals import wilson
 from shelflift.functions.ranking import ntile
 from shelflift.params import Params
 from shelflift.schema import (
-    AT_RISK, CHAMPIONS, INCOME_BANDS, LOST, LOYAL, NEEDS_ATTENTION, PROMISING,
+    AT_RISK, CHAMPIONS, FAIR_SCORE, HIGH_SCORE, INCOME_BANDS, LOST, LOYAL, NEEDS_ATTENTION, PROMISING,
 )
 
 
@@ -61,12 +61,12 @@ def rfm_scores(base: DataFrame) -> DataFrame:
 
 
 def segment(r: Column, f: Column) -> Column:
-    recent, regular = r >= 4, f >= 3
+    recent, regular = r >= HIGH_SCORE, f >= FAIR_SCORE
     return (
-        F.when(recent & (f >= 4), CHAMPIONS)
-        .when((r >= 3) & regular, LOYAL)
+        F.when(recent & (f >= HIGH_SCORE), CHAMPIONS)
+        .when((r >= FAIR_SCORE) & regular, LOYAL)
         .when(recent, PROMISING)
-        .when(r == 3, NEEDS_ATTENTION)
+        .when(r == FAIR_SCORE, NEEDS_ATTENTION)
         .when(regular, AT_RISK)
         .otherwise(LOST)
     )
@@ -113,7 +113,8 @@ def rfm_segment_summary(rfm: DataFrame) -> DataFrame:
         F.round("avg_trips", 0).alias("avg_trips"),
         F.round(ratio(F.col("all_sales"), F.col("households")), 0).alias("avg_sales"),
         "gone_quiet", "fading",
-    ).orderBy(F.desc("pct_sales"))
+        F.col("all_sales").alias("_order"),
+    ).orderBy(F.desc("_order")).drop("_order")
 
 
 def churn_flags(rfm: DataFrame) -> DataFrame:
@@ -209,13 +210,14 @@ def household_income_bands(homes: DataFrame) -> DataFrame:
     )
 
 
+OVERALL = "overall"
 DEMOGRAPHICS = ["age_desc", "income_band", "hh_comp_desc", "kid_category_desc", "homeowner_desc"]
 
 
 def redemption_by(homes: DataFrame, rfm: DataFrame) -> DataFrame:
     """Share of targeted households that redeemed a coupon, with its 95 % range.
 
-    Grouped by segment over all targeted households and by each demographic over those that have any; one
+    Over all targeted households, over those with demographics, by segment, and by each demographic over those that have any; one
     scan emits a household's groups.
     """
     targeted = (
@@ -224,6 +226,8 @@ def redemption_by(homes: DataFrame, rfm: DataFrame) -> DataFrame:
         .withColumn("income_band", income_band(F.col("income_desc")))
     )
     groups = F.array(
+        F.struct(F.lit(OVERALL).alias("grouping"), F.lit("all targeted").alias("value")),
+        F.struct(F.lit(OVERALL).alias("grouping"), F.when(F.col("has_demographics"), "with demographics").alias("value")),
         F.struct(F.lit("segment").alias("grouping"), F.col("segment").alias("value")),
         *[F.struct(F.lit(d).alias("grouping"), F.when(F.col("has_demographics"), F.col(d)).alias("value"))
           for d in DEMOGRAPHICS],
@@ -243,6 +247,7 @@ def redemption_by(homes: DataFrame, rfm: DataFrame) -> DataFrame:
 
 def redemption_chi_square(rates: DataFrame) -> DataFrame:
     """Do redemption rates differ between the groups of each grouping? (continuity correction for 2 groups)"""
+    rates = rates.where(F.col("grouping") != OVERALL)
     totals = rates.groupBy("grouping").agg(
         F.sum("households").alias("n"), F.sum("redeemed").alias("r"), F.count(F.lit(1)).alias("k")
     )

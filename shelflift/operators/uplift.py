@@ -206,7 +206,7 @@ def uplift_summary(uplift: DataFrame, p: Params) -> DataFrame:
         F.round(s["extra"] + F.coalesce(s["after"], F.lit(0.0)), 0).alias("net_extra_sales"),
         F.round(s["given"], 0).cast("double").alias("discount_given"),
         F.round(ratio(s["extra"], s["given"]), 2).alias("extra_per_discount_dollar"),
-    )
+    ).orderBy("level", F.desc("extra_sales"))
 
 
 def uplift_by_type_share(summary: DataFrame) -> DataFrame:

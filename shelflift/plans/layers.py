@@ -60,8 +60,7 @@ class Layers:
 
 
 def _members(design: str) -> Callable[[Layers], DataFrame]:
-    return lambda L: campaign.did_members(
-        L["campaign_spend"], L["campaigns"], L.raw["campaign_table"], L.p, design)
+    return lambda L: campaign.did_members(L["campaign_spend"], design)
 
 
 def _campaign_results(L: Layers) -> DataFrame:
@@ -127,7 +126,7 @@ TABLES: dict[str, Table] = {
         L["campaigns"], L.raw["campaign_table"], L.raw["coupon_redempt"], L.p)),
     "campaign_overview": Table("analysis", lambda L: campaign.campaign_overview(L["campaign_reach_response"])),
     "campaign_spend": Table("analysis", lambda L: campaign.campaign_spend(
-        L["daily_spend"], L["campaigns"], L.p), True),
+        L["daily_spend"], L["campaigns"], L.raw["campaign_table"], L.p), True, pinned=True),
     "did_members_never": Table("analysis", _members(campaign.NEVER), True, pinned=True),
     "did_members_other": Table("analysis", _members(campaign.OTHER_TIMES), True, pinned=True),
     "did_panel_never": Table("analysis", lambda L: campaign.did_panel(

@@ -71,7 +71,9 @@ MAILER_NAMES = {
 }
 FREE_ITEM_MAILERS = ["X", "Z", "P"]
 
-# Customer segments.
+# Customer segments, and the quintile scores from which they count as high and as fair.
+HIGH_SCORE = 4
+FAIR_SCORE = 3
 CHAMPIONS = "Champions"
 LOYAL = "Loyal"
 PROMISING = "Promising"
