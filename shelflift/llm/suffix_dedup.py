@@ -334,7 +334,9 @@ def _settle(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         spread = kept.filter("salt > 0")
         each = pin(spread.groupBy("gram", "whole").agg(F.count("*").alias("n"), F.min(F.struct("key", "place")).alias("one")), "heavy")
         mixed = each.groupBy("gram").count().filter("count > 1").select("gram")
-        settled = settled.unionByName(_ranges(spread.select("gram", "whole", "key", "place").join(
+        # What repeats under its own salt is settled; only the others ask whether it repeats elsewhere.
+        single = spread.filter("n = 1").select("gram", "whole", "key", "place")
+        settled = settled.unionByName(_ranges(spread.filter("n > 1"))).unionByName(_ranges(single.join(
             each.filter("n > 1").select("gram", "whole"), ["gram", "whole"])))
         open_ = open_.unionByName(each.join(mixed, "gram").select("gram", "whole", "one.key", "one.place", "n"))
     return settled, open_
