@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from oracle.results import RESULTS
+from oracle.results import CONTENTS, RESULTS
 from oracle.views import VIEWS
 
 

@@ -39,7 +39,17 @@ SOURCES = {
 COUNTS = " UNION ALL ".join(
     f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {v}" for t, v in SOURCES.items()
 )
-RESULTS["load_csv"] = TX
+_CENTS = {"sales_value": "sales_c", "retail_disc": "retail_c", "coupon_disc": "coupon_c", "coupon_match_disc": "match_c"}
+
+
+def _checksum(table: str, view: str) -> str:
+    columns = [c.split(" ")[0] for c in schema.SOURCE_TABLES[table].split(", ")]
+    text = ", ".join(f"coalesce(CAST({_CENTS.get(c, c)} AS VARCHAR), '')" for c in columns)
+    return (f"SELECT '{table}' AS table_name, count(*) AS row_count, "
+            f"CAST(sum(('0x' || substr(md5(concat_ws('|', {text})), 1, 8))::BIGINT) AS BIGINT) AS checksum FROM {view}")
+
+
+RESULTS["load_csv"] = " UNION ALL ".join(_checksum(t, v) for t, v in SOURCES.items())
 RESULTS["load_counts"] = COUNTS
 RESULTS["read_csv_subset"] = """SELECT campaign, t.description, household_key, start_day, end_day
 FROM v_targets t JOIN v_campaign_desc USING (campaign)"""
@@ -581,12 +591,19 @@ _VIEW_ROWS = {
 }
 RESULTS["bi_row_counts"] = " UNION ALL ".join(
     f"SELECT '{n}' AS view_name, count(*) AS rows FROM {v}" for n, v in _VIEW_ROWS.items())
-RESULTS["report_sink"] = """
-SELECT 'Summary' AS table_name, 4 AS row_count
-UNION ALL SELECT 'Departments', count(DISTINCT department) FROM v_categories
-UNION ALL SELECT 'Categories', count(*) FROM v_categories
-UNION ALL SELECT 'Rising', least(count(*), 10) FROM v_categories WHERE avg4 >= 100 AND this > avg4
-UNION ALL SELECT 'Falling', least(count(*), 10) FROM v_categories WHERE avg4 >= 100 AND this < avg4"""
+
+
+def _content(name: str, sql: str) -> str:
+    """Rows of a query's result and the sum of everything in it that reads as a number."""
+    return (f"SELECT '{name}' AS table_name, (SELECT count(*) FROM ({sql})) AS row_count, "
+            f"(SELECT floor(list_sum(list_value(*COLUMNS(*))) * 100 + 0.5) / 100 FROM "
+            f"(SELECT coalesce(sum(TRY_CAST(COLUMNS(*) AS DOUBLE)), 0) FROM ({sql}))) AS numbers")
+
+
+RESULTS["report_sink"] = " UNION ALL ".join(_content(sheet, RESULTS[name] if kind is None else
+    f"SELECT * EXCLUDE (direction) FROM ({RESULTS[name]}) WHERE direction = '{kind}'") for sheet, name, kind in (
+        ("Summary", "weekly_headline", None), ("Departments", "weekly_department_report", None), ("Categories", "weekly_category_report", None),
+        ("Rising", "weekly_movers", "rising"), ("Falling", "weekly_movers", "falling")))
 _STORED = {
     "transactions": "v_lines", "promotions": "v_promos", "promo_stores": "(SELECT DISTINCT store_id FROM v_promos)",
     "weekly_product_store_sales": "v_weekly", "weekly_category_sales": "v_category", "baskets": "v_trips",
@@ -606,5 +623,10 @@ _STORED = {
     "bi_promo_uplift": _VIEW_ROWS["promo_uplift"], "bi_promo_cannibalisation": _VIEW_ROWS["promo_cannibalisation"],
     "bi_campaign_results": _VIEW_ROWS["campaign_results"],
 }
+# Stored tables whose query has another name, and those that have none: of these only the rows are compared.
+_QUERY_OF = {"transactions": "clean_transactions", "promotions": "clean_promotions", "did_never": "did_by_type",
+             "pretrend_never": "pretrend_by_type", "campaign_did": "campaign_results"}
+CONTENTS = {n for n in _STORED if _QUERY_OF.get(n, n) in RESULTS}
 RESULTS["rebuild_all"] = " UNION ALL ".join(
-    f"SELECT '{n}' AS table_name, count(*) AS row_count FROM {v}" for n, v in _STORED.items())
+    _content(n, RESULTS[_QUERY_OF.get(n, n)]) if n in CONTENTS
+    else f"SELECT '{n}' AS table_name, count(*) AS row_count, NULL::DOUBLE AS numbers FROM {v}" for n, v in _STORED.items())

@@ -11,8 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 from shelflift.operators import weekly
 from shelflift.params import Params
 from shelflift.plans.layers import TABLES, Layers
+from shelflift.schema import SOURCE_TABLES
 from shelflift.sources.csv import load_csv
 from shelflift.sources.report import report_sheets, write_report
+from shelflift.sources.tables import clear_scratch
 
 REPORT_INPUTS = ("dim_week", "fact_baskets", "fact_category_week")
 CAMPAIGN_RESULTS = "campaign_did"
@@ -22,6 +24,20 @@ CAMPAIGN_STEPS = {
 }
 
 
+def load_raw(spark: SparkSession, folder: str, out: str) -> None:
+    """Read the eight CSV files once and store them as typed tables under ``<out>/raw``."""
+    for name, df in load_csv(spark, folder).items():
+        df.write.mode("overwrite").parquet(f"{out.rstrip('/')}/raw/{name}")
+
+
+def stored_raw(spark: SparkSession, out: str) -> dict[str, DataFrame]:
+    """The stored source tables; stops when they were never loaded."""
+    try:
+        return {name: spark.read.parquet(f"{out.rstrip('/')}/raw/{name}") for name in SOURCE_TABLES}
+    except AnalysisException as missing:
+        raise RuntimeError("there are no stored source tables; run once with --load-raw") from missing
+
+
 def rebuild_all(
     spark: SparkSession,
     raw: Mapping[str, DataFrame],
@@ -64,17 +80,20 @@ def rebuild_all(
 
 def main() -> None:
     parser = argparse.ArgumentParser(description=__doc__)
-    parser.add_argument("source", help="folder with the eight CSV files")
-    parser.add_argument("out", help="folder for the layer tables and reports")
+    parser.add_argument("out", help="folder for the source tables, the layer tables and the reports")
+    parser.add_argument("--load-raw", metavar="FOLDER", help="first load the eight CSV files of this folder")
     parser.add_argument("--week", type=int, help="week of the report (default: the latest complete week)")
     parser.add_argument("--report-only", action="store_true", help="use the stored tables")
     parser.add_argument("--reuse-campaigns", action="store_true", help="keep the stored campaign results")
     args = parser.parse_args()
     spark = SparkSession.builder.appName("shelflift").config("spark.ui.enabled", "false").getOrCreate()
+    if args.load_raw:
+        load_raw(spark, args.load_raw, args.out)
     rebuild_all(
-        spark, load_csv(spark, args.source), args.out, week=args.week, report_only=args.report_only,
+        spark, stored_raw(spark, args.out), args.out, week=args.week, report_only=args.report_only,
         reuse_campaigns=args.reuse_campaigns,
     )
+    clear_scratch(spark)
 
 
 if __name__ == "__main__":

@@ -196,9 +196,7 @@ class RetailTables(Mapping):
 
         def read_lines(*columns: str) -> DataFrame:
             # The test files hold a single row group, which one task would read and derive everything from.
-            lines = read("lineitem").select(*columns)
-            cores = spark.sparkContext.defaultParallelism
-            return lines.repartition(cores) if lines.rdd.getNumPartitions() < cores else lines
+            return read("lineitem").select(*columns).repartition(spark.sparkContext.defaultParallelism)
 
         self._build = {
             "transaction_data": lambda: transaction_data(read_lines(

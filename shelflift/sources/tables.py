@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from collections.abc import Sequence
@@ -9,17 +11,35 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path in the shared folder named by ``spark.checkpoint.dir``.
+# The folder of a local session that names none, by application.
+_LOCAL: dict[str, str] = {}
+
 
-    A local temporary folder is used only when the session runs in one process and names no folder.
+def _scratch_folder(spark: SparkSession) -> str:
+    """This application's folder below ``spark.checkpoint.dir``.
+
+    Only a session that is known to run in one process may go without that setting; its folder goes when the process ends.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.conf.get("spark.master", "local").startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
-        base = tempfile.mkdtemp(prefix="shelflift-")
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    base, app = spark.conf.get("spark.checkpoint.dir", None), spark.sparkContext.applicationId
+    if base:
+        return f"{base.rstrip('/')}/shelflift-{app}"
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
+    if app not in _LOCAL:
+        _LOCAL[app] = tempfile.mkdtemp(prefix="shelflift-")
+        atexit.register(shutil.rmtree, _LOCAL[app], ignore_errors=True)
+    return _LOCAL[app]
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh path in this application's scratch folder."""
+    return f"{_scratch_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete this application's scratch folder; frames that read from it are of no use afterwards."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_scratch_folder(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def read_table(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
@@ -37,7 +57,7 @@ def materialize(
     """Store ``df``, replacing what is there, and return the stored table.
 
     ``cluster_by`` range-partitions and sorts the rows, so that Parquet min/max statistics let later
-    reads skip row groups; range partitioning also spreads a hot key prefix over several files.
+    reads skip row groups. It names enough columns to tell rows of a hot first key apart; those then lie in several files.
     """
     if cluster_by:
         df = df.repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by)

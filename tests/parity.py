@@ -5,8 +5,11 @@ Usage: python tests/parity.py <data folder> [query ...]
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -18,6 +21,13 @@ DRIVER_TABLES = ("region nation customer supplier part orders lineitem events do
                  "benchmark labels conversations").split()
 
 
+def _scratch() -> str:
+    """A folder for this process's session, which runs on this machine alone; removed at the end."""
+    folder = tempfile.mkdtemp(prefix="shelflift-session-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
+
+
 def session(cores: str = "8", **extra: str) -> SparkSession:
     builder = (
         SparkSession.builder.master(f"local[{cores}]").appName("shelflift")
@@ -27,6 +37,7 @@ def session(cores: str = "8", **extra: str) -> SparkSession:
         .config("spark.driver.memory", "12g")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", _scratch())
     )
     for key, value in extra.items():
         builder = builder.config(key, value)

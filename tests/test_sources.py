@@ -4,10 +4,11 @@ import pytest
 
 from shelflift.params import Params
 from shelflift.plans.layers import TABLES
-from shelflift.plans.rebuild import rebuild_all
+from shelflift.plans.rebuild import load_raw, rebuild_all, stored_raw
 from shelflift.schema import SOURCE_TABLES
 from shelflift.sources.csv import load_counts, load_csv, read_source_csv
 from shelflift.sources.retail_fixture import retail_tables
+from shelflift.sources.tables import clear_scratch, scratch_path
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -50,3 +51,40 @@ def test_rebuild_then_report_only(spark, tmp_path):
     rebuild_all(spark, raw, out, week=60, report_only=True)
     weeks = {r.week_no for r in spark.read.parquet(f"{out}/reports/Categories").select("week_no").distinct().collect()}
     assert 60 in weeks and len(weeks) == 2
+
+
+def test_source_tables_are_loaded_once(spark, tmp_path):
+    out = str(tmp_path / "out")
+    with pytest.raises(RuntimeError, match="load-raw"):
+        stored_raw(spark, out)
+    folder, raw = tmp_path / "csv", retail_tables(spark, SMALL)
+    for name in SOURCE_TABLES:
+        raw[name].write.csv(str(folder / f"{name}.csv"), header=True)
+    load_raw(spark, str(folder), out)
+    stored = stored_raw(spark, out)
+    assert {n: df.dtypes for n, df in stored.items()} == {n: raw[n].dtypes for n in SOURCE_TABLES}
+    for name in SOURCE_TABLES:
+        assert stored[name].count() == raw[name].count()
+
+
+def test_scratch_needs_a_shared_folder(spark, monkeypatch):
+    class Nameless:
+        class conf:
+            get = staticmethod(lambda key, default=None: default)
+
+        class sparkContext:
+            applicationId, master = "app", "spark://host:7077"
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_path(Nameless, "x")
+
+
+def test_scratch_is_cleared(spark, monkeypatch, tmp_path):
+    from shelflift.sources import tables
+
+    monkeypatch.setattr(tables, "_scratch_folder", lambda s: str(tmp_path / "scratch"))
+    path = scratch_path(spark, "numbers")
+    spark.range(3).write.parquet(path)
+    assert os.path.isdir(path)
+    clear_scratch(spark)
+    assert not os.path.exists(tmp_path / "scratch")
