@@ -49,7 +49,7 @@ def encoder():
 
     def encode(text: str) -> np.ndarray:
         if ENDING not in text and _COMMON.fullmatch(text):
-            return np.asarray(fast.encode_ordinary(text), dtype=np.uint32)
+            return fast.encode_to_numpy(text, disallowed_special=())
         if not whole:
             whole.append(Tokenizer.from_file(public_tokenizers.path(VOCABULARY)))
         return np.asarray(whole[0].encode(text, add_special_tokens=False).ids, dtype=np.uint32)

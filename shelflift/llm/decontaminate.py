@@ -29,6 +29,7 @@ SHINGLE, SIMILARITY, RADIUS = 5, 0.8, 15
 BLOCK_ITEMS, BLOCK_BYTES = 1024, 4 << 20
 MATCHES = "array<struct<item_id:bigint,start:int,end:int,similarity:double>>"
 _WORD = re.compile(r"\w+")
+_SEPARATOR = re.compile(rb"[ \n]")
 _CHUNK = 1 << 20
 _SEGMENT = 8192
 _FILTER_BITS = 20
@@ -47,8 +48,21 @@ def line_of(text: str | None) -> str:
 
 
 def word_hashes(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Hash and line number of each word, from sums of bytes times powers, of which a word's is a difference."""
-    b = np.frombuffer("\n".join(lines).encode("utf-8", "surrogatepass"), np.uint8)
+    """Hash and line number of each word; long lines are taken in parts between words."""
+    data, at, line, found = "\n".join(lines).encode("utf-8", "surrogatepass"), 0, 0, []
+    while at <= len(data):
+        end = _SEPARATOR.search(data, at + 2 * _CHUNK) if len(data) - at > 2 * _CHUNK else None
+        part = data[at:end.start() if end else len(data)]
+        hashes, lines_of = _word_hashes(part)
+        found.append((hashes, lines_of + line))
+        line += part.count(b"\n") + (end is not None and end[0] == b"\n")
+        at += len(part) + 1
+    return tuple(np.concatenate(x) for x in zip(*found))
+
+
+def _word_hashes(part: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """From sums of bytes times powers, of which a word's is a difference."""
+    b = np.frombuffer(part, np.uint8)
     cut = np.flatnonzero((b == 32) | (b == 10))
     start, end = np.r_[0, cut + 1], np.r_[cut, len(b)]
     line = np.r_[0, np.cumsum(b[cut] == 10)]

@@ -16,6 +16,7 @@ come, with repeated and null ids (never held out, never trained on) and further
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -28,6 +29,7 @@ MAX_N = 3
 UNKNOWN = "und"
 _LETTER = re.compile(r"[^\W\d_]")
 _STARTS = (0, 1 << 8, (1 << 8) + (1 << 16))  # where the codes of n-grams of each length begin
+_PIECE = 1 << 20
 _CODES = (1 << 8) + (1 << 16) + (1 << 24)
 
 
@@ -50,11 +52,13 @@ def held_out(id_col: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def codes(text: str) -> list[np.ndarray]:
-    """The n-grams of a text as numbers, one array per n."""
-    b = np.frombuffer(text.lower().encode("utf-8", "surrogatepass"), np.uint8).astype(np.int32)
-    two = b[:-1] << 8 | b[1:]
-    return [b, two + _STARTS[1], (two[:-1] << 8 | b[2:]) + _STARTS[2]]
+def codes(text: str) -> Iterator[np.ndarray]:
+    """The n-grams of a text as numbers, piece by piece."""
+    data = text.lower().encode("utf-8", "surrogatepass")
+    for at in range(0, max(len(data), 1), _PIECE):
+        b = np.frombuffer(data[at:at + _PIECE + MAX_N - 1], np.uint8).astype(np.int32)
+        two = b[:-1] << 8 | b[1:]
+        yield from (b, two + _STARTS[1], (two[:-1] << 8 | b[2:]) + _STARTS[2])
 
 
 def has_letter(text: str | None) -> bool:
@@ -80,7 +84,7 @@ def kernels(texts: list[str], places: np.ndarray, landmarks: np.ndarray) -> np.n
 
 
 def _grams(texts: list[str | None]) -> list[pa.Array]:
-    found = [np.unique(np.concatenate(codes(t or ""))).astype("<i4").tobytes() for t in texts]
+    found = [np.unique(np.concatenate([np.unique(c) for c in codes(t or "")])).astype("<i4").tobytes() for t in texts]
     return [pa.array(found, pa.binary())]
 
 

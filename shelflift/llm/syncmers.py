@@ -57,15 +57,25 @@ def _smallest(x: np.ndarray, width: int) -> np.ndarray:
 
 
 def anchors(texts: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
-    """(hashes, positions) of the closed syncmers of each text."""
-    found = []
-    for lo, hi in chunks_of([len(t) for t in texts], _CHUNK):
-        found += _anchors(texts[lo:hi])
-    return found
+    """(hashes, positions) of the closed syncmers of each text; long texts are taken in pieces that overlap by less than a k-mer."""
+    pieces = [(row, at, t[at:at + _CHUNK + K - 1]) for row, t in enumerate(texts) for at in range(0, max(len(t) - K + 1, 1), _CHUNK)]
+    found: list[list[tuple[np.ndarray, np.ndarray]]] = [[] for _ in texts]
+    for lo, hi in chunks_of([len(p) for _, _, p in pieces], _CHUNK):
+        for (row, at, _), (hashes, places) in zip(pieces[lo:hi], _anchors([p for _, _, p in pieces[lo:hi]])):
+            found[row].append((hashes, places + at))
+    out = []
+    for text, parts in zip(texts, found):
+        hashes, places = (np.concatenate(x) for x in zip(*parts))
+        if text and not len(hashes):
+            whole = int.from_bytes(hashlib.blake2b(text, digest_size=8).digest(), "little")
+            hashes, places = np.array([whole], np.uint64), np.zeros(1, np.int64)
+        out.append((hashes, places))
+    return out
 
 
 def _anchors(texts: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
-    ends = np.cumsum([len(t) for t in texts])
+    sizes = np.array([len(t) for t in texts])
+    ends = np.cumsum(sizes)
     buffer = np.frombuffer(b"".join(texts), np.uint8)
     at = np.empty(0, np.int64)
     hashes = np.empty(0, np.uint64)
@@ -77,18 +87,7 @@ def _anchors(texts: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
         at = at[at + K <= ends[np.searchsorted(ends, at, "right")]]
         hashes = _mix(order[at] + words[at + K - S] * _PRIMES[0])
     cut = np.searchsorted(at, ends)
-    first = 0
-    out = []
-    for text, end, to in zip(texts, ends.tolist(), cut.tolist()):
-        if to > first:
-            out.append((hashes[first:to], at[first:to] - (end - len(text))))
-        elif text:
-            whole = int.from_bytes(hashlib.blake2b(text, digest_size=8).digest(), "little")
-            out.append((np.array([whole], np.uint64), np.zeros(1, np.int64)))
-        else:
-            out.append((hashes[:0], at[:0]))
-        first = to
-    return out
+    return [(hashes[a:b], at[a:b] - begin) for a, b, begin in zip(np.r_[0, cut[:-1]].tolist(), cut.tolist(), (ends - sizes).tolist())]
 
 
 def sketch(hashes: np.ndarray) -> np.ndarray:

@@ -58,8 +58,9 @@ def store(captures: DataFrame, id_col: str, url_col: str, payload_col: str, min_
         F.monotonically_increasing_id().alias("record"), "id", "url", "sha256",
         F.octet_length("payload").cast("long").alias("n"), base32_sha1(F.col("payload")).alias("sha1"),
     ), "captures")
-    first = described.groupBy("sha256").agg(F.min(F.struct(
-        F.col("id").isNull().alias("no_id"), "id", "record", "url")).alias("first"))
+    # Stored, so that the join has an exchange of its own on both sides, of which Spark can split a frequent payload's part.
+    first = pin(described.groupBy("sha256").agg(F.min(F.struct(
+        F.col("id").isNull().alias("no_id"), "id", "record", "url")).alias("first")), "first")
     joined = described.join(first, "sha256")
     revisit = (F.col("n") >= min_bytes) & (F.col("record") != F.col("first.record"))
     urn = lambda c: F.concat(F.lit("<urn:sha256:"), F.sha2(F.concat_ws(" ", c, "sha256"), 256), F.lit(">"))

@@ -41,7 +41,7 @@ def test_language_is_no_input_of_a_prediction(docs):
 
 def test_kernel_is_share_of_common_grams(docs):
     texts = [r.text for r in docs.limit(6).collect()]
-    sets = [set(np.concatenate(lk.codes(t)).tolist()) for t in texts]
+    sets = [set(np.concatenate(list(lk.codes(t))).tolist()) for t in texts]
     vocabulary = np.array(sorted(set().union(*sets)))
     marks = np.stack([np.isin(vocabulary, list(s)) / np.sqrt(len(s)) for s in sets], 1).astype(np.float32)
     got = lk.kernels(texts, lk._places(vocabulary), marks)
@@ -149,6 +149,17 @@ def test_syncmers_follow_the_definition(docs):
         assert set(at.tolist()) == (closed(text) or ({0} if text else set()))
 
 
+def test_long_texts_in_pieces_give_the_same(docs, monkeypatch):
+    text = " ".join(r.text for r in docs.limit(40).collect())
+    want = [a.tolist() for a in sy.anchors([text.encode()])[0]], [a.tolist() for a in dc.word_hashes([text, "x y", text])]
+    grams = np.unique(np.concatenate(list(lk.codes(text)))).tolist()
+    monkeypatch.setattr(sy, "_CHUNK", 777)
+    monkeypatch.setattr(dc, "_CHUNK", 777)
+    monkeypatch.setattr(lk, "_PIECE", 777)
+    assert ([a.tolist() for a in sy.anchors([text.encode()])[0]], [a.tolist() for a in dc.word_hashes([text, "x y", text])]) == want
+    assert np.unique(np.concatenate(list(lk.codes(text)))).tolist() == grams
+
+
 def test_syncmers_do_not_depend_on_context(docs):
     a, b = [r.text.encode() for r in docs.limit(2).collect()]
     passage = a[:600]
