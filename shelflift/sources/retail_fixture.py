@@ -55,24 +55,40 @@ def _conform(df: DataFrame, table: str) -> DataFrame:
     ])
 
 
-def transaction_data(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
+# Departments whose promotions take their sales from similar products: in an event week of a sub-category and store, every second product is on
+# display and sells twice as much, the others a tenth.
+TAKING = ["PROMO", "ECONOMY"]
+EVENT = "(sub * 7 + store_id * 11 + week_no * 3) % 5 = 0"
+
+
+def _taking(part: DataFrame) -> DataFrame:
+    """(n, sub) of the products of those departments."""
+    return part.filter("p_partkey % 10 = 0 AND (p_partkey div 10) % 40 < 35").filter(F.col("p_type").isin(TAKING)).selectExpr(
+        "p_partkey div 10 as n", "p_size % 12 as sub")
+
+
+def transaction_data(lineitem: DataFrame, orders: DataFrame, part: DataFrame) -> DataFrame:
     day = _day("o_orderdate")
-    rows = lineitem.join(orders, lineitem.l_orderkey == orders.o_orderkey).select(
+    lines = lineitem.join(orders, lineitem.l_orderkey == orders.o_orderkey).withColumns({
+        "n": _product("l_partkey", "l_orderkey"), "store_id": F.expr("l_orderkey % 5"), "week_no": _week(day),
+        "cents": F.expr("cast(floor(l_extendedprice * (1 - l_discount) / 10 + 0.5) as bigint)"),
+    }).join(_taking(part), "n", "left")
+    event = F.expr(f"sub IS NOT NULL AND {EVENT}")
+    cents = F.when(event & (F.col("n") % 2 == 0), F.col("cents") * 2).when(event, F.expr("cents div 10")).otherwise(F.col("cents"))
+    rows = lines.withColumn("cents", cents).select(
         F.col("o_custkey").alias("household_key"),
         F.col("l_orderkey").alias("basket_id"),
         day.alias("day"),
-        _product("l_partkey", "l_orderkey").alias("product_id"),
+        F.col("n").alias("product_id"),
         F.expr("CASE WHEN l_orderkey % 97 = 0 THEN 0 ELSE cast(l_quantity as int) END").alias("quantity"),
-        _dollars(F.expr(
-            "CASE WHEN l_orderkey % 89 = 0 THEN 0 "
-            "ELSE floor(l_extendedprice * (1 - l_discount) / 10 + 0.5) END")).alias("sales_value"),
-        F.expr("l_orderkey % 5").alias("store_id"),
+        _dollars(F.expr("CASE WHEN l_orderkey % 89 = 0 THEN 0 ELSE cents END")).alias("sales_value"),
+        "store_id",
         _dollars(F.expr(
             "CASE WHEN (l_orderkey + l_linenumber) % 1009 = 0 THEN 399 "
             "ELSE -floor(l_extendedprice * l_discount / 10 + 0.5) END")).alias("retail_disc"),
         F.expr("CASE WHEN l_orderkey % 499 = 0 THEN 2475 "
                "ELSE (l_orderkey % 24) * 100 + l_linenumber * 7 END").alias("trans_time"),
-        _week(day).alias("week_no"),
+        "week_no",
         _dollars(F.expr("CASE WHEN l_orderkey % 11 = 0 THEN -100 ELSE 0 END")).alias("coupon_disc"),
         _dollars(F.expr("CASE WHEN l_orderkey % 33 = 0 THEN -50 ELSE 0 END")).alias("coupon_match_disc"),
     )
@@ -94,8 +110,17 @@ def product(part: DataFrame) -> DataFrame:
     return _conform(rows, "product")
 
 
-def causal_data(lineitem: DataFrame) -> DataFrame:
-    """Every shipped line places its product for some weeks from the ship week on; most codes are '0'."""
+def causal_data(lineitem: DataFrame, part: DataFrame) -> DataFrame:
+    """Every shipped line places its product for some weeks from the ship week on; most codes are '0'.
+
+    Products of the departments with events are placed in their event weeks instead.
+    """
+    taking = _taking(part)
+    events = (
+        taking.filter("n % 2 = 0").withColumn("store_id", F.explode(F.sequence(F.lit(0), F.lit(3))))
+        .withColumn("week_no", F.explode(F.sequence(F.lit(9), F.lit(101)))).filter(EVENT)
+        .select(F.col("n").alias("product_id"), "store_id", "week_no", F.lit("3").alias("display"), F.lit("0").alias("mailer"))
+    )
     line = lineitem.filter("l_orderkey % 5 < 4").select(
         _product("l_partkey", "l_orderkey").alias("product_id"),
         F.expr("l_orderkey % 5").alias("store_id"),
@@ -116,8 +141,8 @@ def causal_data(lineitem: DataFrame) -> DataFrame:
             "CASE WHEN h IN (3, 4) THEN 'A' WHEN h = 5 THEN 'D' WHEN h = 6 THEN 'H' "
             "WHEN h = 7 AND product_id % 5 = 0 THEN 'X' WHEN h = 9 AND product_id % 11 = 0 THEN 'Łx' ELSE '0' END"
         ).alias("mailer"),
-    ).filter("week_no BETWEEN 9 AND 101")
-    return _conform(rows, "causal_data")
+    ).filter("week_no BETWEEN 9 AND 101").join(taking.select(F.col("n").alias("product_id")), "product_id", "left_anti")
+    return _conform(rows.unionByName(events), "causal_data")
 
 
 def campaign_desc(nation: DataFrame) -> DataFrame:
@@ -201,14 +226,15 @@ class RetailTables(Mapping):
         self._build = {
             "transaction_data": lambda: transaction_data(read_lines(
                 "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount",
-            ), read("orders")),
+            ), read("orders"), read("part")),
             "product": lambda: product(read("part")),
             "hh_demographic": lambda: hh_demographic(read("customer")),
             "campaign_table": lambda: campaign_table(read("orders")),
             "campaign_desc": lambda: campaign_desc(read("nation")),
             "coupon": lambda: coupon(read("part")),
             "coupon_redempt": lambda: coupon_redempt(self["campaign_table"], self["campaign_desc"]),
-            "causal_data": lambda: causal_data(read_lines("l_orderkey", "l_partkey", "l_linenumber", "l_shipdate")),
+            "causal_data": lambda: causal_data(
+                read_lines("l_orderkey", "l_partkey", "l_linenumber", "l_shipdate"), read("part")),
         }
         self._spark, self._sf_dir = spark, sf_dir
 
