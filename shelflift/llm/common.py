@@ -110,10 +110,13 @@ def with_computed(df: DataFrame, text_col: str, fields: str, compute: Callable)
     schema = StructType([f for f in df.schema.fields if f.name in kept] + added.fields)
     small_batches(df.sparkSession)
     n_kept, names = len(kept), [*kept, *added.names]
+    own = text_col in kept and dict(df.dtypes)[text_col] == "string"
+    text_at = kept.index(text_col) if own else n_kept
 
     def run(batches):
         for batch in batches:
-            new = compute(batch.column(n_kept).to_pylist())
+            new = compute(batch.column(text_at).to_pylist())
             yield pa.RecordBatch.from_arrays([*batch.columns[:n_kept], *new], names)
 
-    return df.select(*[F.col(f"`{c}`") for c in kept], F.col(text_col).cast("string").alias("_text_to_read")).mapInArrow(run, schema)
+    read = [] if own else [F.col(text_col).cast("string").alias("_text_to_read")]
+    return df.select(*[F.col(f"`{c}`") for c in kept], *read).mapInArrow(run, schema)

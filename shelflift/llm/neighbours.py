@@ -2,12 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+import math
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 _LOWEST = -(1 << 63)
 _PER_TASK = 8
 
 
+def _bucket(bounds: list[int], x: Column) -> Column:
+    """How many of the ascending ``bounds`` are at most ``x``, looked up in two steps."""
+    step = math.isqrt(len(bounds)) + 1
+    numbers = lambda some: F.split(F.lit(",".join(map(str, some))), ",").cast("array<bigint>")
+    coarse = F.size(F.filter(numbers(bounds[step - 1::step]), lambda b: b <= x)) * step if len(bounds) >= step else F.lit(0)
+    return (coarse + F.size(F.filter(F.slice(numbers(bounds), coarse + 1, F.lit(step)), lambda b: b <= x))) if bounds else F.lit(0)
+
+
 def descending(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(bucket, look, id, text), partitioned by bucket and sorted by (bucket, look, id descending, text).
 
@@ -20,9 +30,7 @@ def descending(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
                      F.col(text_col).cast("string").alias("text"))
     n = _PER_TASK * int(spark.conf.get("spark.sql.shuffle.partitions"))
     bounds = rows.select("order").stat.approxQuantile("order", [i / n for i in range(1, n)], 0.2 / n)
-    bounds = sorted({int(b) for b in bounds})
-    bucket = F.size(F.filter(F.array(*[F.lit(b) for b in bounds]).cast("array<bigint>"), lambda b: b <= F.col("order")))
-    dealt = rows.withColumn("bucket", bucket)
+    dealt = rows.withColumn("bucket", _bucket(sorted({int(b) for b in bounds}), F.col("order")))
     heads = dealt.groupBy("bucket").agg(F.max("order").alias("order")).orderBy("bucket").collect()
     # The largest id of each bucket and the bucket whose last row it follows: one row per bucket.
     follow = [(h["order"], heads[(i + 1) % len(heads)]["bucket"]) for i, h in enumerate(heads)]

@@ -183,6 +183,16 @@ def test_edited_documents(spark, docs):
     assert np.mean([a for a, _ in scores]) > 0.4 > 0.05 > np.mean([b for _, b in scores]) and all(0 <= x <= 1 for s in scores for x in s)
 
 
+def test_buckets_count_bounds(spark):
+    from shelflift.llm.neighbours import _bucket
+
+    rnd = random.Random(8)
+    for n in (0, 1, 2, 3, 10, 99, 100):
+        bounds = sorted(rnd.sample(range(-500, 500), n))
+        rows = spark.range(-510, 510).select("id", _bucket(bounds, F.col("id")).alias("b")).collect()
+        assert all(r.b == sum(b <= r.id for b in bounds) for r in rows)
+
+
 def test_edited_single_and_empty(frame):
     r = sy.edited(frame("doc_id long, text string", [(1, "alone in the table")])).first()
     assert (r.near_edited, r.near_next) != (None, None) and r.near_next == 1.0
