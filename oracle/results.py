@@ -11,7 +11,7 @@ FREE_ITEMS = ", ".join(f"'{code}'" for code in schema.FREE_ITEM_MAILERS)
 
 def d(expr: str, name: str | None = None) -> str:
     """A double rounded to 6 places, without a negative zero."""
-    return f"floor(CAST({expr} AS DOUBLE) * 1000000 + 0.5) / 1000000 + 0.0 AS {name or expr}"
+    return f"floor(CAST({expr} AS DOUBLE) * 1000000 + 0.501) / 1000000 + 0.0 AS {name or expr}"
 
 
 def c(cents: str, name: str) -> str:
@@ -596,7 +596,7 @@ RESULTS["bi_row_counts"] = " UNION ALL ".join(
 def _content(name: str, sql: str) -> str:
     """Rows of a query's result and the sum of everything in it that reads as a number."""
     return (f"SELECT '{name}' AS table_name, (SELECT count(*) FROM ({sql})) AS row_count, "
-            f"(SELECT floor(list_sum(list_value(*COLUMNS(*))) * 100 + 0.5) / 100 FROM "
+            f"(SELECT floor(list_sum(list_value(*COLUMNS(*))) * 100 + 0.501) / 100 FROM "
             f"(SELECT coalesce(sum(TRY_CAST(COLUMNS(*) AS DOUBLE)), 0) FROM ({sql}))) AS numbers")
 
 
