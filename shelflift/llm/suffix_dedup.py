@@ -33,7 +33,7 @@ LENGTH, GRAM = 200, 32
 REACH = LENGTH - GRAM              # the largest distance from a window's start to its anchor
 SHALLOW = 48                       # bytes that multikey quicksort looks at
 RANGES = tuple((a, min(a + 16, REACH)) for a in range(0, REACH + 1, 17))
-HEAVY, SALTS, SAMPLE = 1000, 64, 64
+HEAVY, SALTS, SAMPLE, WINDOW_SALTS = 1000, 64, 64, 8
 _CHUNK = 1 << 17
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 _A_INVERSE = np.uint64(pow(int(_A), -1, 1 << 64))
@@ -417,8 +417,11 @@ def _ends(rows: DataFrame, limit: int) -> DataFrame:
     text = F.substr("bytes", _distance() - F.col("d") + 1, F.lit(LENGTH))
     named = windows.select("key", (_start() + _distance() - F.col("d")).alias("start"), "n",
                            F.xxhash64("gram", "d", text).alias("x"), F.xxhash64(text, "d", "gram").alias("y"))
-    twice = named.groupBy("x", "y").agg(F.count("*").alias("times")).filter("times > 1").select("x", "y")
-    exact = named.filter("n = 1").join(twice, ["x", "y"]).select("key", "start", (F.col("start") + LENGTH).alias("end"))
+    # A frequent window is spread by salt; what it meets is one row per window.
+    salted = named.filter("n = 1").withColumn("salt", F.pmod(F.xxhash64("key", "start"), F.lit(WINDOW_SALTS)).cast("int"))
+    twice = named.groupBy("x", "y").agg(F.count("*").alias("times")).filter("times > 1").select(
+        "x", "y", F.explode(F.sequence(F.lit(0), F.lit(WINDOW_SALTS - 1))).alias("salt"))
+    exact = salted.join(twice.hint("merge"), ["x", "y", "salt"]).select("key", "start", (F.col("start") + LENGTH).alias("end"))
     return found.unionByName(exact)
 
 
