@@ -79,7 +79,11 @@ def store(captures: DataFrame, id_col: str, url_col: str, payload_col: str, min_
         "Content-Type: application/http; msgtype=response", CRLF,
         "Content-Length: ", (F.length(http) + F.when(revisit, 0).otherwise(F.col("n"))).cast("string"), CRLF, CRLF, http,
     )
-    payloads = rows.select("sha256", "payload").dropDuplicates(["sha256"])
+    # Payloads that occur once are stored where they are read; only repeated ones meet by digest.
+    repeated = pin(described.groupBy("sha256").agg(F.count("*").alias("times")).filter("times > 1").select("sha256"), "repeated")
+    contents = rows.select("sha256", "payload")
+    payloads = contents.join(repeated, "sha256", "left_anti").unionByName(
+        contents.join(repeated, "sha256", "left_semi").dropDuplicates(["sha256"]))
     return Archive(pin(joined.select("record", "sha256", header.alias("header")), "headers"), pin(payloads, "payloads"))
 
 
