@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from shelflift.llm.common import let, match_spans, pin
 
 KINDS = ("email", "ip", "card", "phone")
-# Possessive forms of the base patterns. A match can only begin where a run of its first class begins or the last match ended.
+# Possessive forms of the base patterns: time in proportion to the text, no recursion, whatever stands in it. A match can only begin where a run of its first class begins or the last match ended.
 _LOCAL = "[A-Za-z0-9._%+-]"
 EMAIL = rf"(?:(?<!{_LOCAL})|\G){_LOCAL}++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
 IP = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
@@ -86,7 +86,7 @@ def _valid(kind: str, hit: Column) -> Column:
 def _gazetteer(kind: str, hit: Column) -> Column:
     digits = _digits(hit)
     if kind == "email":
-        known = F.lower(F.regexp_extract(hit, r"([A-Za-z0-9-]+)$", 1)).isin(*ENDINGS)
+        known = F.lower(F.regexp_extract(hit, r"(?<![A-Za-z0-9-])([A-Za-z0-9-]++)$", 1)).isin(*ENDINGS)
         return _flag(known, ~known)
     if kind == "ip":
         return _flag(~hit.rlike(RESERVED), hit.rlike(RESERVED))
@@ -100,7 +100,7 @@ def _shape(kind: str, hit: Column) -> Column:
     digits = _digits(hit)
     same = digits.rlike(r"^(.)\1*$")
     if kind == "email":
-        ending = F.length(F.regexp_extract(hit, r"([A-Za-z]*)$", 1))
+        ending = F.length(F.regexp_extract(hit, r"(?<![A-Za-z])([A-Za-z]*+)$", 1))
         return _flag(ending.between(2, 12) & (F.length(hit) <= 254), ending < 2)
     if kind == "ip":
         return _flag(hit.rlike(IP_VALID) & ~hit.rlike(r"(^|\.)0[0-9]"), ~hit.rlike(IP_VALID))

@@ -45,7 +45,7 @@ ALLOW = (
     r"(?i)example|sample|placeholder|changeme|your[_-]?key|dummy|redacted",
     r"(.)\1{7,}",
     r"0123456789|abcdefghij|ABCDEFGHIJ|1234567890",
-    r"^[A-Za-z]+([_/=-]+([A-Za-z]+|[0-9]{1,4}))*$",
+    r"^[A-Za-z]++(?:[_/=-]++(?:[A-Za-z]++|[0-9]{1,4}+))*+$",
     r"^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$",
 )
 SPAN = "struct<kind:string,start:int,end:int>"

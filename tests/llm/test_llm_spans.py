@@ -77,6 +77,26 @@ def test_digest_of_spans(frame):
     assert got == hashlib.sha256(b"assign:0:13,access:16:36").hexdigest()
 
 
+def shapes(n):
+    return ["a/b-" * n + "c", "1" * 4 * n, "1 " * 2 * n, "1." * 2 * n, "x@" + "b" * 3 * n + ".c1", "x@" + "a." * n + "b", "+1" + "(" * 3 * n,
+            "+1 " * n, "password" + " " * 3 * n, "A" * 4 * n + "@", "token=" + "f0" * n, "é" * n + "a1" * n, "(415) 555-2671 " * (n // 10)]
+
+
+def test_texts_of_any_shape(spark):
+    rows = spark.createDataFrame([(t,) for t in shapes(500)], "text string")
+    for r in pii_votes.candidates(rows).collect():
+        assert [(c.kind, c.start, c.end) for c in r.candidates if c.base] == pii_base(r.text)
+    for r in se.secrets(rows).withColumn("spans", se.in_order(F.concat("assign", "access", "hex"))).collect():
+        assert [(s.kind, s.start, s.end) for s in r.spans] == secret_base(r.text)
+
+
+def test_long_texts_take_linear_time(spark):
+    """At these sizes a pattern that recurses overflows the stack, and one that starts over at every character takes minutes."""
+    rows = spark.createDataFrame([(t,) for t in shapes(8_000)], "text string").repartition(4)
+    assert pii_votes.candidates(rows).agg(F.sum(F.size("candidates"))).first()[0] > 0
+    assert se.secrets(rows).agg(F.sum(F.size("hex") + F.size("added"))).first()[0] > 0
+
+
 def test_many_matches_in_one_long_text(frame):
     text = " ".join(f"u{i}@host.org" for i in range(3000)) + "é" * 50_000
     spans = frame("text string", [(text,)]).select(match_spans(F.col("text"), pii_votes.EMAIL).alias("s")).first().s
