@@ -1,4 +1,4 @@
-"""Tail probabilities as vectorised UDFs, for result tables of a few rows."""
+"""Tail probabilities as pandas UDFs that go value by value: for result tables of a few rows only."""
 
 from __future__ import annotations
 
