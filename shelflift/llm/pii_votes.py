@@ -23,7 +23,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from shelflift.llm.common import let, match_spans, pin
 
 KINDS = ("email", "ip", "card", "phone")
-# Possessive forms of the base patterns: time in proportion to the text, no recursion, whatever stands in it. A match can only begin where a run of its first class begins or the last match ended.
+# Possessive forms of the base patterns: time in proportion to the text, no recursion, whatever stands in it.
+# A match can only begin where a run of its first class begins or the last match ended.
 _LOCAL = "[A-Za-z0-9._%+-]"
 EMAIL = rf"(?:(?<!{_LOCAL})|\G){_LOCAL}++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
 IP = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
