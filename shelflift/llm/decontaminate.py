@@ -2,9 +2,11 @@
 
 * Words are runs of letters, digits and underscores, lower-cased; shingles are five words (of an item with fewer words: all of them).
 * For every size that an item has, the windows of a document with that many words get a SimHash of their shingles, weighted by how often they occur.
-  Windows in which less than 0.8 of the shingles belong to any item of that size cannot reach the similarity, and are passed over; this loses nothing.
+  A text with fewer words than an item is one window, of all its words. With v shingles in the window and w in the item, a similarity of 0.8 takes at least
+  0.8 * (v + w) / 1.8 common ones. Windows with fewer shingles that belong to any item of that size are passed over; this loses nothing.
 * Index: 4 blocks of 16 bits. If two fingerprints differ in at most ``RADIUS`` = 15 bits, some block differs in at most 3, and the index
-  holds every item under all values within 3 bits of each of its blocks, so all items within the radius are found.
+  holds every item under all values within 3 bits of each of its blocks, so all items within the radius are found. Texts shorter than an item are few
+  once the bound holds, and are compared with all items of that size, whatever their fingerprints.
 * Candidates are verified with the words themselves: weighted Jaccard similarity (sum of smaller over sum of larger counts) of at least 0.8.
   Per document and item, the best window is reported, the first of equals.
 
@@ -166,21 +168,25 @@ class Index:
             size_of = sizes[np.arange(len(at)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(lo[inside], n)]
             text = None
             for size in np.unique(size_of).tolist():
-                width = size - q + 1
-                if len(own) < width:
-                    continue
+                taken = min(size, int(last - first))
+                width = taken - q + 1
                 member = np.zeros(len(own) + 1, np.int64)
                 member[at[size_of == size] + 1] = 1
                 total = np.cumsum(member)
-                starts = np.flatnonzero(total[width:] - total[:len(total) - width] >= SIMILARITY * width - 1e-9)
+                least = SIMILARITY * (width + size - q + 1) / (1 + SIMILARITY)
+                starts = np.flatnonzero(total[width:] - total[:len(total) - width] >= least - 1e-9)
                 if not len(starts):
                     continue
-                windows, items = self.near(simhashes(own, starts, width), size)
+                if taken < size:
+                    items = np.flatnonzero(self.sizes == size)
+                    windows = np.zeros(len(items), np.int64)
+                else:
+                    windows, items = self.near(simhashes(own, starts, width), size)
                 text = lines[doc].split(" ") if text is None and len(windows) else text
                 for start, item in zip(starts[windows].tolist(), items.tolist()):
-                    s = similarity(_shingles(text[start:start + size], q), self.counts[item])
+                    s = similarity(_shingles(text[start:start + taken], q), self.counts[item])
                     if s >= SIMILARITY and s > best.get((doc, item), (0.0,))[0]:
-                        best[doc, item] = (s, start, size)
+                        best[doc, item] = (s, start, taken)
 
     def _report(self, text: str, best: list) -> list[dict]:
         if not best:

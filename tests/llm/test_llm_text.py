@@ -91,6 +91,28 @@ def test_decontamination_equals_all_windows(spark, docs):
         assert got[n] == windows(t, extra), t
 
 
+def test_texts_shorter_than_the_item_are_compared_as_a_whole(spark):
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()] + [(900, "only four words here"), (901, "six words are in this item")]
+    probes = ["only four words", "six words are in this", "six words are in", "words"]
+    for _, t in items:
+        words, middle = t.split(), len(t.split()) // 2
+        probes += [" ".join(words[:-k]) for k in (1, 2, 3, 5, 7, 9)] + [". " + " ".join(words[2:]), " ".join(words[:middle] + words[middle + 1:])]
+    want = []
+    for t in probes:
+        words, best = dc.line_of(t).split(), windows(t, items)
+        for i, x in items:
+            own = dc.line_of(x).split()
+            q = min(5, len(own))
+            s = dc.similarity(dc._shingles(words, q), dc._shingles(own, q))
+            if len(words) < len(own) and s >= 0.8:
+                best[i] = s
+        want.append(best)
+    rows = spark.createDataFrame(list(enumerate(probes)), "doc_id long, text string")
+    got = {r.doc_id: r.matches for r in dc.matches(rows, spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert [{m.item_id: m.similarity for m in got[n]} for n in range(len(probes))] == want and sum(map(len, want)) > 200
+    assert all(dc.line_of(t[m.start:m.end]) == dc.line_of(t) for n, t in enumerate(probes) for m in got[n] if not windows(t, items))
+
+
 def test_decontamination_finds_planted_passages_with_their_place(spark, docs):
     benchmark = spark.read.parquet(f"{SF}/benchmark.parquet")
     items = {r.item_id: r.text for r in benchmark.collect()}
