@@ -11,8 +11,8 @@
   Per document and item, the best window is reported, the first of equals.
 
 The benchmark is the query set. It goes to the tasks in blocks of some ``BLOCK_ITEMS`` items or ``BLOCK_BYTES``, each searched against all rows; documents are
-not shuffled. Null or wordless texts and items: no match. Repeated rows are each judged, repeated items count once, null ids and further columns are kept, and
-an empty table on either side gives no matches.
+not shuffled. Null or wordless texts and items: no match. An item without an id is found like any other, its matches have a null item_id and come last. Repeated rows are
+each judged, repeated items count once, null ids and further columns are kept, and an empty table on either side gives no matches.
 """
 
 from __future__ import annotations
@@ -100,7 +100,7 @@ def simhashes(shingles: np.ndarray, starts: np.ndarray, width: int) -> np.ndarra
 class Index:
     """Items by the blocks of their fingerprints, and their shingles by item size."""
 
-    def __init__(self, items: list[tuple[int, str]]):
+    def __init__(self, items: list[tuple[int | None, str]]):
         kept = [(i, line.split(" ")) for i, line in ((i, line_of(t)) for i, t in items) if line]
         self.ids = [i for i, _ in kept]
         self.sizes = np.array([len(w) for _, w in kept], np.int64)
@@ -193,7 +193,7 @@ class Index:
             return []
         places = [m.span() for m in _WORD.finditer(text)]
         return sorted(({"item_id": self.ids[item], "start": places[start][0], "end": places[start + size - 1][1], "similarity": s}
-                       for (_, item), (s, start, size) in best), key=lambda m: (m["item_id"], m["start"]))
+                       for (_, item), (s, start, size) in best), key=lambda m: (m["item_id"] is None, m["item_id"] or 0, m["start"]))
 
 
 def _shingles(words: list[str], q: int) -> Counter:
@@ -208,7 +208,7 @@ def similarity(a: Counter, b: Counter) -> float:
 
 def matches(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """``docs`` with ``matches``: item_id, start and end (code points, end exclusive) and similarity of each item found."""
-    items = benchmark.select(F.col(item_col).cast("long").alias("id"), F.col(item_text_col).alias("text")).dropna().distinct()
+    items = benchmark.select(F.col(item_col).cast("long").alias("id"), F.col(item_text_col).alias("text")).dropna(subset=["text"]).distinct()
     n, size = items.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
     blocks = max(-(-n // BLOCK_ITEMS), -(-size // BLOCK_BYTES))
     out = docs.withColumn("matches", F.array().cast(MATCHES))
@@ -219,7 +219,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_
     return out
 
 
-def _searcher(items: list[tuple[int, str]]):
+def _searcher(items: list[tuple[int | None, str]]):
     built: list[Index] = []
 
     def compute(texts: list[str | None]) -> list[pa.Array]:

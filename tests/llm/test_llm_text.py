@@ -146,6 +146,15 @@ def test_index_finds_all_within_the_radius():
     assert set(zip(*[x.tolist() for x in index.near(fps, 20)])) == want
 
 
+def test_items_without_an_id_are_found(frame):
+    one, two = "a passage of the benchmark that has no id of its own", "another passage of some words which lacks an id as well"
+    items = frame("item_id long, text string", [(None, one), (None, two), (None, one), (None, None), (7, two)])
+    got = dc.matches(frame("doc_id long, text string", [(1, f"{two} - {one}"), (2, "nothing")]), items).orderBy("doc_id").collect()
+    at = len(two) + 3
+    assert [[(m.item_id, m.start, m.end, m.similarity) for m in r.matches] for r in got] == [
+        [(7, 0, len(two), 1.0), (None, 0, len(two), 1.0), (None, at, at + len(one), 1.0)], []]
+
+
 def test_no_benchmark(frame):
     rows = frame("doc_id long, text string", [(1, "some text")])
     assert dc.matches(rows, frame("item_id long, text string", [])).first().matches == []
