@@ -2,8 +2,12 @@
 
 * A text's features are the n-grams of 1 to 3 bytes of its lower-cased UTF-8 form that occur in some landmark, present or not, however often.
   The kernel is the number of common n-grams over the root of the product of both numbers.
-* Landmarks are labelled texts, equally many per language, drawn by hash of the id. They span the feature space (Nystroem); one-versus-rest
-  ridge regression is fitted there on at most ``max_train`` labelled rows, drawn the same way. Rows are never drawn where their id is held out.
+* Training rows are drawn by hash of the id within each language: all rows of a language up to a number that the languages share, the largest with which
+  they take ``max_train`` in all, and one row at least. So every language of the labelled rows is learnt, however large or skewed the table is (an id
+  counts once, with the smallest of its languages). Rows are never drawn where their id is held out.
+* Landmarks are the first of these rows, equally many per language, or as many as it has. They span the feature space (Nystroem); one-versus-rest
+  ridge regression is fitted there on all drawn rows. A language's rows weigh together what its labelled rows are, but no less than ``floor`` of all
+  (or an equal part, if there are more languages than that allows), as the ridge would wipe out a smaller share.
 * Scoring multiplies the presence matrix of a batch with the matrix of all landmarks, then with the weights.
 
 There is no constant term, so a text that shares nothing with the landmarks scores 0 for every language; the score is the best
@@ -38,6 +42,7 @@ class Params:
     max_train: int = 4096
     landmarks: int = 64
     ridge: float = 1e-3
+    floor: float = 1e-2
 
 
 @dataclass
@@ -88,24 +93,39 @@ def _grams(texts: list[str | None]) -> list[pa.Array]:
     return [pa.array(found, pa.binary())]
 
 
+def rows_each(counts: list[int], total: int) -> int:
+    """The largest number of rows a language may have so that all have at most ``total``; 1 at least."""
+    left = total
+    for i, n in enumerate(sorted(counts)):
+        most = left // (len(counts) - i)
+        if n > most:
+            return max(1, most)
+        left -= n
+    return max(counts)
+
+
 def fit(docs: DataFrame, params: Params = Params(), id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model | None:
-    """The model, or None if no row may be learnt from. What reaches the driver is bounded by ``params``."""
+    """The model, or None if no row may be learnt from. What reaches the driver is bounded by ``params`` and the number of languages."""
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).alias("lang"))
     usable = docs.filter(F.col("lang").isNotNull() & F.col("id").isNotNull() & ~held_out("id") & F.col("text").rlike(r"\p{L}"))
     ids = usable.select("id", "lang", F.xxhash64(F.col("id")).alias("draw"))
-    n = docs.filter(F.col("lang").isNotNull() & F.col("id").isNotNull() & ~held_out("id")).count()
-    share = max(1, n // (4 * params.max_train))
-    drawn = ids.filter(F.pmod("draw", F.lit(share)) == 0).groupBy("id", "draw").agg(F.min("lang").alias("lang"))
-    sample = drawn.orderBy(F.shiftrightunsigned("draw", 16), "id").limit(params.max_train).toPandas()
-    if sample.empty:
+    counts = ids.groupBy("lang").agg(F.count("*").alias("n"), F.min("draw").alias("first")).collect()
+    if not counts:
         return None
+    spark = docs.sparkSession
+    most = rows_each([r["n"] for r in counts], params.max_train)
+    # One row per language; about 2 to 4 times the rows needed pass, and always one.
+    shares = spark.createDataFrame([(r["lang"], max(1, r["n"] // (2 * most + 32)), r["first"]) for r in counts], "_lang string, _share long, _first long")
+    passed = ids.join(F.broadcast(shares), ids["lang"] == shares["_lang"]).filter(
+        (F.pmod("draw", "_share") == 0) | (F.col("draw") == F.col("_first")))
+    drawn = passed.groupBy("id", "draw").agg(F.min("lang").alias("lang")).select("id", "lang", F.shiftrightunsigned("draw", 16).alias("draw"))
+    sample = drawn.toPandas().sort_values(["draw", "id"]).groupby("lang", sort=False).head(most)
     langs = sorted(sample["lang"].unique())
     each = -(-params.landmarks // len(langs))
     marks = sample.groupby("lang", sort=True).head(each)["id"]
-    spark = docs.sparkSession
 
     def rows_of(chosen) -> DataFrame:
-        # At most max_train ids, so this broadcast is bounded.
+        # At most max_train ids, or one per language, so this broadcast is bounded.
         return docs.join(F.broadcast(spark.createDataFrame([(int(i),) for i in chosen], "id long")), "id").groupBy("id").agg(
             F.min("text").alias("text"))
 
@@ -129,7 +149,10 @@ def fit(docs: DataFrame, params: Params = Params(), id_col: str = "doc_id", text
     good = values > 1e-8 * values.max()
     root = vectors[:, good] / np.sqrt(values[good])
     phi = k @ root
-    w = np.linalg.solve(phi.T @ phi + params.ridge * len(k) * np.eye(phi.shape[1]), phi.T @ target)
+    n = np.array([{r["lang"]: r["n"] for r in counts}[x] for x in langs], np.float64)
+    weight = target @ (np.maximum(n, n.sum() * min(params.floor, 1 / len(langs))) / target.sum(0))
+    heavy = phi * (weight * len(k) / weight.sum())[:, None]
+    w = np.linalg.solve(heavy.T @ phi + params.ridge * len(k) * np.eye(phi.shape[1]), heavy.T @ target)
     return Model(langs, vocabulary, matrix, (root @ w).astype(np.float32))
 
 

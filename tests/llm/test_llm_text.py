@@ -56,6 +56,23 @@ def test_language_without_labels(frame):
     assert lk.fit(frame("doc_id long, text string, lang string", [])) is None
 
 
+def test_rows_each():
+    assert [lk.rows_each(c, 100) for c in ([5], [500], [3, 400, 400], [1] * 200, [50, 50], [90, 20, 1])] == [5, 100, 48, 1, 50, 79]
+
+
+def test_rare_languages_are_learnt(docs):
+    usable = docs.filter(~lk.held_out() & F.col("text").rlike(r"\p{L}") & F.col("lang").isNotNull()).select("doc_id", "text", "lang")
+    rare = usable.filter("lang = 'es'").orderBy("doc_id").limit(4)
+    rows = usable.filter("lang <> 'es'").unionByName(rare)
+    held = docs.filter(lk.held_out() & F.col("lang").isNotNull()).select("doc_id", "text", "lang")
+    for params in (lk.Params(max_train=40), lk.Params()):
+        model = lk.fit(rows, params)
+        assert "es" in model.langs and len(model.langs) == usable.select("lang").distinct().count()
+        got = lk.predict(held, model).select("lang", "lang_pred").collect()
+        assert sum(r.lang == r.lang_pred for r in got if r.lang == "es") / sum(r.lang == "es" for r in got) > 0.8
+        assert sum(r.lang == r.lang_pred for r in got) / len(got) > 0.95
+
+
 def windows(text, items):
     """Best similarity of every item, over all windows of its size."""
     words, best = dc.line_of(text).split(), {}
