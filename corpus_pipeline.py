@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from shelflift.llm import best_fit, decontaminate, lang_kernel, pii_votes, simhash_trie
 from shelflift.llm.common import pin, table
 
-# A text whose best language gets less than this is like none of those learnt.
+# A text whose best language gets less than this share of its reach (less than 1 for short texts of known n-grams) is like none of those learnt.
 MIN_LANGUAGE_SCORE = 0.1
 WORDS, BITS = 4, 4
 
@@ -29,8 +29,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = lang_kernel.fit(docs)
     if model is None:
         return docs.filter(F.col("text").rlike(r"\p{L}"))
-    return _beside(docs, ["lang_pred", "score"], lambda d: lang_kernel.predict(d, model).filter(
-        (F.col("lang_pred") != lang_kernel.UNKNOWN) & (F.col("score") >= MIN_LANGUAGE_SCORE)))
+    return _beside(docs, ["lang_pred", "score", "reach"], lambda d: lang_kernel.predict(d, model, reach_below=MIN_LANGUAGE_SCORE).filter(
+        (F.col("lang_pred") != lang_kernel.UNKNOWN) & (F.col("score") >= MIN_LANGUAGE_SCORE * F.col("reach"))))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -88,6 +88,12 @@ def kernels(texts: list[str], places: np.ndarray, landmarks: np.ndarray) -> np.n
     return present @ landmarks / np.maximum(norm, 1)
 
 
+def _known_share(text: str, places: np.ndarray, size: int) -> float:
+    """The share of a text's distinct n-grams that are in the vocabulary of that size."""
+    grams = np.unique(np.concatenate([np.unique(c) for c in codes(text)]))
+    return float((places[grams] < size).mean())
+
+
 def _grams(texts: list[str | None]) -> list[pa.Array]:
     found = [np.unique(np.concatenate([np.unique(c) for c in codes(t or "")])).astype("<i4").tobytes() for t in texts]
     return [pa.array(found, pa.binary())]
@@ -156,23 +162,32 @@ def fit(docs: DataFrame, params: Params = Params(), id_col: str = "doc_id", text
     return Model(langs, vocabulary, matrix, (root @ w).astype(np.float32))
 
 
-def predict(df: DataFrame, model: Model | None, text_col: str = "text") -> DataFrame:
-    """``df`` with lang_pred and score (0 to 1)."""
+def predict(df: DataFrame, model: Model | None, text_col: str = "text", reach_below: float | None = None) -> DataFrame:
+    """``df`` with lang_pred and score (0 to 1).
+
+    With ``reach_below`` also ``reach``, by which a low score is to be measured, as a score grows with the length of the text: for texts that score less
+    and have at least half of their n-grams among the landmarks', the largest kernel value with a landmark; 1 for all others.
+    """
+    extra = [] if reach_below is None else ["reach"]
     if model is None:
-        return df.withColumns({"lang_pred": F.lit(UNKNOWN), "score": F.lit(0.0)})
+        return df.withColumns({"lang_pred": F.lit(UNKNOWN), "score": F.lit(0.0), **{c: F.lit(1.0) for c in extra}})
     cache: list[np.ndarray] = []
 
     def compute(texts: list[str | None]) -> list[pa.Array]:
         if not cache:
             cache.append(_places(model.vocabulary))
-        lang, score = np.full(len(texts), UNKNOWN, object), np.zeros(len(texts))
+        lang, score, reach = np.full(len(texts), UNKNOWN, object), np.zeros(len(texts)), np.ones(len(texts))
         known = [i for i, t in enumerate(texts) if has_letter(t)]
         for at in range(0, len(known), 128):
             some = known[at:at + 128]
-            values = kernels([texts[i] for i in some], cache[0], model.landmarks) @ model.weights
+            near = kernels([texts[i] for i in some], cache[0], model.landmarks)
+            values = near @ model.weights
             best = values.argmax(1)
             lang[some] = [model.langs[b] for b in best]
             score[some] = np.clip(values[np.arange(len(some)), best], 0, 1)
-        return [pa.array(lang.tolist(), pa.string()), pa.array(score)]
+            for i, most in zip(some, near.max(1)):
+                if extra and score[i] < reach_below and _known_share(texts[i], cache[0], len(model.vocabulary)) >= 0.5:
+                    reach[i] = most
+        return [pa.array(lang.tolist(), pa.string()), pa.array(score), *([pa.array(reach)] if extra else [])]
 
-    return with_computed(df, text_col, "lang_pred string, score double", compute)
+    return with_computed(df, text_col, ", ".join(["lang_pred string, score double", *(f"{c} double" for c in extra)]), compute)

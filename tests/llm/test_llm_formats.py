@@ -15,7 +15,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspa
 
 import corpus_pipeline
 from parity import compare, duck
-from shelflift.llm import best_fit as bf, chat_tree as ct, queries, warc_store as ws
+from shelflift.llm import best_fit as bf, chat_tree as ct, lang_kernel, queries, warc_store as ws
 from shelflift.llm.common import pin
 
 SF = "/root/testdata/sf0.01"
@@ -243,3 +243,15 @@ def test_pipeline_of_odd_rows(spark):
     assert all(got[n].columns == odd.columns for n, _ in corpus_pipeline.STAGES[:-1])
     assert got["near_duplicates"].groupBy("doc_id").count().filter("count > 1").isEmpty()
     assert all(df.isEmpty() for df in stages(spark, odd.limit(0)).values())
+
+
+def test_short_texts_of_learnt_languages_are_kept(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang")
+    model = lang_kernel.fit(docs)
+    first = docs.filter(lang_kernel.held_out()).withColumn("text", F.split_part(F.trim("text"), F.lit(" "), F.lit(1))).filter(F.col("text").rlike(r"\p{L}"))
+    low = lang_kernel.predict(first, model).filter(F.col("score") < corpus_pipeline.MIN_LANGUAGE_SCORE)
+    assert not low.isEmpty()
+    strange = spark.createDataFrame([(-1 - i, t, None) for i, t in enumerate(["漢字仮名", "漢字", "привет", "Привет мир", "漢", "ж"])], docs.schema)
+    kept = corpus_pipeline.language(spark, docs.unionByName(first.withColumn("doc_id", -10 - F.col("doc_id")).withColumn("lang", F.lit(None).cast("string"))).unionByName(strange), SF)
+    assert kept.filter("doc_id <= -10").count() == first.count()
+    assert kept.filter("doc_id between -9 and -1").isEmpty()
