@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shelflift.llm import (
-    best_fit, chat_tree, decontaminate, filter_audit, lang_kernel, merkle, pii_votes, secret_entropy, simhash_trie, suffix_dedup, syncmers, warc_store,
+    best_fit, chat_tree, decontaminate, filter_audit, lang_kernel, merkle, pii_votes, secret_entropy, simhash_trie, suffix_dedup, syncmers, toxic_segments,
+    warc_store,
 )
 from shelflift.llm.common import pin, span_text, table
 
@@ -100,6 +101,12 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
         text("again").alias("folded_root"), (F.col("again") == F.col("root")).alias("verified"))
 
 
+def op12_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxic_segments.fit(docs, table(spark, sf_dir, "labels"))
+    return toxic_segments.score(docs, model).select("doc_id", toxic_segments.held_out().alias("held_out"), "score", "predicted")
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = filter_audit.facts(table(spark, sf_dir, "documents"))
     return filter_audit.audit(filter_audit.cells(found, table(spark, sf_dir, "labels")))
@@ -117,6 +124,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_secret_entropy": op9_secret_entropy,
     "op10_simhash_trie": op10_simhash_trie,
     "op11_merkle": op11_merkle,
+    "op12_toxic_segments": op12_toxic_segments,
     "op13_filter_audit": op13_filter_audit,
 }
 
