@@ -13,8 +13,8 @@
 Bounds: ``max_train`` training rows, drawn by hash of the id, evenly from both labels (each label has its weight in the curve); ``max_tokens`` scored tokens, those with the
 largest scores. Pseudo-counts come from all documents. Rows are never drawn where their id is held out or null, or where the label is.
 
-Null or empty text: no tokens, no evidence, the lowest score that the curve gives. Repeated ids: the largest label and the smallest text are learnt from; rows to score are kept as
-they come, with further columns; those named score, predicted or segments are replaced. Without rows of both labels every score is the share of toxic ones (0 without any).
+Null or empty text: no tokens, no evidence, the lowest score that the curve gives. An id with several labels has the largest; an id that several documents share is not learnt
+from. Rows to score are kept as they come, with further columns; those named score, predicted or segments are replaced. Without rows of both labels every score is the share of toxic ones (0 without any).
 A word beyond 1 MB counts as several.
 """
 
@@ -210,7 +210,7 @@ def held_out(id_col: str = "doc_id") -> Column:
 
 
 def _drawn(docs: DataFrame, labels: DataFrame, max_train: int) -> tuple[DataFrame, dict[int, int]]:
-    """(id, text, toxic, half) of the rows to learn from, stored, and the number of rows of each label there are. Half 1 is kept for the curve."""
+    """(id, toxic, half) of the documents to learn from, and the number of ids of each label there are. Half 1 is kept for the curve."""
     usable = labels.select(F.col("doc_id").cast("long").alias("id"), F.col("toxic").cast("int").alias("toxic")).filter(
         F.col("id").isNotNull() & F.col("toxic").isin(0, 1) & ~held_out("id"))
     said = pin(usable.groupBy("id").agg(F.max("toxic").alias("toxic")).withColumn("draw", F.xxhash64("id")), "labels")
@@ -225,13 +225,17 @@ def _drawn(docs: DataFrame, labels: DataFrame, max_train: int) -> tuple[DataFram
         part = said.filter((F.col("toxic") == t) & (F.pmod("draw", F.lit(share)) == 0)).orderBy("draw", "id").limit(n)
         picked = part if picked is None else picked.unionByName(part)
     if picked is None:
-        return spark.createDataFrame([], "id long, text string, toxic int, half int"), counts
-    picked = pin(picked, "picked")
-    # At most max_train ids, so this broadcast is bounded.
-    rows = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text")).join(F.broadcast(picked), "id")
-    rows = rows.groupBy("id", "toxic", "draw").agg(F.min(F.coalesce("text", F.lit(""))).alias("text"))
+        return spark.createDataFrame([], "id long, toxic int, half int"), counts
     half = (F.pmod(F.shiftrightunsigned("draw", 20), F.lit(3)) == 0).cast("int")
-    return pin(rows.select("id", "text", "toxic", half.alias("half")), "train"), counts
+    picked = pin(picked.select("id", "toxic", half.alias("half")), "picked")
+    alone = _texts(docs, picked).groupBy("id", "toxic", "half").agg(F.count("*").alias("rows")).filter("rows = 1").drop("rows")
+    return pin(alone, "train"), counts
+
+
+def _texts(docs: DataFrame, picked: DataFrame) -> DataFrame:
+    """``picked`` with the texts, which are read again each time rather than stored. At most ``max_train`` ids, so this broadcast is bounded."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    return rows.join(F.broadcast(picked), "id")
 
 
 def _context(texts: list[str | None]) -> list[pa.Array]:
@@ -249,12 +253,13 @@ def _present(whole: np.ndarray, first: np.ndarray) -> np.ndarray:
     return found[found != 0]
 
 
-def _votes(train: DataFrame, beginning: int) -> DataFrame:
-    """(token, toxic, half, votes) summed over training documents; each context has one vote in all."""
-    seen = pin(with_computed(train, "text", "context long", _context), "contexts")
+def _votes(docs: DataFrame, train: DataFrame, beginning: int) -> DataFrame:
+    """(token, toxic, half, votes, docs) summed over training documents; each context has one vote in all."""
+    seen = pin(with_computed(_texts(docs, train), "text", "context long", _context).drop("text"), "contexts")
     sizes = seen.groupBy("context").agg(F.count("*").alias("size"))
-    shared = seen.join(sizes, "context").select("text", "toxic", "half", (1 / F.col("size")).alias("vote"))
-    small_batches(train.sparkSession)
+    voters = pin(seen.join(sizes, "context").select("id", "toxic", "half", (1 / F.col("size")).alias("vote")), "voters")
+    shared = _texts(docs, voters).select("text", "toxic", "half", "vote")
+    small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         find = Tokens(beginning)
@@ -366,7 +371,7 @@ def fit(docs: DataFrame, labels: DataFrame, params: Params = Params()) -> Model:
     if len(counts) < 2:
         none.curve = (20.0 if counts.get(1) else -20.0, 0.0)
         return none
-    votes = pin(_votes(train.select("text", "toxic", "half"), params.beginning), "votes")
+    votes = pin(_votes(docs, train, params.beginning), "votes")
     sums = {(r["toxic"], r["half"]): r["v"] for r in votes.groupBy("toxic", "half").agg(F.sum("votes").alias("v")).collect()}
     by_class = [F.sum(F.when((F.col("toxic") == t) & (F.col("half") == h), F.col("votes")).otherwise(0.0)).alias(f"v{t}{h}") for t in (0, 1) for h in (0, 1)]
     in_toxic = F.sum(F.when(F.col("toxic") == 1, F.col("docs")).otherwise(0))
@@ -386,7 +391,7 @@ def fit(docs: DataFrame, labels: DataFrame, params: Params = Params()) -> Model:
 
     first = scores((0,))
     scorer = Scorer(*first, params.drift, params.beginning)
-    curve_rows = train.filter("half = 1")
+    curve_rows = _texts(docs, train.filter("half = 1"))
     seen = with_computed(curve_rows.filter("toxic = 0").select("text"), "text", "n long, top double, bins binary", _largest(scorer)).drop("text").toPandas()
     bins = sum((np.frombuffer(b, "<i4").astype(np.float64) for b in seen["bins"]), np.zeros(_BINS))
     values = _LOWEST + _BIN * (np.arange(_BINS) + 0.5)
