@@ -49,6 +49,7 @@ def facts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", part_
     stored = pin(split.select("id", "part", F.unhex(F.sha2("text", 256)).alias("digest"), sum(bits, F.lit(0)).alias("mask")), "facts")
     # Texts that occur once have no copies; only the others travel with their smallest id.
     first = stored.groupBy("digest").agg(F.min("id").alias("first"), F.count("*").alias("copies")).filter("copies > 1").select("digest", "first")
+    first = pin(first, "copied")  # so that both sides of the join are dealt anew and a text with many copies can be split
     copy = F.when(F.col("id") > F.col("first"), F.lit(1 << FILTERS.index("E"))).otherwise(0)
     return stored.join(first, "digest", "left").select("id", "part", F.col("mask").bitwiseOR(copy).alias("mask"))
 
