@@ -4,16 +4,18 @@ A byte goes if some string of ``LENGTH`` = 200 bytes that covers it starts at an
 is judged on the input; the texts that are left are not looked at again.
 
 * Anchors. The anchor of a window is its leftmost 32-gram with the smallest hash, so equal windows have equal anchors at equal distances. Windows in a row with the
-  same anchor make up a stretch; there is about one per 85 bytes. What is shuffled is one small row per stretch: hash of the anchor,
-  hash of the stretch's bytes, place. Anchors that occur once cannot be in a repeated window.
+  same anchor make up a stretch; there is about one per 85 bytes. What is shuffled is one small row per stretch: hash of the anchor (unequal anchors with
+  equal hashes only cost work), a 128-bit BLAKE2 digest of the stretch's bytes, which stands for them, and the place. Anchors that occur once cannot be in a
+  repeated window.
 * Equal stretches repeat as a whole. That settles everything but the ends of repeats: of stretches that differ but have the same anchor, one
   each is kept, with its bytes.
 * Deep-shallow sorting of these: their suffixes from the anchor on are sorted by multikey quicksort to a shallow depth, and groups that agree
   so far by blind tries. The order of the suffixes one byte to the left follows from that order by a stable sort on that byte, and their common prefixes from
   minima over the old ones; so all windows are sorted, byte by byte to the left. A window is repeated if it shares 200 bytes with a neighbour in its order.
-* Hot groups. Anchors that are frequent in a sample (at most ``HEAVY`` of them) are spread by salt, and their counts are summed in two steps. An anchor with more than
-  ``limit`` different stretches is dealt again by longer cores that its windows share, over ever smaller ranges of distance to the anchor;
-  the last core is the window itself, where counting is enough. No task holds more than ``limit`` stretches of one group.
+* Hot groups. Anchors that are frequent in a sample (at most ``HEAVY`` of them) are spread by salts, as many as their size asks for, and their counts are summed in two
+  steps. An anchor with more than ``limit`` different stretches is dealt again by halves of the distance to the anchor. The windows of a half share
+  a core of bytes around the anchor: a part of a stretch whose core is its own alone is dropped, parts that are equal are settled and go on as one, and groups of at
+  most ``limit`` are sorted. A half of one distance has its windows as cores, so nothing is left there. No task holds more than ``limit`` stretches of one group.
 
 Null text: empty. Texts below 200 bytes stay as they are. Repeated rows are occurrences of their own. Ids that are null or repeated are replaced by row numbers in
 a stored copy. An empty table gives an empty result; further columns are ignored.
@@ -22,6 +24,7 @@ a stored copy. An empty table gives an empty result; further columns are ignored
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -32,8 +35,7 @@ from shelflift.llm.common import chunks_of, pin, small_batches
 LENGTH, GRAM = 200, 32
 REACH = LENGTH - GRAM              # the largest distance from a window's start to its anchor
 SHALLOW = 48                       # bytes that multikey quicksort looks at
-RANGES = tuple((a, min(a + 16, REACH)) for a in range(0, REACH + 1, 17))
-HEAVY, SALTS, SAMPLE, WINDOW_SALTS = 1000, 64, 64, 8
+HEAVY, SAMPLE = 100_000, 64
 _CHUNK = 1 << 17
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 _A_INVERSE = np.uint64(pow(int(_A), -1, 1 << 64))
@@ -68,7 +70,7 @@ class Stretches:
             self.powers, self.back = np.cumprod(np.full(n + 1, _A)), np.cumprod(np.full(n + 1, _A_INVERSE))
 
     def find(self, texts: list[bytes]) -> Iterator[tuple[np.ndarray, ...]]:
-        """(row, anchor hash, stretch hash, start, windows, distance of the anchor), in chunks; long texts in pieces of windows."""
+        """(row, anchor hash, stretch digests, start, windows, distance of the anchor), in chunks; long texts in pieces of windows."""
         pieces = [(row, at) for row, t in enumerate(texts) for at in range(0, len(t) - LENGTH + 1, _CHUNK)]
         size = lambda p: min(len(texts[p[0]]) - p[1], _CHUNK + LENGTH - 1)
         for lo, hi in chunks_of([size(p) for p in pieces], _CHUNK):
@@ -79,7 +81,8 @@ class Stretches:
     def _chunk(self, rows: list[int], offsets: list[int], parts: list[bytes]) -> tuple[np.ndarray, ...]:
         sizes = np.array([len(p) for p in parts])
         begin = np.cumsum(sizes) - sizes
-        b = np.frombuffer(b"".join(parts), np.uint8)
+        data = b"".join(parts)
+        b = np.frombuffer(data, np.uint8)
         self._room(len(b) + 1)
         sums = np.zeros(len(b) + 1, np.uint64)
         np.cumsum((b + np.uint64(1)) * self.powers[:len(b)], out=sums[1:])
@@ -95,7 +98,7 @@ class Stretches:
         inside = start < stop[part]
         start, end, part = start[inside], end[inside], part[inside]
         at = anchor[start] - start
-        whole = _mix((sums[end + LENGTH - 1] - sums[start]) * self.back[start] + at.astype(np.uint64) * _B)
+        whole = [blake2b(data[i:j], digest_size=16).digest() for i, j in zip(start.tolist(), (end + LENGTH - 1).tolist())]
         return (np.array(rows)[part], grams[anchor[start]], whole, start - begin[part] + np.array(offsets)[part], end - start, at)
 
 
@@ -105,14 +108,14 @@ def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys = batch.column(0).to_numpy()
         for row, gram, whole, start, n, at in finder.find(batch.column(1).to_pylist()):
             yield pa.RecordBatch.from_arrays([
-                pa.array(gram.view(np.int64)), pa.array(whole.view(np.int64)), pa.array(keys[row]), pa.array(start << 16 | n << 8 | at)],
+                pa.array(gram.view(np.int64)), pa.array(whole, pa.binary()), pa.array(keys[row]), pa.array(start << 16 | n << 8 | at)],
                 ["gram", "whole", "key", "place"])
 
 
 def stretches(docs: DataFrame) -> DataFrame:
     """(gram, whole, key, place) of every stretch of ``docs`` (key, bytes); ``place`` holds start, windows and distance in one number."""
     small_batches(docs.sparkSession)
-    return docs.select("key", "bytes").mapInArrow(_find, "gram long, whole long, key long, place long")
+    return docs.select("key", "bytes").mapInArrow(_find, "gram long, whole binary, key long, place long")
 
 
 def _start() -> Column:
@@ -273,7 +276,7 @@ def _sort_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _sort_rows(table: pa.Table) -> pa.RecordBatch:
     bucket, key, place, low, high, counted = [table.column(i).to_numpy() for i in range(6)]
     texts = table.column(6).to_pylist()
-    start, n, at = place >> 16, place >> 8 & 255, place & 255
+    anchor, at = (place >> 16) + (place & 255), high
     m = len(texts)
     right, left = np.zeros((m, LENGTH), np.uint8), np.zeros((m, REACH), np.uint8)
     for i, (t, d) in enumerate(zip(texts, at.tolist())):
@@ -281,16 +284,15 @@ def _sort_rows(table: pa.Table) -> pa.RecordBatch:
         after = b[d:d + LENGTH]
         right[i, :len(after)] = after
         left[i, :d] = b[:d][::-1]
-    right_n = np.minimum(n + LENGTH - 1 - at, LENGTH)
+    right_n = LENGTH - low
     group = np.cumsum(np.r_[0, bucket[1:] != bucket[:-1]])
     found = repeated_windows(group, right, right_n, left, at, low, high)
     found[counted > 1] = False  # settled as a whole
     edge = np.diff(np.pad(found, ((0, 0), (1, 1))).astype(np.int8), axis=1)
     row, first = np.nonzero(edge == 1)
     last = np.nonzero(edge == -1)[1] - 1  # distances first to last, so windows from at - last on
-    begin = start[row] + at[row] - last
     return pa.RecordBatch.from_arrays(
-        [pa.array(key[row]), pa.array(begin), pa.array(start[row] + at[row] - first + LENGTH)], ["key", "start", "end"])
+        [pa.array(key[row]), pa.array(anchor[row] - last), pa.array(anchor[row] - first + LENGTH)], ["key", "start", "end"])
 
 
 # ---- the whole table -------------------------------------------------------------------------------
@@ -306,20 +308,21 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def _heavy(docs: DataFrame) -> DataFrame | None:
-    """At most ``HEAVY`` anchors, those with more than a ``HEAVY``-th of a sample's stretches."""
+    """(heavy_gram, salts): at most ``HEAVY`` anchors, those with more than a ``HEAVY``-th of a sample's stretches, and into how many parts of that size each is cut."""
     counts = pin(stretches(docs.filter(F.pmod(F.xxhash64("key"), F.lit(SAMPLE)) == 0)).groupBy("gram").count(), "sample")
     total = counts.agg(F.coalesce(F.sum("count"), F.lit(0))).first()[0]
-    some = [(r["gram"],) for r in counts.filter(F.col("count") > max(16, total // HEAVY)).select("gram").collect()]
-    return docs.sparkSession.createDataFrame(some, "heavy_gram long") if some else None
+    most = max(16, total // HEAVY)
+    some = [(r["gram"], -(-r["count"] // most)) for r in counts.filter(F.col("count") > most).collect()]
+    return docs.sparkSession.createDataFrame(some, "heavy_gram long, salts long") if some else None
 
 
 def _settle(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Ranges that repeat as whole stretches, and one each of the different stretches with a common anchor: (gram, whole, key, place, n)."""
+    """Ranges that repeat as whole stretches, and one each of the different stretches with a common anchor: (gram, key, place, n)."""
     rows, heavy = stretches(docs), _heavy(docs)
     salt = F.lit(0)
     if heavy is not None:
         rows = rows.join(F.broadcast(heavy), F.col("gram") == F.col("heavy_gram"), "left")
-        salt = F.when(F.col("heavy_gram").isNotNull(), F.pmod(F.xxhash64("key"), F.lit(SALTS)).cast("int") + 1).otherwise(0)
+        salt = F.when(F.col("heavy_gram").isNotNull(), F.pmod(F.xxhash64("key", "place"), F.col("salts")).cast("int") + 1).otherwise(0)
     rows = rows.select("gram", "whole", "key", "place", salt.alias("salt")).repartition("gram", "salt")
     same = Window.partitionBy("gram", "salt", "whole")
     counted = (
@@ -329,16 +332,16 @@ def _settle(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     kept = pin(counted.filter("total > 1 or salt > 0").select(
         "gram", "whole", "key", "place", "salt", "n", (F.col("i") == 1).alias("first"), (F.col("n") < F.col("total")).alias("mixed")), "repeats")
     light = kept.filter("salt = 0")
-    settled, open_ = _ranges(light.filter("n > 1")), light.filter("mixed and first").select("gram", "whole", "key", "place", "n")
+    settled, open_ = _ranges(light.filter("n > 1")), light.filter("mixed and first").select("gram", "key", "place", "n")
     if heavy is not None:
         spread = kept.filter("salt > 0")
         each = pin(spread.groupBy("gram", "whole").agg(F.count("*").alias("n"), F.min(F.struct("key", "place")).alias("one")), "heavy")
-        mixed = each.groupBy("gram").count().filter("count > 1").select("gram")
+        mixed = pin(each.groupBy("gram").count().filter("count > 1").select("gram"), "mixed")
         # What repeats under its own salt is settled; only the others ask whether it repeats elsewhere.
         single = spread.filter("n = 1").select("gram", "whole", "key", "place")
         settled = settled.unionByName(_ranges(spread.filter("n > 1"))).unionByName(_ranges(single.join(
             each.filter("n > 1").select("gram", "whole"), ["gram", "whole"])))
-        open_ = open_.unionByName(each.join(mixed, "gram").select("gram", "whole", "one.key", "one.place", "n"))
+        open_ = open_.unionByName(each.join(mixed, "gram").select("gram", "one.key", "one.place", "n"))
     return settled, open_
 
 
@@ -370,28 +373,29 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             text = unpack(packed)
             for x in items:
                 start = x["place"] >> 16
-                out.append((x["gram"], x["whole"], key, x["place"], x["n"], text[start:start + (x["place"] >> 8 & 255) + LENGTH - 1]))
-        columns = list(zip(*out)) if out else [[]] * 6
+                out.append((x["gram"], key, x["place"], x["n"], text[start:start + (x["place"] >> 8 & 255) + LENGTH - 1]))
+        columns = list(zip(*out)) if out else [[]] * 5
         yield pa.RecordBatch.from_arrays(
-            [*[pa.array(c, pa.int64()) for c in columns[:5]], pa.array(columns[5], pa.binary())], ["gram", "whole", "key", "place", "n", "bytes"])
+            [*[pa.array(c, pa.int64()) for c in columns[:4]], pa.array(columns[4], pa.binary())], ["gram", "key", "place", "n", "bytes"])
 
 
 def _with_bytes(docs: DataFrame, open_: DataFrame) -> DataFrame:
-    items = open_.groupBy("key").agg(F.collect_list(F.struct("gram", "whole", "place", "n")).alias("items"))
+    items = open_.groupBy("key").agg(F.collect_list(F.struct("gram", "place", "n")).alias("items"))
     joined = _packed(docs.select("key", "bytes")).join(items, "key").select("key", "bytes", "items")
-    return joined.mapInArrow(_cut, "gram long, whole long, key long, place long, n long, bytes binary")
+    return joined.mapInArrow(_cut, "gram long, key long, place long, n long, bytes binary")
 
 
-def _by_anchor(rows: DataFrame) -> DataFrame:
-    return rows.withColumns({"bucket": F.col("gram"), "low": _distance() - _windows() + 1, "high": _distance()})
+def _halved(rows: DataFrame, span: int) -> DataFrame:
+    """``rows`` cut into parts, one for each range of ``span`` distances in which a row has windows; its bucket names the bytes that all windows of the range share.
 
-
-def _by_core(rows: DataFrame) -> DataFrame:
-    """A row for each range of distances in which a stretch has windows; its bucket has the bytes that all of them share."""
-    options = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in RANGES])
-    spread = rows.withColumn("r", F.explode(F.filter(options, lambda r: (r["a"] <= F.col("high")) & (F.col("low") <= r["b"]))))
-    core = F.substr("bytes", _distance() - F.col("r.a") + 1, F.lit(LENGTH) - F.col("r.b") + F.col("r.a"))
-    return spread.withColumns({"bucket": F.xxhash64("gram", "r.a", core), "low": F.greatest("r.a", "low"), "high": F.least("r.b", "high")}).drop("r")
+    ``bytes`` always begin with the window at distance ``high`` and end with that at ``low``.
+    """
+    first, last = F.expr(f"low div {span}"), F.expr(f"high div {span}")
+    parts = rows.withColumn("r", F.explode(F.sequence(first, last))).withColumn("r", (F.col("r") * span).cast("int"))
+    low, high, end = F.greatest("r", "low"), F.least(F.col("r") + (span - 1), "high"), F.least(F.col("r") + (span - 1), F.lit(REACH))
+    core = F.substr("bytes", F.col("high") - F.col("r") + 1, F.lit(LENGTH) - end + F.col("r"))
+    own = F.substr("bytes", F.col("high") - high + 1, F.lit(LENGTH) + high - low)
+    return parts.select("gram", F.xxhash64("gram", "r", core).alias("bucket"), "key", "place", "n", low.alias("low"), high.alias("high"), own.alias("bytes"))
 
 
 def _sorted_ranges(rows: DataFrame) -> DataFrame:
@@ -401,28 +405,27 @@ def _sorted_ranges(rows: DataFrame) -> DataFrame:
 
 
 def _ends(rows: DataFrame, limit: int) -> DataFrame:
-    """Repeated ranges among different stretches (gram, whole, key, place, n, bytes) with a common anchor."""
-    found = None
-    for deal in (_by_anchor, _by_core):
-        rows = deal(rows)
-        crowded = pin(rows.groupBy("bucket").count().filter(F.col("count") > limit).select("bucket"), "crowded")
-        if crowded.isEmpty():
-            part = _sorted_ranges(rows)
-            return part if found is None else found.unionByName(part)
-        part = _sorted_ranges(rows.join(crowded, "bucket", "left_anti"))
-        found = part if found is None else found.unionByName(part)
-        rows = rows.join(crowded, "bucket").drop("bucket")
-    # One distance each: the core is the window, so equal windows are counted.
-    windows = rows.withColumn("d", F.explode(F.sequence("low", "high")))
-    text = F.substr("bytes", _distance() - F.col("d") + 1, F.lit(LENGTH))
-    named = windows.select("key", (_start() + _distance() - F.col("d")).alias("start"), "n",
-                           F.xxhash64("gram", "d", text).alias("x"), F.xxhash64(text, "d", "gram").alias("y"))
-    # A frequent window is spread by salt; what it meets is one row per window.
-    salted = named.filter("n = 1").withColumn("salt", F.pmod(F.xxhash64("key", "start"), F.lit(WINDOW_SALTS)).cast("int"))
-    twice = named.groupBy("x", "y").agg(F.count("*").alias("times")).filter("times > 1").select(
-        "x", "y", F.explode(F.sequence(F.lit(0), F.lit(WINDOW_SALTS - 1))).alias("salt"))
-    exact = salted.join(twice.hint("merge"), ["x", "y", "salt"]).select("key", "start", (F.col("start") + LENGTH).alias("end"))
-    return found.unionByName(exact)
+    """Repeated ranges among different stretches (gram, key, place, n, bytes) with a common anchor."""
+    rows = rows.withColumns({"bucket": F.col("gram"), "low": (_distance() - _windows() + 1).cast("int"), "high": _distance()})
+    span, found = 1 << REACH.bit_length(), None
+    while True:
+        sizes = rows.groupBy("bucket").count()
+        crowded = pin(sizes.filter(F.col("count") > limit).select("bucket"), "crowded")
+        last = crowded.isEmpty()
+        ready = rows if last else rows.join(crowded, "bucket", "left_anti")
+        found = _sorted_ranges(ready) if found is None else found.unionByName(_sorted_ranges(ready))
+        if last:
+            return found
+        span //= 2
+        parts = pin(_halved(rows.join(crowded, "bucket").drop("bucket"), span).withColumn("whole", F.substring(F.unhex(F.sha2("bytes", 256)), 1, 16)), "parts")
+        # Equal parts repeat; one of each goes on, as what the others may share windows with.
+        same = ["bucket", "whole", "low", "high"]
+        each = pin(parts.groupBy(*same).agg(F.count("*").alias("times"), F.sum("n").alias("n"), F.min(F.struct("key", "place", "gram", "bytes")).alias("one")), "each")
+        begin = _start() + _distance() - F.col("high")
+        equal = parts.filter("n = 1").join(pin(each.filter("times > 1").select(*same), "equal"), same)
+        found = found.unionByName(equal.select("key", begin.alias("start"), (begin + F.col("high") - F.col("low") + LENGTH).alias("end")))
+        shared = pin(each.groupBy("bucket").count().filter("count > 1").select("bucket"), "shared")
+        rows = pin(each.join(shared, "bucket").select("one.gram", "bucket", "one.key", "one.place", "n", "low", "high", "one.bytes"), "going")
 
 
 _KEPT = "key long, id long, kept binary, removed array<struct<start:bigint,end:bigint>>, n_bytes long"

@@ -144,6 +144,36 @@ def test_long_text_in_pieces(frame, monkeypatch):
         (i, *w) for (i, _), w in zip(rows, repeated([t.encode() for _, t in rows])))
 
 
+def test_texts_whose_polynomial_sums_agree_differ(frame):
+    """Differences that vanish modulo 2^64 under any odd base: the product of x^e - 1."""
+    apart = np.ones(1, int)
+    for e in (1, 2, 4, 8, 16, 32, 2, 4, 8, 16, 32, 4, 8, 2):
+        apart = np.convolve(apart, [-1, *[0] * (e - 1), 1])
+    rnd, rows = random.Random(3), []
+    for i in range(8):
+        letters = lambda n: "".join(rnd.choice("abcdefgh") for _ in range(n))
+        before, after = letters(20), letters(230)
+        low = np.array([rnd.randrange(max(32, 32 - d), min(126, 126 - d) + 1) for d in apart.tolist()])
+        rows += [(2 * i, before + bytes(low.tolist()).decode() + after), (2 * i + 1, before + bytes((low + apart).tolist()).decode() + after)]
+    want = Counter((i, *w) for (i, _), w in zip(rows, repeated([t.encode() for _, t in rows])))
+    assert kept(frame("doc_id long, text string", rows)) == want
+
+
+def test_crowded_anchor_is_halved(frame, monkeypatch):
+    """One passage with a change at another place in each of many copies: all levels of dealing, against counting."""
+    rnd = random.Random(4)
+    passage = [rnd.choice("abcdefghijkl") for _ in range(700)]
+    rows = []
+    for i in range(150):
+        text = passage.copy()
+        for _ in range(i % 4):
+            text[rnd.randrange(700)] = rnd.choice("XYZ")
+        rows.append((i, "".join(text)))
+    want = Counter((i, *w) for (i, _), w in zip(rows, repeated([t.encode() for _, t in rows])))
+    for limit in (1024, 20, 2):
+        assert kept(frame("doc_id long, text string", rows), limit=limit) == want
+
+
 def test_deep_shallow_sorts(monkeypatch):
     rnd = random.Random(2)
     for _ in range(100):
