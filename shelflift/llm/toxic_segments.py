@@ -72,8 +72,8 @@ class Tokens:
 
     def __init__(self, beginning: int):
         self.beginning, self.word = beginning, _is_word()
-        self.powers = np.cumprod(np.r_[np.uint64(1), np.full(4 * _PIECE, _A)])
-        self.back = np.cumprod(np.r_[np.uint64(1), np.full(4 * _PIECE, _A_INVERSE)])
+        self.powers = np.cumprod(np.r_[np.uint64(1), np.full(_PIECE + 2, _A)])
+        self.back = np.cumprod(np.r_[np.uint64(1), np.full(_PIECE + 2, _A_INVERSE)])
 
     def of(self, texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """(row, hash, hash of the first bytes) of all words in order, in chunks; the second is 0 where the word has no more bytes than that."""
@@ -88,7 +88,7 @@ class Tokens:
                 pieces.append((row, data[at:end]))
                 at = end
             pieces.append((row, data[at:]))
-        for lo, hi in chunks_of([len(d) + 1 for _, d in pieces], _PIECE):
+        for lo, hi in chunks_of([len(d) + 1 for _, d in pieces], _PIECE + 1):
             yield self._chunk([r for r, _ in pieces[lo:hi]], [d for _, d in pieces[lo:hi]])
 
     def _chunk(self, rows: list[int], parts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -176,7 +176,7 @@ def evidence(segments: list[float], n: int, lam: float, k: float) -> float:
 
 class Scorer:
     def __init__(self, tokens: np.ndarray, scores: np.ndarray, drift: float, beginning: int):
-        self.tokens, self.drift, self.find = tokens, drift, Tokens(beginning)
+        self.tokens, self.beginning, self.find = tokens, beginning, None  # the finder's tables are made where it runs, not sent there
         self.scores = np.r_[scores, -drift].astype(np.float32)
 
     def _place(self, hashes: np.ndarray) -> np.ndarray:
@@ -186,6 +186,8 @@ class Scorer:
 
     def of(self, texts: list[str | None]) -> Iterator[tuple[int, np.ndarray]]:
         """The score of each word of each text: that of the word, else of its first bytes, else the drift, as for a word that repeats the one before it."""
+        self.find = self.find or Tokens(self.beginning)
+
         def scored():
             last = (-1, np.uint64(0))
             for row, whole, first in self.find.of(texts):
