@@ -17,15 +17,9 @@ SUBCAT_STORE = ["department", "sub_commodity_desc", "store_id"]
 
 def ps_all_baseline(pairs: DataFrame, p: Params) -> DataFrame:
     """Normal weekly sales of every product-store that ever sold and was not promoted all the time."""
-    first = F.row_number().over(Window.partitionBy(*PAIR).orderBy("week_no"))
-    return (
-        pairs.withColumn("rn", first)
-        .where((F.col("rn") == 1) & (F.col("promo_weeks") < p.tracked_weeks))
-        .select(
-            *PAIR, "department", "sub_commodity_desc",
-            F.coalesce("nonpromo_sales", F.lit(0.0)).alias("nonpromo_sales"), "promo_weeks", "baseline_weekly",
-        )
-    )
+    return pairs.where(F.col("first_row") & (F.col("promo_weeks") < p.tracked_weeks)).select(
+        *PAIR, "department", "sub_commodity_desc",
+        F.coalesce("nonpromo_sales", F.lit(0.0)).alias("nonpromo_sales"), "promo_weeks", "baseline_weekly")
 
 
 def _extra():

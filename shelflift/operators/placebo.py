@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from shelflift.functions.columns import ratio
 from shelflift.functions.intervals import clustered_total_ci
-from shelflift.operators.uplift import PAIR
+from shelflift.operators.uplift import PAIR, measurable
 from shelflift.params import Params
 
 PRIME = 1_000_003
@@ -18,14 +18,14 @@ def draw_order(product: Column, store: Column, week: Column, seed: Column) -> Co
     return (h * (h + 12345) % PRIME) * (h + 777) % PRIME
 
 
-def placebo_test(pairs: DataFrame, base: DataFrame, p: Params) -> DataFrame:
+def placebo_test(pairs: DataFrame, p: Params) -> DataFrame:
     """One row per run: average fake uplift per week and its range.
 
     Each measurable pair draws up to ``placebo_max_weeks`` (at most a quarter) of its normal weeks per run;
-    the other normal weeks give the baseline. A pair has at most ``tracked_weeks`` weeks, kept in two
+    the other normal weeks give the baseline. Whether a pair is measurable stands on each of its rows. A pair has at most ``tracked_weeks`` weeks, kept in two
     arrays, so the draws of all runs are row-local and only pair totals are aggregated.
     """
-    known = pairs.groupBy(*PAIR).agg(
+    known = pairs.where((F.col("promo_weeks") > 0) & measurable(p)).groupBy(*PAIR).agg(
         F.collect_list(F.when(F.col("promoted"), F.col("week_no"))).alias("promo"),
         F.map_from_entries(F.collect_list(
             F.when(~F.col("promoted"), F.struct("week_no", "adj_sales"))
@@ -33,8 +33,7 @@ def placebo_test(pairs: DataFrame, base: DataFrame, p: Params) -> DataFrame:
     )
     weeks = F.sequence(F.lit(p.first_week), F.lit(p.last_week))
     normal = (
-        known.join(base.select(*PAIR), PAIR, "left_semi")
-        .withColumn("normal", F.array_except(weeks, F.col("promo")))
+        known.withColumn("normal", F.array_except(weeks, F.col("promo")))
         .withColumn("n", F.size("normal"))
         .withColumn("k", F.least(F.lit(p.placebo_max_weeks), F.floor(F.col("n") / 4).cast("int")))
         .withColumn("total", F.aggregate(F.map_values("sales"), F.lit(0.0), lambda a, v: a + v))

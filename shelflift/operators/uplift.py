@@ -79,7 +79,7 @@ def promotion_timeline(weeks: DataFrame, promotions: DataFrame, p: Params) -> Da
 
 
 def pair_timeline(timeline: DataFrame, p: Params) -> DataFrame:
-    """The timeline with pair totals and the following week on every row.
+    """The timeline with pair totals and the following week on every row; ``first_row`` marks one row of each pair.
 
     Pairs that never sold in a tracked week drop out.
     """
@@ -96,6 +96,7 @@ def pair_timeline(timeline: DataFrame, p: Params) -> DataFrame:
             "nonpromo_sales": F.sum(F.when(~promoted, F.col("adj_sales"))).over(pair),
             "next_sales": F.when(follows, F.lead("adj_sales").over(ordered)),
             "next_promoted": F.when(follows, F.lead(promoted).over(ordered)),
+            "first_row": F.lag("week_no").over(ordered).isNull(),
         })
         .where(F.col("sale_weeks") > 0)
         .withColumns({"sold": sold, "promoted": promoted,
@@ -124,7 +125,7 @@ def promo_weeks(pairs: DataFrame, p: Params) -> DataFrame:
     )
 
 
-def _measurable(p: Params) -> Column:
+def measurable(p: Params) -> Column:
     return (F.col("sale_weeks") >= p.min_sale_weeks) & (F.col("normal_weeks") >= p.min_normal_weeks)
 
 
@@ -133,12 +134,8 @@ def baseline(pairs: DataFrame, p: Params) -> DataFrame:
 
     Divided by all normal weeks, not only by those with a sale.
     """
-    first = F.row_number().over(Window.partitionBy(*PAIR).orderBy("week_no"))
-    return (
-        pairs.withColumn("rn", first)
-        .where((F.col("rn") == 1) & (F.col("promo_weeks") > 0) & _measurable(p))
-        .select(*PAIR, *CATEGORY, "promo_weeks", "normal_weeks", "baseline_weekly")
-    )
+    return pairs.where(F.col("first_row") & (F.col("promo_weeks") > 0) & measurable(p)).select(
+        *PAIR, *CATEGORY, "promo_weeks", "normal_weeks", "baseline_weekly")
 
 
 def promo_week_uplift(pairs: DataFrame, p: Params) -> DataFrame:
@@ -151,7 +148,7 @@ def promo_week_uplift(pairs: DataFrame, p: Params) -> DataFrame:
     base = F.col("baseline_weekly")
     free_next = (F.col("week_no") < p.last_week) & ~F.coalesce("next_promoted", F.lit(False))
     zero = F.lit(0).cast("decimal(20,2)")
-    return pairs.where(F.col("promoted") & _measurable(p)).select(
+    return pairs.where(F.col("promoted") & measurable(p)).select(
         *PAIR, "week_no", "promo_type", "display", "mailer", *CATEGORY,
         actual.alias("actual_sales"),
         base.alias("baseline_weekly"),

@@ -7,16 +7,19 @@ folder first. With a store, all tables that others read are written once and rea
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from threading import RLock
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from shelflift.operators import (
     bi, campaign, cannibal, clean, experiment, kpi, placebo, recommend, segments, uplift, weekly,
 )
 from shelflift.params import Params
-from shelflift.sources.tables import materialize, scratch_path
+from shelflift.sources.tables import materialize, read_table, scratch_path
 
 
 @dataclass(frozen=True)
@@ -26,6 +29,7 @@ class Table:
     stored: bool = False
     cluster_by: tuple[str, ...] = ()
     pinned: bool = False
+    bucket_by: tuple[str, ...] = ()  # by these columns the table's plan has dealt its rows
 
 
 class Layers:
@@ -34,28 +38,45 @@ class Layers:
     def __init__(self, raw: Mapping[str, DataFrame], params: Params = Params(), store: str | None = None):
         self.raw, self.p, self.store = raw, params, store.rstrip("/") if store else None
         self._cache: dict[str, DataFrame] = {}
+        self._reused: dict[str, str] = {}
+        self._locks = {name: RLock() for name in TABLES}
 
     def path(self, name: str) -> str:
-        return f"{self.store}/{TABLES[name].layer}/{name}"
+        return self._reused.get(name) or f"{self.store}/{TABLES[name].layer}/{name}"
 
     def build(self, name: str) -> DataFrame:
         """The table's plan, without storing it."""
         return TABLES[name].build(self)
 
     def __getitem__(self, name: str) -> DataFrame:
-        if name not in self._cache:
-            table = TABLES[name]
-            df = table.build(self)
-            if self.store and table.stored:
-                df = materialize(df, self.path(name), cluster_by=table.cluster_by)
-            elif table.pinned:
-                df = materialize(df, scratch_path(df.sparkSession, name))
-            self._cache[name] = df
-        return self._cache[name]
-
-    def reuse(self, spark: SparkSession, name: str) -> DataFrame:
-        """Take the table from the store instead of building it."""
-        self._cache[name] = spark.read.parquet(self.path(name))
+        with self._locks[name]:
+            if name not in self._cache:
+                table = TABLES[name]
+                df, layout = table.build(self), {"cluster_by": table.cluster_by, "bucket_by": table.bucket_by, "dealt": True}
+                if self.store and table.stored:
+                    df = materialize(df, self.path(name), **layout)
+                elif table.pinned:
+                    df = materialize(df, scratch_path(df.sparkSession, name), **(layout if table.bucket_by else {}))
+                self._cache[name] = df
+            return self._cache[name]
+
+    def store_all(self, names: Sequence[str], at_once: int = 4) -> None:
+        """Build and store tables, several at a time. A table that another needs first is built by whoever asks for it first; the others wait for it."""
+        in_thread = inheritable_thread_target(next(iter(self.raw.values())).sparkSession)
+        with ThreadPoolExecutor(at_once) as pool:
+            running = [pool.submit(in_thread(lambda name=name: self[name])) for name in names]
+            try:
+                for one in running:
+                    one.result()
+            except BaseException:
+                for one in running:
+                    one.cancel()
+                raise
+
+    def reuse(self, spark: SparkSession, name: str, path: str) -> DataFrame:
+        """Take the table from where an earlier run has stored it instead of building it."""
+        self._reused[name] = path
+        self._cache[name] = read_table(spark, path)
         return self._cache[name]
 
 
@@ -73,6 +94,7 @@ def _campaign_results(L: Layers) -> DataFrame:
 
 # How the large tables of product, store and week are laid out, so that a reader of some products skips the rest.
 PAIR_WEEK = ("product_id", "store_id", "week_no")
+PAIR = ("product_id", "store_id")
 
 TABLES: dict[str, Table] = {
     # clean
@@ -93,7 +115,7 @@ TABLES: dict[str, Table] = {
         pinned=True),
     "ps_weeks": Table("analysis", lambda L: uplift.ps_weeks(L["weekly_product_store_sales"], L["season_index"])),
     "timeline": Table("analysis", lambda L: uplift.promotion_timeline(L["ps_weeks"], L["promotions"], L.p)),
-    "pair_timeline": Table("analysis", lambda L: uplift.pair_timeline(L["timeline"], L.p), True, PAIR_WEEK, pinned=True),
+    "pair_timeline": Table("analysis", lambda L: uplift.pair_timeline(L["timeline"], L.p), True, PAIR_WEEK, True, PAIR),
     "ps_candidates": Table("analysis", lambda L: uplift.ps_candidates(L["ps_weeks"], L.p)),
     "promo_weeks": Table("analysis", lambda L: uplift.promo_weeks(L["pair_timeline"], L.p)),
     "baseline": Table("analysis", lambda L: uplift.baseline(L["pair_timeline"], L.p)),
@@ -104,7 +126,7 @@ TABLES: dict[str, Table] = {
     "uplift_additivity": Table("analysis", lambda L: uplift.uplift_additivity(L["uplift_summary"])),
     "placement_labels": Table("analysis", lambda L: uplift.placement_labels(L["uplift_summary"])),
     "placement_highlights": Table("analysis", lambda L: uplift.placement_highlights(L["placement_labels"])),
-    "placebo_test": Table("analysis", lambda L: placebo.placebo_test(L["pair_timeline"], L["baseline"], L.p)),
+    "placebo_test": Table("analysis", lambda L: placebo.placebo_test(L["pair_timeline"], L.p)),
     "placebo_summary": Table("analysis", lambda L: placebo.placebo_summary(L["placebo_test"])),
     # cannibalisation
     "ps_all_baseline": Table("analysis", lambda L: cannibal.ps_all_baseline(L["pair_timeline"], L.p)),

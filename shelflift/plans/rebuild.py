@@ -5,7 +5,6 @@ from __future__ import annotations
 import argparse
 from collections.abc import Mapping
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from shelflift.operators import weekly
@@ -13,6 +12,7 @@ from shelflift.params import Params
 from shelflift.plans.layers import TABLES, Layers
 from shelflift.schema import SOURCE_TABLES
 from shelflift.sources.csv import load_csv
+from shelflift.sources.published import Publication
 from shelflift.sources.report import report_sheets, write_report
 from shelflift.sources.tables import clear_scratch
 
@@ -25,17 +25,20 @@ CAMPAIGN_STEPS = {
 
 
 def load_raw(spark: SparkSession, folder: str, out: str) -> None:
-    """Read the eight CSV files once and store them as typed tables under ``<out>/raw``."""
+    """Read the eight CSV files once and publish them as typed tables under ``<out>/raw``, all at once."""
+    source = Publication(spark, f"{out.rstrip('/')}/raw")
+    version = source.begin()
     for name, df in load_csv(spark, folder).items():
-        df.write.mode("overwrite").parquet(f"{out.rstrip('/')}/raw/{name}")
+        df.write.parquet(f"{version}/{name}")
+    source.publish({name: f"{version}/{name}" for name in SOURCE_TABLES})
 
 
 def stored_raw(spark: SparkSession, out: str) -> dict[str, DataFrame]:
     """The stored source tables; stops when they were never loaded."""
-    try:
-        return {name: spark.read.parquet(f"{out.rstrip('/')}/raw/{name}") for name in SOURCE_TABLES}
-    except AnalysisException as missing:
-        raise RuntimeError("there are no stored source tables; run once with --load-raw") from missing
+    stored = Publication(spark, f"{out.rstrip('/')}/raw").current()
+    if not stored:
+        raise RuntimeError("there are no stored source tables; run once with --load-raw")
+    return {name: spark.read.parquet(stored[name]) for name in SOURCE_TABLES}
 
 
 def rebuild_all(
@@ -47,25 +50,28 @@ def rebuild_all(
     report_only: bool = False,
     reuse_campaigns: bool = False,
 ) -> Layers:
-    """Write every stored table under ``<out>/<layer>/<table>`` and the report under ``<out>/reports``.
+    """Write every stored table into a new version under ``<out>``, publish all of them at once, and write the report under ``<out>/reports``.
 
-    ``report_only`` reads the stored tables instead. ``reuse_campaigns`` keeps the stored campaign results
-    and stops when there are none.
+    Independent tables are built at the same time. A run that fails leaves the tables published before. ``report_only`` reads these
+    instead. ``reuse_campaigns`` keeps the stored campaign results and stops when there are none.
     """
-    layers = Layers(raw, params, store=out)
+    tables = Publication(spark, out)
+    before = tables.current()
+    layers = Layers(raw, params, store=tables.begin())
     if report_only:
+        if not set(REPORT_INPUTS) <= set(before):
+            raise RuntimeError("there are no stored tables; rebuild them first")
         for name in REPORT_INPUTS:
-            layers.reuse(spark, name)
+            layers.reuse(spark, name, before[name])
     else:
-        if reuse_campaigns:
-            try:
-                layers.reuse(spark, CAMPAIGN_RESULTS)
-            except AnalysisException as missing:
-                raise RuntimeError("there are no stored campaign results; rebuild them first") from missing
-        skip = CAMPAIGN_STEPS if reuse_campaigns else set()
-        for name, table in TABLES.items():
-            if table.stored and name not in skip:
-                layers[name]
+        kept = [name for name in before if name in CAMPAIGN_STEPS or name == CAMPAIGN_RESULTS] if reuse_campaigns else []
+        if reuse_campaigns and CAMPAIGN_RESULTS not in kept:
+            raise RuntimeError("there are no stored campaign results; rebuild them first")
+        for name in kept:
+            layers.reuse(spark, name, before[name])
+        stored = [name for name, table in TABLES.items() if table.stored and not (reuse_campaigns and name in CAMPAIGN_STEPS)]
+        layers.store_all(stored)
+        tables.publish({name: layers.path(name) for name in [*stored, *kept]})
     chosen = weekly.report_week(layers["dim_week"], week)
     categories = weekly.weekly_category_report(layers["fact_category_week"], chosen)
     sheets = report_sheets(

@@ -1,14 +1,18 @@
 import os
+import re
+from dataclasses import replace
 
 import pytest
 
 from shelflift.params import Params
-from shelflift.plans.layers import TABLES
+from shelflift.plans import rebuild
+from shelflift.plans.layers import TABLES, Layers
 from shelflift.plans.rebuild import load_raw, rebuild_all, stored_raw
 from shelflift.schema import SOURCE_TABLES
 from shelflift.sources.csv import load_counts, load_csv, read_source_csv
+from shelflift.sources.published import Publication
 from shelflift.sources.retail_fixture import retail_tables
-from shelflift.sources.tables import clear_scratch, scratch_path
+from shelflift.sources.tables import clear_scratch, materialize, read_table, scratch_path
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -44,15 +48,78 @@ def test_rebuild_then_report_only(spark, tmp_path):
     raw, out = retail_tables(spark, SMALL), str(tmp_path / "out")
     with pytest.raises(RuntimeError, match="campaign results"):
         rebuild_all(spark, raw, out, reuse_campaigns=True)
-    rebuild_all(spark, raw, out, Params(mover_min_sales=1))
-    for name, table in TABLES.items():
-        if table.stored:
-            assert os.path.isdir(f"{out}/{table.layer}/{name}")
+    layers = rebuild_all(spark, raw, out, Params(mover_min_sales=1))
+    stored = {name for name, table in TABLES.items() if table.stored}
+    assert Publication(spark, out).current() == {name: layers.path(name) for name in stored}
+    assert all(os.path.isdir(layers.path(name)) for name in stored)
     rebuild_all(spark, raw, out, week=60, report_only=True)
     weeks = {r.week_no for r in spark.read.parquet(f"{out}/reports/Categories").select("week_no").distinct().collect()}
     assert 60 in weeks and len(weeks) == 2
 
 
+def test_a_run_that_fails_leaves_what_was_there(spark, tmp_path, monkeypatch):
+    raw, out = retail_tables(spark, SMALL), str(tmp_path / "out")
+    store_all, few = Layers.store_all, ["promo_stores", "weekly_category_sales", "campaign_did"]
+    monkeypatch.setattr(Layers, "store_all", lambda self, names: store_all(self, few))
+    monkeypatch.setattr(rebuild, "weekly", None)  # the report is not asked for here: the run ends when the tables are published
+    with pytest.raises(AttributeError):
+        rebuild_all(spark, raw, out)
+    before = Publication(spark, out).current()
+    counts = {name: read_table(spark, before[name]).count() for name in few}
+
+    def broken(self):
+        raise OSError("lost")
+
+    monkeypatch.setitem(TABLES, "promo_stores", replace(TABLES["promo_stores"], build=broken))
+    with pytest.raises(OSError, match="lost"):
+        rebuild_all(spark, raw, out)
+    assert Publication(spark, out).current() == before
+    assert {name: read_table(spark, before[name]).count() for name in few} == counts
+
+
+def test_versions_that_no_kept_set_names_go(spark, tmp_path):
+    tables, seen = Publication(spark, str(tmp_path / "out")), []
+    assert tables.current() == {}
+    for i in range(4):
+        version = tables.begin()
+        spark.range(i + 1).write.parquet(f"{version}/numbers")
+        kept = {"first": seen[0]["numbers"]} if seen else {}
+        tables.publish({"numbers": f"{version}/numbers"} | kept)
+        seen.append(tables.current())
+    assert spark.read.parquet(tables.current()["numbers"]).count() == 4
+    assert [os.path.isdir(s["numbers"]) for s in seen] == [True, False, True, True]  # the first is still named
+    abandoned = tables.begin()
+    os.makedirs(abandoned)
+    tables.publish(seen[-1])
+    assert os.path.isdir(abandoned)
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_bucketed_table_is_dealt_once(spark, tmp_path):
+    path = str(tmp_path / "dealt")
+    rows = spark.range(1000).selectExpr("id % 50 AS a", "id % 7 AS b", "id AS c")
+    stored = materialize(rows, path, cluster_by=("a", "b", "c"), bucket_by=("a", "b"), buckets=3)
+    again = spark.newSession()
+    for df in (stored, read_table(again, path)):
+        sums = df.groupBy("a", "b").count()
+        assert "Exchange" not in plan_of(sums) and sums.count() == 350
+        assert "Exchange" not in plan_of(df.hint("merge").join(df.select("a", "b").distinct(), ["a", "b"]))
+    assert read_table(spark, path, ["c"]).agg({"c": "sum"}).first()[0] == 499_500
+    materialize(rows.limit(10), path, bucket_by=("a", "b"), buckets=2)
+    assert read_table(spark, path).count() == 10
+
+
+def test_pairs_are_read_without_an_exchange(spark):
+    layers = Layers(retail_tables(spark, SMALL), Params())
+    pair = re.compile(r"Exchange hashpartitioning\(product_id#\d+L?, store_id")
+    for name in ("baseline", "ps_all_baseline", "placebo_test"):
+        assert not pair.search(plan_of(layers[name])), name
+    assert "SelectedBucketsCount" in plan_of(layers["placebo_test"])
+
+
 def test_source_tables_are_loaded_once(spark, tmp_path):
     out = str(tmp_path / "out")
     with pytest.raises(RuntimeError, match="load-raw"):

@@ -86,7 +86,7 @@ def test_placebo_centres_on_zero(frame):
     sales = [sold(p, w, draw.expovariate(0.5), promoted=w < 15)
              for p in range(1, 61) for w in range(9, 102) if draw.random() < 0.6 or w < 20]
     pairs = pairs_of(frame, sales, [promo(p, w) for p in range(1, 61) for w in range(9, 15)])
-    runs = placebo.placebo_test(pairs, uplift.baseline(pairs, P), P)
+    runs = placebo.placebo_test(pairs, P)
     out = placebo.placebo_summary(runs).first()
     assert out.runs == 20 and out.ranges_with_zero >= 15 and abs(out.mean_fake_extra) < 0.05
     assert {r.fake_weeks for r in runs.collect()} == {600}
