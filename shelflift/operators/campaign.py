@@ -2,8 +2,8 @@
 
 Every campaign splits the calendar into four periods: history, earlier (the 8 weeks before "before"),
 before (the 8 weeks before the start) and during. Trips are first summed per household and day, which bounds a
-household to one row per calendar day however often it shops. Which campaigns a household can stand for is settled first, from the
-few campaign rows and its own targets; its days then meet only those, by household, and are summed where they are.
+household to one row per calendar day however often it shops. Its days with running sums are one row (the spend index); which campaigns it can stand for follows from the
+few campaign rows and its own targets, and the spend of a period from two searches in the index. No days are joined with campaigns.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from shelflift.functions.columns import ratio, sum_where
 from shelflift.functions.distributions import student_two_sided_p
+from shelflift.functions.interval_sets import count_upto, holds, interval_sets, meets
 from shelflift.functions.intervals import welch
 from shelflift.functions.ranking import quantile_bin, running_total
 from shelflift.functions.regression import clustered_treatment_effect
@@ -93,52 +94,59 @@ def _all_campaigns(campaigns: DataFrame, p: Params) -> Column:
     return inside.agg(F.array_sort(F.collect_list(one))).scalar()
 
 
-def memberships(daily: DataFrame, campaigns: DataFrame, targets: DataFrame, p: Params) -> DataFrame:
-    """Per shopping household, the campaigns it can stand for in either design, with start and last day.
+def spend_index(daily: DataFrame) -> DataFrame:
+    """``(household_key, days, upto)``: a household's shopping days in order and its spend up to each, so that any period takes two searches."""
+    total = F.sum("spend").over(Window.partitionBy("household_key").orderBy("day")).cast("decimal(38,2)")
+    running = daily.withColumn("upto", total).groupBy("household_key").agg(F.array_sort(F.collect_list(F.struct("day", "upto"))).alias("_days"))
+    return running.select("household_key", F.col("_days.day").alias("days"), F.col("_days.upto").alias("upto"))
+
+
+def _spent_upto(day: Column) -> Column:
+    return F.coalesce(F.get(F.col("upto"), count_upto(F.col("days"), day) - 1), F.lit(0).cast("decimal(38,2)"))
+
+
+def memberships(index: DataFrame, campaigns: DataFrame, targets: DataFrame, p: Params) -> DataFrame:
+    """The spend index with ``members``: the campaigns a household can stand for in either design, with start and last day.
 
     ``treated``: it was targeted. ``ever``: some campaign targeted it. ``busy``: one of its campaigns ran between 16 weeks before the start and
     the last day of this one. Households that were targeted, but are busy around a campaign that was not sent to them, stand for neither group of it.
     """
-    own = (
-        targets.select("household_key", "campaign").distinct()
-        .join(campaigns.select("campaign", "start_day", "end_day"), "campaign")
-        .groupBy("household_key").agg(F.collect_list(F.struct("campaign", "start_day", "end_day")).alias("own"))
-    )
-    shoppers = daily.select("household_key").distinct()
+    own = targets.select("household_key", "campaign").distinct().join(campaigns.select("campaign", "start_day", "end_day"), "campaign")
+    sent = own.groupBy("household_key").agg(F.sort_array(F.collect_list("campaign")).alias("own"))
+    ran = interval_sets(own, ["household_key"], "start_day", "end_day")
     ever = F.col("own").isNotNull()
 
     def judged(c: Column) -> Column:
-        mine = F.coalesce("own", F.array().cast("array<struct<campaign:int,start_day:int,end_day:int>>"))
         return F.struct(
             c["campaign"].alias("campaign"), c["start_day"].alias("start_day"), c["last"].alias("last"),
-            F.exists(mine, lambda o: o["campaign"] == c["campaign"]).alias("treated"), ever.alias("ever"),
-            F.exists(mine, lambda o: (o["start_day"] <= c["last"]) & (o["end_day"] >= c["start_day"] - 2 * p.before_days)).alias("busy"))
+            holds(F.col("own"), c["campaign"]).alias("treated"), ever.alias("ever"),
+            meets(F.col("starts"), F.col("ends"), c["start_day"] - 2 * p.before_days, c["last"]).alias("busy"))
 
-    every = F.transform(F.col("every"), judged)
-    stands = F.filter(every, lambda m: m["treated"] | ~m["ever"] | ~m["busy"])
+    stands = F.filter(F.transform(F.col("every"), judged), lambda m: m["treated"] | ~m["ever"] | ~m["busy"])
     return (
-        shoppers.join(own, "household_key", "left").withColumn("every", _all_campaigns(campaigns, p))
-        .select("household_key", stands.alias("members"))
+        index.join(sent, "household_key", "left").join(ran, "household_key", "left").withColumn("every", _all_campaigns(campaigns, p))
+        .select("household_key", "days", "upto", stands.alias("members"))
     )
 
 
-def campaign_spend(daily: DataFrame, campaigns: DataFrame, targets: DataFrame, p: Params) -> DataFrame:
-    """Spend per member household, campaign and period, for households that shopped in the 8 weeks before."""
-    half, day, m = p.before_days, F.col("day"), F.col("m")
-    pairs = daily.join(memberships(daily, campaigns, targets, p), "household_key").withColumn(
-        "m", F.explode(F.filter("members", lambda m: m["last"] >= day)))
-    start = F.col("m.start_day")
-    period = (
-        F.when(day >= start, "during").when(day >= start - half, "before")
-        .when(day >= start - 2 * half, "earlier").otherwise("history")
-    )
-    spent = pairs.select(
-        "household_key", "m.campaign", "m.treated", "m.ever", "m.busy", period.alias("period"), "spend",
-    ).groupBy("household_key", "campaign").agg(
-        *[F.first(c).alias(c) for c in ("treated", "ever", "busy")],
-        *[F.coalesce(sum_where(F.col("period") == name, F.col("spend")), F.lit(0).cast("decimal(38,2)")).alias(name)
-          for name in ("history", "earlier", "before", "during")])
-    return spent.where(F.col("before") > 0)
+def campaign_spend(index: DataFrame, campaigns: DataFrame, targets: DataFrame, p: Params) -> DataFrame:
+    """Spend per member household, campaign and period, for households that shopped in the 8 weeks before.
+
+    ``index`` is the result of :func:`spend_index`. Periods are differences of running sums; only members with spend before the start become rows.
+    """
+    half = p.before_days
+
+    def spent(m: Column) -> Column:
+        start = m["start_day"]
+        ends = {"history": start - 2 * half - 1, "earlier": start - half - 1, "before": start - 1, "during": m["last"]}
+        return F.struct(*[m[c].alias(c) for c in ("campaign", "treated", "ever", "busy")], *[_spent_upto(day).alias(name) for name, day in ends.items()])
+
+    shopped = F.filter(F.transform("members", spent), lambda m: m["before"] > m["earlier"])
+    rows = memberships(index, campaigns, targets, p).select("household_key", F.explode(shopped).alias("m"))
+    upto = ["history", "earlier", "before", "during"]
+    return rows.select(
+        "household_key", *[f"m.{c}" for c in ("campaign", "treated", "ever", "busy")], "m.history",
+        *[(F.col(f"m.{b}") - F.col(f"m.{a}")).cast("decimal(38,2)").alias(b) for a, b in zip(upto, upto[1:])])
 
 
 def did_members(spent: DataFrame, comparison: str = NEVER) -> DataFrame:
@@ -262,22 +270,23 @@ def did_summary(
     return out
 
 
-def event_study(daily: DataFrame, campaigns: DataFrame, panel: DataFrame, p: Params) -> DataFrame:
+def event_study(index: DataFrame, campaigns: DataFrame, panel: DataFrame, p: Params) -> DataFrame:
     """Gap in weekly spend between targeted and comparison households around the start, per type.
 
-    Weeks without a trip count as 0: sums are divided by the number of members. Each campaign's gap is
+    ``index`` is the result of :func:`spend_index`. A member's weeks are differences of running sums in one array, summed place by place, so there is a row per member and no
+    row per day. Weeks without a trip count as 0: sums are divided by the number of members. Each campaign's gap is
     centred on its mean over the weeks before the start; types average campaigns by targeted households.
     """
     w = p.event_weeks
     starts = campaigns.select("campaign", "start_day")
-    members = panel.select("household_key", "campaign", "treated").join(starts, "campaign")
-    rel_week = F.floor((F.col("day") - F.col("start_day")) / 7).cast("int")
-    around = daily.join(members, "household_key").where(F.col("day").between(
-        F.col("start_day") - 7 * w, F.col("start_day") + 7 * w + 6))
-    sums = around.groupBy("campaign", rel_week.alias("rel_week")).agg(
-        sum_where(F.col("treated") == 1, F.col("spend")).alias("s1"),
-        sum_where(F.col("treated") == 0, F.col("spend")).alias("s0"),
-    )
+    of_home = panel.join(starts, "campaign").groupBy("household_key").agg(F.collect_list(F.struct("campaign", "treated", "start_day")).alias("members"))
+    marks = F.transform(F.sequence(F.lit(-w), F.lit(w + 1)), lambda k: _spent_upto(F.col("m.start_day") + k * 7 - 1))
+    members = index.join(of_home, "household_key").withColumn("m", F.explode("members")).select("m.campaign", "m.treated", marks.alias("upto"))
+    week = lambda i: F.get("upto", F.lit(i + 1)) - F.get("upto", F.lit(i))
+    total = lambda i, arm: F.sum(F.when(F.col("treated") == arm, week(i)))
+    totals = members.groupBy("campaign").agg(F.array(*[
+        F.struct(F.lit(i - w).alias("rel_week"), total(i, 1).alias("s1"), total(i, 0).alias("s0")) for i in range(2 * w + 1)]).alias("weeks"))
+    sums = totals.select("campaign", F.explode("weeks").alias("x")).select("campaign", "x.*")
     sizes = panel.groupBy("campaign", "campaign_type").agg(
         F.count_if(F.col("treated") == 1).alias("n1"), F.count_if(F.col("treated") == 0).alias("n0")
     )

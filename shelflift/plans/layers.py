@@ -143,12 +143,13 @@ TABLES: dict[str, Table] = {
         L["cannibalisation_summary"], L.p)),
     # campaigns
     "daily_spend": Table("analysis", lambda L: campaign.daily_spend(L["baskets"]), True, pinned=True),
+    "spend_index": Table("analysis", lambda L: campaign.spend_index(L["daily_spend"]), pinned=True),
     "never_targeted": Table("analysis", lambda L: campaign.never_targeted(L["baskets"], L.raw["campaign_table"])),
     "campaign_reach_response": Table("analysis", lambda L: campaign.campaign_reach_response(
         L["campaigns"], L.raw["campaign_table"], L.raw["coupon_redempt"], L.p)),
     "campaign_overview": Table("analysis", lambda L: campaign.campaign_overview(L["campaign_reach_response"])),
     "campaign_spend": Table("analysis", lambda L: campaign.campaign_spend(
-        L["daily_spend"], L["campaigns"], L.raw["campaign_table"], L.p), True, pinned=True),
+        L["spend_index"], L["campaigns"], L.raw["campaign_table"], L.p), True, pinned=True),
     "did_members_never": Table("analysis", _members(campaign.NEVER), True, pinned=True),
     "did_members_other": Table("analysis", _members(campaign.OTHER_TIMES), True, pinned=True),
     "did_panel_never": Table("analysis", lambda L: campaign.did_panel(
@@ -163,7 +164,7 @@ TABLES: dict[str, Table] = {
     "did_summary": Table("analysis", lambda L: campaign.did_summary(
         L["did_never"], L["pretrend_never"], L["did_other"], L["pretrend_other"])),
     "event_study": Table("analysis", lambda L: campaign.event_study(
-        L["daily_spend"], L["campaigns"], L["did_panel_never"], L.p)),
+        L["spend_index"], L["campaigns"], L["did_panel_never"], L.p)),
     "campaign_did": Table("analysis", _campaign_results, True),
     # segments
     "rfm_base": Table("analysis", lambda L: segments.rfm_base(L["baskets"], L.p), True, pinned=True),

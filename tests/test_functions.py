@@ -139,3 +139,45 @@ def test_planted_effect_is_recovered(frame):
     plain, planted = fit(frame, panel()), fit(frame, panel(effect=5.0))
     for kind in plain:
         assert planted[kind].effect - plain[kind].effect == pytest.approx(5.0, abs=1e-9)
+
+
+def test_interval_sets_against_all_pairs(frame):
+    """Nested, touching, equal, empty and null intervals; keys on one side only."""
+
+    from shelflift.functions.interval_sets import merged_intervals, overlap_join
+
+    rnd = random.Random(9)
+    right = [(rnd.randrange(6), s := rnd.randrange(60), s + rnd.choice([-1, 0, 0, 3, 20])) for _ in range(60)] + [(1, None, 5), (None, 1, 90), (2, 10, 30), (2, 12, 15), (2, 30, 40)]
+    left = [(rnd.randrange(8), i, s := rnd.randrange(70), s + rnd.randrange(12)) for i in range(300)] + [(None, 900, 1, 2), (1, 901, None, 2)]
+    a, b = frame("k int, i int, low int, high int", left), frame("k int, start int, end int", right)
+    met = {i for k, i, low, high in left if any(
+        k == r and None not in (k, low, s, e) and s <= e and s <= high and e >= low for r, s, e in right)}
+    for anti in (False, True):
+        got = {r.i for r in overlap_join(a, b, ["k"], "low", "high", "start", "end", anti).collect()}
+        assert got == ({x[1] for x in left} - met if anti else met)
+    covered = lambda rows: {(k, x) for k, s, e in rows if None not in (s, e) for x in range(s, e + 1)}
+    merged = [tuple(r) for r in merged_intervals(b, ["k"], "start", "end").collect()]
+    assert covered(merged) == covered(right) and len(covered(merged)) == sum(e - s + 1 for _, s, e in merged)
+
+
+def test_search_in_sorted_arrays(frame):
+    from shelflift.functions.interval_sets import count_upto, holds
+
+    rows = [(a, x) for a in (None, [], [3], [1, 1, 4], list(range(0, 100, 3))) for x in (-1, 0, 1, 3, 4, 50, 99, 200)]
+    got = frame("a array<int>, x int", rows).select("a", "x", count_upto(F.col("a"), F.col("x")), holds(F.col("a"), F.col("x"))).collect()
+    for r in got:
+        assert r[2] == sum(v <= r.x for v in r.a or []) and r[3] == (r.x in (r.a or []))
+
+
+def test_many_campaigns_are_eliminated(frame, spark):
+    """600 campaigns against a least-squares fit, 5,000 by the size of what meets in one task."""
+    from shelflift.functions.regression import _entries
+
+    rng = np.random.default_rng(4)
+    rows = [("TypeA", c, int(rng.integers(0, 10)), int(rng.random() < 0.5), int(rng.integers(0, 400)), float(rng.normal() + c % 7)) for c in range(600) for _ in range(8)]
+    d = pd.DataFrame(rows, columns=["t", "c", "q", "treated", "h", "y"])
+    x = np.column_stack([d.treated, pd.get_dummies(d.c, dtype=float), pd.get_dummies(d.q, drop_first=True, dtype=float)]).astype(float)
+    coef = np.linalg.lstsq(x, d.y.to_numpy(), rcond=None)[0]
+    assert fit(frame, rows)["TypeA"].effect == pytest.approx(coef[0], abs=1e-8)
+    cells = spark.range(100_000).selectExpr("'T' AS g", "id DIV 20 AS a", "id DIV 2 % 10 AS b", "cast(id % 2 AS int) AS treated", "1 + id % 3 AS n", "cast(id % 11 AS double) AS y_sum")
+    assert _entries(cells, "g", "a", "b").count() == 11 * 12

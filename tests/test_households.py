@@ -52,7 +52,7 @@ def test_window_edges_and_clipped_end(frame):
                           trip(1, start - 57, "4.00"), trip(1, start - 112, "2.00"), trip(1, start - 113, "3.00"),
                           trip(2, start - 57), trip(3, start - 1)])
     targets = frame(TARGETS, [("TypeA", 1, 1)])
-    spent = campaign.campaign_spend(campaign.daily_spend(trips), campaigns, targets, P)
+    spent = campaign.campaign_spend(campaign.spend_index(campaign.daily_spend(trips)), campaigns, targets, P)
     panel = campaign.did_panel(campaign.did_members(spent), campaigns, P)
     rows = {r.household_key: r for r in panel.collect()}
     assert set(rows) == {1, 3} and rows[1].treated == 1 and rows[3].treated == 0
@@ -66,7 +66,7 @@ def test_early_campaign_has_no_history(frame):
     campaigns = frame(CAMPAIGNS, [(1, "TypeA", 100, 120)])
     trips = frame(TRIPS, [trip(1, 99), trip(2, 98)])
     targets = frame(TARGETS, [("TypeA", 1, 1)])
-    spent = campaign.campaign_spend(campaign.daily_spend(trips), campaigns, targets, P)
+    spent = campaign.campaign_spend(campaign.spend_index(campaign.daily_spend(trips)), campaigns, targets, P)
     rows = campaign.did_panel(campaign.did_members(spent), campaigns, P).collect()
     assert len(rows) == 2 and all(r.history is None for r in rows)
     assert {r.household_key: r.spend_decile for r in rows}[1] == 0
@@ -76,7 +76,7 @@ def test_other_times_excludes_busy_households(frame):
     campaigns = frame(CAMPAIGNS, [(1, "TypeA", 400, 420), (2, "TypeA", 290, 299), (3, "TypeA", 200, 287)])
     trips = frame(TRIPS, [trip(h, 399) for h in (1, 2, 3, 4)])
     targets = frame(TARGETS, [("TypeA", 1, 1), ("TypeA", 2, 2), ("TypeA", 3, 3)])
-    spent = campaign.campaign_spend(campaign.daily_spend(trips), campaigns, targets, P)
+    spent = campaign.campaign_spend(campaign.spend_index(campaign.daily_spend(trips)), campaigns, targets, P)
     members = campaign.did_members(spent, campaign.OTHER_TIMES).where("campaign = 1")
     assert {(r.household_key, r.treated) for r in members.collect()} == {(1, 1), (3, 0)}
 
@@ -86,9 +86,9 @@ def test_event_weeks_floor_towards_the_past(frame):
     trips = frame(TRIPS, [trip(1, 299, "9.00"), trip(1, 300, "17.00"), trip(2, 298, "1.00")])
     targets = frame(TARGETS, [("TypeA", 1, 1)])
     daily = campaign.daily_spend(trips)
-    spent = campaign.campaign_spend(daily, campaigns, targets, P)
+    spent = campaign.campaign_spend(campaign.spend_index(daily), campaigns, targets, P)
     panel = campaign.did_panel(campaign.did_members(spent), campaigns, P)
-    gaps = {r.rel_week: r.gap for r in campaign.event_study(daily, campaigns, panel, P).collect()}
+    gaps = {r.rel_week: r.gap for r in campaign.event_study(campaign.spend_index(daily), campaigns, panel, P).collect()}
     assert len(gaps) == 17
     assert gaps[-1] == pytest.approx(8 - 1) and gaps[0] == pytest.approx(17 - 1) and gaps[5] == pytest.approx(-1)
 
