@@ -12,17 +12,14 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
 def count_upto(ascending: Column, x: Column) -> Column:
-    """How many elements of a sorted array are at most ``x``; 0 for a NULL array."""
-    steps = F.sequence(F.lit(1), F.length(F.bin(F.coalesce(F.size(ascending), F.lit(0)))))
+    """How many elements of a sorted array are at most ``x``; 0 for a NULL array or ``x``. The count is built up from its highest bit."""
+    bits = F.sequence(F.length(F.bin(F.size(ascending))) - 1, F.lit(0))
 
-    def halve(acc: Column, _: Column) -> Column:
-        middle = F.floor((acc["low"] + acc["high"]) / 2).cast("int")
-        goes_right = F.get(ascending, middle) <= x
-        return F.when(acc["low"] >= acc["high"], acc).otherwise(F.struct(
-            F.when(goes_right, middle + 1).otherwise(acc["low"]).alias("low"), F.when(goes_right, acc["high"]).otherwise(middle).alias("high")))
+    def step(count: Column, bit: Column) -> Column:
+        more = count + F.call_function("shiftleft", F.lit(1), bit)
+        return F.when(F.get(ascending, more - 1) <= x, more).otherwise(count)
 
-    size = F.when(ascending.isNull(), 0).otherwise(F.size(ascending)).cast("int")
-    return F.aggregate(steps, F.struct(F.lit(0).alias("low"), size.alias("high")), halve)["low"]
+    return F.coalesce(F.aggregate(bits, F.lit(0), step), F.lit(0))
 
 
 def holds(ascending: Column, x: Column) -> Column:

@@ -95,10 +95,10 @@ def _all_campaigns(campaigns: DataFrame, p: Params) -> Column:
 
 
 def spend_index(daily: DataFrame) -> DataFrame:
-    """``(household_key, days, upto)``: a household's shopping days in order and its spend up to each, so that any period takes two searches."""
+    """``(household_key, days, spend, upto)``: a household's shopping days in order, its spend on and up to each, so that any period takes two searches."""
     total = F.sum("spend").over(Window.partitionBy("household_key").orderBy("day")).cast("decimal(38,2)")
-    running = daily.withColumn("upto", total).groupBy("household_key").agg(F.array_sort(F.collect_list(F.struct("day", "upto"))).alias("_days"))
-    return running.select("household_key", F.col("_days.day").alias("days"), F.col("_days.upto").alias("upto"))
+    running = daily.withColumn("upto", total).groupBy("household_key").agg(F.array_sort(F.collect_list(F.struct("day", "spend", "upto"))).alias("_days"))
+    return running.select("household_key", F.col("_days.day").alias("days"), F.col("_days.spend").alias("spend"), F.col("_days.upto").alias("upto"))
 
 
 def _spent_upto(day: Column) -> Column:
@@ -119,8 +119,8 @@ def memberships(index: DataFrame, campaigns: DataFrame, targets: DataFrame, p: P
     def judged(c: Column) -> Column:
         return F.struct(
             c["campaign"].alias("campaign"), c["start_day"].alias("start_day"), c["last"].alias("last"),
-            holds(F.col("own"), c["campaign"]).alias("treated"), ever.alias("ever"),
-            meets(F.col("starts"), F.col("ends"), c["start_day"] - 2 * p.before_days, c["last"]).alias("busy"))
+            (ever & holds(F.col("own"), c["campaign"])).alias("treated"), ever.alias("ever"),
+            (ever & meets(F.col("starts"), F.col("ends"), c["start_day"] - 2 * p.before_days, c["last"])).alias("busy"))
 
     stands = F.filter(F.transform(F.col("every"), judged), lambda m: m["treated"] | ~m["ever"] | ~m["busy"])
     return (
@@ -273,20 +273,23 @@ def did_summary(
 def event_study(index: DataFrame, campaigns: DataFrame, panel: DataFrame, p: Params) -> DataFrame:
     """Gap in weekly spend between targeted and comparison households around the start, per type.
 
-    ``index`` is the result of :func:`spend_index`. A member's weeks are differences of running sums in one array, summed place by place, so there is a row per member and no
-    row per day. Weeks without a trip count as 0: sums are divided by the number of members. Each campaign's gap is
+    ``index`` is the result of :func:`spend_index`. Two searches per member cut its days around the start out of the index; no other day becomes a row.
+    Weeks without a trip count as 0: sums are divided by the number of members. Each campaign's gap is
     centred on its mean over the weeks before the start; types average campaigns by targeted households.
     """
     w = p.event_weeks
     starts = campaigns.select("campaign", "start_day")
     of_home = panel.join(starts, "campaign").groupBy("household_key").agg(F.collect_list(F.struct("campaign", "treated", "start_day")).alias("members"))
-    marks = F.transform(F.sequence(F.lit(-w), F.lit(w + 1)), lambda k: _spent_upto(F.col("m.start_day") + k * 7 - 1))
-    members = index.join(of_home, "household_key").withColumn("m", F.explode("members")).select("m.campaign", "m.treated", marks.alias("upto"))
-    week = lambda i: F.get("upto", F.lit(i + 1)) - F.get("upto", F.lit(i))
-    total = lambda i, arm: F.sum(F.when(F.col("treated") == arm, week(i)))
-    totals = members.groupBy("campaign").agg(F.array(*[
-        F.struct(F.lit(i - w).alias("rel_week"), total(i, 1).alias("s1"), total(i, 0).alias("s0")) for i in range(2 * w + 1)]).alias("weeks"))
-    sums = totals.select("campaign", F.explode("weeks").alias("x")).select("campaign", "x.*")
+    first = count_upto(F.col("days"), F.col("m.start_day") - 7 * w - 1)
+    last = count_upto(F.col("days"), F.col("m.start_day") + 7 * w + 6)
+    members = index.join(of_home, "household_key").withColumn("m", F.explode("members")).withColumns({"first": first, "last": last})
+    around = F.slice(F.arrays_zip("days", "spend"), F.col("first") + 1, F.col("last") - F.col("first"))
+    spent = members.where("last > first").select("m.*", F.explode(around).alias("x")).select(
+        "campaign", "treated", F.floor((F.col("x.days") - F.col("start_day")) / 7).cast("int").alias("rel_week"), "x.spend")
+    sums = spent.groupBy("campaign", "rel_week").agg(
+        sum_where(F.col("treated") == 1, F.col("spend")).alias("s1"),
+        sum_where(F.col("treated") == 0, F.col("spend")).alias("s0"),
+    )
     sizes = panel.groupBy("campaign", "campaign_type").agg(
         F.count_if(F.col("treated") == 1).alias("n1"), F.count_if(F.col("treated") == 0).alias("n0")
     )
