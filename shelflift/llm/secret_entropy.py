@@ -3,10 +3,11 @@
 Base spans: ``assign``, ``access`` and ``hex`` by pattern. Added spans, kind ``entropy``: candidate strings are runs of key characters with
 letters and digits; each is of the narrowest class that holds all its characters, and a window of the class's width slides over it. The counts of
 the characters in the window, and with them the sum of c*log2(c), change by one character in and one out; windows at or above the class's entropy
-are joined to spans. Candidates on the allow-list, and entropy spans inside a base span, are dropped.
+are joined to spans. A candidate shorter than its class's width is one window, with the entropy asked for in proportion to the logarithm of its length. Candidates
+that the allow-list knows as a whole, windows that touch an allowed part (a placeholder's name, a run, a sequence), and entropy spans inside a base span are dropped.
 
 Everything is a column expression: no shuffle, one row per text, whatever its length. Null text: empty. Empty text: no spans. Rows are kept as
-they come, with repeated and null ids and further columns; an empty table gives an empty result.
+they come, with repeated and null ids and further columns, except that columns named assign, access, hex or added are replaced; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -40,11 +41,10 @@ CLASSES = (
     CharClass("upper", "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", 16, 3.3),
     CharClass("base64", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/=_-", 20, 3.7),
 )
-# Placeholders, runs of one character, counting sequences, words joined by separators, UUIDs.
-ALLOW = (
-    r"(?i)example|sample|placeholder|changeme|your[_-]?key|dummy|redacted",
-    r"(.)\1{7,}",
-    r"0123456789|abcdefghij|ABCDEFGHIJ|1234567890",
+# What windows must not touch: placeholders, runs of one character, counting sequences.
+ALLOW_PART = r"(?i:example|sample|placeholder|changeme|your[_-]?key|dummy|redacted)|(.)\1{7,}|0123456789|abcdefghij|ABCDEFGHIJ|1234567890"
+# What a candidate must not be: words joined by separators, UUIDs.
+ALLOW_WHOLE = (
     r"^[A-Za-z]++(?:[_/=-]++(?:[A-Za-z]++|[0-9]{1,4}+))*+$",
     r"^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$",
 )
@@ -64,7 +64,10 @@ def _weight(count: Column) -> Column:
 
 
 def hot_windows(hit: Column, cls: CharClass) -> Column:
-    """The joined windows of ``hit`` with enough entropy, as array<struct<start,end>> from its start."""
+    """The joined windows of ``hit`` with enough entropy and without an allowed part, as array<struct<start,end>> from its start."""
+    width = F.least(F.length(hit), F.lit(cls.width))
+    log_width = F.log2(width.cast("double"))
+    needed = log_width * (cls.bits / math.log2(cls.width)) - 1e-9
     places = F.transform(F.split(hit, ""), lambda ch: F.instr(F.lit(cls.alphabet), ch) - 1)
     run = "array<struct<start:int,end:int>>"
     start = F.struct(
@@ -72,9 +75,9 @@ def hot_windows(hit: Column, cls: CharClass) -> Column:
         F.array().cast(run).alias("out"), F.lit(-1).alias("a"), F.lit(-1).alias("b"),
     )
 
-    def scan(places: Column) -> Column:
+    def scan(places: Column, spare: Column) -> Column:
         def step(acc: Column, x: Column) -> Column:
-            gone = F.coalesce(F.get(places, acc["i"] - cls.width), F.lit(-1))
+            gone = F.coalesce(F.get(places, acc["i"] - width), F.lit(-1))
             come_n, gone_n = F.get(acc["counts"], x), F.coalesce(F.get(acc["counts"], gone), F.lit(0))
             total = F.when(x == gone, acc["sum"]).otherwise(
                 acc["sum"] + _weight(come_n + 1) - _weight(come_n)
@@ -82,26 +85,24 @@ def hot_windows(hit: Column, cls: CharClass) -> Column:
             counts = F.when(x == gone, acc["counts"]).otherwise(F.transform(
                 acc["counts"], lambda c, k: c + (k == x).cast("int") - (k == gone).cast("int")))
             end = acc["i"] + 1
-            hot = (end >= cls.width) & (F.lit(math.log2(cls.width)) - total / cls.width >= cls.bits)
-            fresh = hot & (end - cls.width > acc["b"])
+            hot = (end >= width) & (log_width - total / width >= needed) & ~F.exists(spare, lambda s: (s["start"] < end) & (s["end"] > end - width))
+            fresh = hot & (end - width > acc["b"])
             closed = F.when(fresh & (acc["b"] >= 0), F.concat(acc["out"], F.array(F.struct(
                 acc["a"].alias("start"), acc["b"].alias("end"))))).otherwise(acc["out"])
             return F.struct(
                 end.alias("i"), counts.alias("counts"), total.alias("sum"), closed.alias("out"),
-                F.when(fresh, end - cls.width).otherwise(acc["a"]).alias("a"), F.when(hot, end).otherwise(acc["b"]).alias("b"))
+                F.when(fresh, end - width).otherwise(acc["a"]).alias("a"), F.when(hot, end).otherwise(acc["b"]).alias("b"))
 
         return F.aggregate(places, start, step, lambda acc: F.when(acc["b"] >= 0, F.concat(acc["out"], F.array(F.struct(
             acc["a"].alias("start"), acc["b"].alias("end"))))).otherwise(acc["out"]))
 
-    return let(places, scan)
+    return let(places, lambda p: let(match_spans(hit, ALLOW_PART), lambda spare: scan(p, spare)))
 
 
 def entropy_spans(text: Column) -> Column:
     def of_candidate(s: Column) -> Column:
         hit = s["hit"]
-        allowed = hit.rlike(ALLOW[0])
-        for pattern in ALLOW[1:]:
-            allowed = allowed | hit.rlike(pattern)
+        allowed = hit.rlike(ALLOW_WHOLE[0]) | hit.rlike(ALLOW_WHOLE[1])
         windows = F.lit(None).cast("array<struct<start:int,end:int>>")
         for cls in reversed(CLASSES):
             inside = hit.rlike("^[" + cls.alphabet.replace("-", r"\-") + "]+$")

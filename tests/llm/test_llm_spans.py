@@ -1,6 +1,7 @@
 """Personal data and secrets against the patterns as the contract words them."""
 
 import hashlib
+import random
 import re
 
 import pytest
@@ -139,24 +140,58 @@ def entropy_of(window):
     return -sum(c / len(window) * log2(c / len(window)) for c in Counter(window).values())
 
 
-def test_entropy_windows_equal_direct_entropies(frame):
-    hits = ["a8F3kd92LmQz7Xc1VbN0PoIu5Ty", "aaaaaaaaaaaaaaaaaaaaaaaaa8F3kd92LmQz7Xc1VbN0PoIu5Tyaaaaaaaaaaaaaaaaaaaaaaaaaaaaa", "0f" * 30, "ab1" * 4]
-    for cls in se.CLASSES:
-        hits_in = [h for h in hits if set(h) <= set(cls.alphabet)]
-        if not hits_in:
+PARTS = r"(?i:example|sample|placeholder|changeme|your[_-]?key|dummy|redacted)|(.)\1{7,}|0123456789|abcdefghij|ABCDEFGHIJ|1234567890"
+WORDS = r"[A-Za-z]+(?:[_/=-]+(?:[A-Za-z]+|[0-9]{1,4}))*"
+UUID = r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}"
+
+
+def secret_places(text):
+    """Positions in added spans: every window of every candidate, one by one."""
+    from math import log2
+
+    places = set()
+    for m in re.finditer(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{16,}", text):
+        hit = m[0]
+        if not (re.search("[0-9]", hit) and re.search("[A-Za-z]", hit)) or re.fullmatch(WORDS, hit) or re.fullmatch(UUID, hit):
             continue
-        got = frame("hit string", [(h,) for h in hits_in]).select("hit", se.hot_windows(F.col("hit"), cls).alias("w")).collect()
-        for r in got:
-            covered = {p for w in r.w for p in range(w.start, w.end)}
-            want = {p for i in range(len(r.hit) - cls.width + 1) if entropy_of(r.hit[i:i + cls.width]) >= cls.bits for p in range(i, i + cls.width)}
-            assert covered == want
+        cls = next(c for c in se.CLASSES if set(hit) <= set(c.alphabet))
+        width = min(len(hit), cls.width)
+        spared = [x.span() for x in re.finditer(PARTS, hit)]
+        for i in range(len(hit) - width + 1):
+            touched = any(a < i + width and b > i for a, b in spared)
+            if not touched and entropy_of(hit[i:i + width]) >= log2(width) * cls.bits / log2(cls.width) - 1e-9:
+                places |= set(range(m.start() + i, m.start() + i + width))
+    return places
+
+
+def test_entropy_of_all_candidates_equals_windows_one_by_one(frame):
+    rnd = random.Random(8)
+    pools = ["0123456789abcdef", "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/=_-", "ab1", "aab12c"]
+    texts = ["a8F3kd92LmQz7Xc1VbN0PoIu5Ty", "a" * 25 + "8F3kd92LmQz7Xc1VbN0PoIu5Ty" + "a" * 27, "0f" * 30, "key \u00e9=a8F3kd92LmQz7Xc1V"]
+    for _ in range(150):
+        bits = ["".join(rnd.choice(rnd.choice(pools)) for _ in range(rnd.randrange(4, 60))) if rnd.random() < 0.3 else
+                "".join(rnd.choice(pool) for _ in range(rnd.randrange(12, 60))) for pool in rnd.sample(pools, 3)]
+        texts.append(rnd.choice([" ", ".", ": "]).join(bits[:1] + rnd.sample(["sample", "x/EXAMPLE" + bits[1], "1234567890" + bits[2]], 1) + bits[1:]))
+    found = frame("text string", [(t,) for t in texts]).select("text", se.entropy_spans(F.col("text")).alias("w")).collect()
+    for r in found:
+        assert {p for w in r.w for p in range(w.start, w.end)} == secret_places(r.text), r.text
+        ends = [w.start for w in r.w] + [10 ** 9]
+        assert all(w.end <= after for w, after in zip(r.w, ends[1:]))
+
+
+def test_short_candidates_and_allowed_parts(frame):
+    """Keys of 16 to 19 characters of any class, and a key beside a placeholder's name, are found."""
+    short = ["a8F3kd92LmQz7Xc1V", "k3x9q7w2z8v1m4t6p", "f3a9c1d7e8b2046a", "A8F3KD92LMQZ7XC1"]
+    long = "a8F3kd92LmQz7Xc1VbN0PoIu5Ty" + "sample" + "Zq8Wx3Rt6Yp1Lk9Jh4Gf7"
+    got = {r.text: [(s.start, s.end) for s in r.added] for r in se.secrets(frame("text string", [(t,) for t in [*short, long]])).collect()}
+    assert all(got[t] == [(0, len(t))] for t in short) and got[long] == [(0, 27), (33, len(long))]
 
 
 def test_entropy_adds_random_strings_and_spares_the_allow_list(frame):
     rows = [("key a8F3kd92LmQz7Xc1VbN0PoIu5Ty end",), ("key EXAMPLEa8F3kd92LmQz7Xc1VbN0PoIu5Ty",), ("path some/long/path/to/a/file/2024",),
             ("id 123e4567-e89b-12d3-a456-426614174000",), ("aaaaaaaaaaaaaaaaaaaaaaaaaaaa1",), ("token=a8F3kd92LmQz7Xc1VbN0PoIu5Ty",), (None,), ("",)]
     got = [[(s.start, s.end) for s in r.added] for r in se.secrets(frame("text string", rows)).select("added").collect()]
-    assert got == [[(4, 31)], [], [], [], [], [], [], []]
+    assert got == [[(4, 31)], [(11, 38)], [], [], [], [], [], []]
 
 
 def test_empty_tables(frame):
