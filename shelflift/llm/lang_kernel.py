@@ -19,19 +19,19 @@ come, with repeated and null ids (never held out, never trained on) and further
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame, functions as F
 
 from shelflift.llm.common import with_computed
 
 MAX_N = 3
 UNKNOWN = "und"
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")
 _STARTS = (0, 1 << 8, (1 << 8) + (1 << 16))  # where the codes of n-grams of each length begin
 _PIECE = 1 << 20
 _CODES = (1 << 8) + (1 << 16) + (1 << 24)

@@ -245,3 +245,10 @@ def test_edited_single_and_empty(frame):
     r = sy.edited(frame("doc_id long, text string", [(1, "alone in the table")])).first()
     assert (r.near_edited, r.near_next) != (None, None) and r.near_next == 1.0
     assert sy.edited(frame("doc_id long, text string", [])).isEmpty()
+
+
+def test_letters_are_those_of_unicode(spark):
+    """The rule of the fit (Java) and that of the prediction (Python) agree."""
+    some = ["12²", "½", "Ⅷ", "①", "_9", "a", "é", "漢", "ª", "ǅ", "ʰ", "٣", "👍", ""]
+    java = {r.text: r.x for r in spark.createDataFrame([(t,) for t in some], "text string").selectExpr("text", r"text RLIKE '\\p{L}' AS x").collect()}
+    assert {t: lk.has_letter(t) for t in some} == java and not any(lk.has_letter(t) for t in some[:5])
