@@ -29,6 +29,31 @@ def test_columns_are_matched_by_name(spark, tmp_path):
     assert rows[0].asDict() == {"coupon_upc": 1, "product_id": 2, "campaign": 3}
 
 
+def test_fields_are_read_as_a_bulk_load_reads_them(spark, tmp_path):
+    """Doubled quotes, commas, backslashes, quoted empty against absent fields; with and without a line break in a field."""
+    schema = "product_id bigint, commodity_desc string, brand string"
+    lines = ['1,"24"" PIZZA",A', '2,"A, ""B"", C",', '3,"x\\",""', '4,"",x\\y', '5, padded ,"""quoted"""']
+    want = [(1, '24" PIZZA', "A"), (2, 'A, "B", C', None), (3, "x\\", ""), (4, "", "x\\y"), (5, " padded ", '"quoted"')]
+    for i, (more, row) in enumerate([([], []), (['6,"two\nlines, ""so""",B'], [(6, 'two\nlines, "so"', "B")])]):
+        path = str(tmp_path / f"{i}.csv")
+        write(path, "\n".join(["PRODUCT_ID,COMMODITY_DESC,BRAND", *lines, *more]) + "\n")
+        assert [tuple(r) for r in read_source_csv(spark, path, schema).orderBy("product_id").collect()] == want + row
+    write(tmp_path / "empty.csv", 'product_id,commodity_desc,brand\n"",a,b\n')
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT|cast"):
+        read_source_csv(spark, str(tmp_path / "empty.csv"), schema).collect()
+
+
+def test_analysis_queries_do_not_need_the_corpus_operators(monkeypatch):
+    import sys
+
+    import __spark_entry__ as entry
+
+    monkeypatch.setitem(sys.modules, "shelflift.llm", None)  # an import of it fails
+    monkeypatch.setitem(sys.modules, "shelflift.llm.queries", None)
+    names = entry.queries()
+    assert "uplift_summary" in names and not any(n.startswith("op") and n[2].isdigit() for n in names) and set(entry.oracle_sql()) <= set(names)
+
+
 def test_bad_values_and_missing_columns_fail(spark, tmp_path):
     write(tmp_path / "bad.csv", "coupon_upc,product_id,campaign\n1,x,3\n", bom=False)
     with pytest.raises(Exception, match="x"):
