@@ -12,7 +12,7 @@
 
 The benchmark is the query set. It goes to the tasks in blocks of some ``BLOCK_ITEMS`` items or ``BLOCK_BYTES``, each searched against all rows; documents are
 not shuffled. Null or wordless texts and items: no match. An item without an id is found like any other, its matches have a null item_id and come last. Repeated rows are
-each judged, repeated items count once, null ids and further columns are kept, and an empty table on either side gives no matches.
+each judged, repeated items count once, null ids and further columns are kept (one named matches or _found is replaced), and an empty table on either side gives no matches.
 """
 
 from __future__ import annotations

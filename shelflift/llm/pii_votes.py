@@ -11,7 +11,7 @@
 
 All of it is DataFrame functions. Candidates stay in one array per row, so nothing is shuffled but the counts of patterns and features, which are summed before
 the shuffle. Null text: empty. Empty text or table: no spans, and the model keeps its priors. Rows are kept as they come, with repeated and null ids and
-further columns.
+further columns, except that those named base, added or candidates are replaced.
 """
 
 from __future__ import annotations
