@@ -4,9 +4,12 @@ A k-mer of bytes is an anchor if the smallest hash among its s-mers is that of i
 on its own bytes alone, so an edit moves only the anchors that overlap it, and common passages have anchors at the same places.
 
 * ``anchors``: hash and byte position of every anchor of a text. A text without anchors has one: the hash of all of it, at 0; the empty text has none.
-* The fingerprint is the ``SKETCH`` smallest distinct 32-bit anchor hashes, in hex: all of the text takes part, and its size is bounded.
-  Likeness of two fingerprints: the share of common hashes among the smallest of both (an estimate of the Jaccard similarity
-  of the anchor sets, exact up to ``SKETCH`` anchors); 1 if both are empty.
+  From one anchor to the next it is at most K - S bytes, less than an anchor's length, so anchors leave no byte between them uncovered.
+* The fingerprint holds all anchors in order, none left out: a digest of the length and of what lies before the first and after the last anchor
+  (8 hex digits), then 8 digits of the hash of each anchor and 2 of its distance from the one before. An edit anywhere changes it; it is about half as long as the text.
+* Likeness: anchors of two texts are matched by position. The i-th occurrence of a hash in one stands for the i-th in the other; of these matches
+  the longest chain that ascends in both texts counts, so passages in another order do not match. Counted from the front and from the
+  back, the longer chain is taken, as a share of the anchors of both: chain / (anchors + anchors - chain). 1 if both are empty.
 * Equal texts have equal fingerprints. Null text: empty.
 
 ``edited`` compares each row with its edited text and with the next row by descending id. Null ids come last, equal ids are ordered by text, repeated
@@ -16,6 +19,7 @@ rows are kept, one row alone is its own successor, an empty table gives an empty
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,9 +29,9 @@ from pyspark.sql import DataFrame
 from shelflift.llm.common import chunks_of, small_batches, with_computed
 from shelflift.llm.neighbours import descending
 
-K, S = 16, 8
-SKETCH = 128
+K, S = 48, 8  # K is a multiple of S and K - S is below 256
 _CHUNK = 1 << 20
+_STEP = np.dtype([("hash", ">u4"), ("gap", "u1")])
 _PRIMES = [np.uint64(p) for p in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
 
 
@@ -85,28 +89,53 @@ def _anchors(texts: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
         low = _smallest(order, K - S + 1)
         at = np.flatnonzero((low == order[:len(low)]) | (low == order[K - S:]))
         at = at[at + K <= ends[np.searchsorted(ends, at, "right")]]
-        hashes = _mix(order[at] + words[at + K - S] * _PRIMES[0])
+        hashes = order[at]
+        for inner in range(S, K, S):
+            hashes = _mix(hashes + words[at + inner] * _PRIMES[0])
     cut = np.searchsorted(at, ends)
     return [(hashes[a:b], at[a:b] - begin) for a, b, begin in zip(np.r_[0, cut[:-1]].tolist(), cut.tolist(), (ends - sizes).tolist())]
 
 
-def sketch(hashes: np.ndarray) -> np.ndarray:
-    return np.unique((hashes >> np.uint64(32)).astype(np.uint32))[:SKETCH]
-
-
-def likeness(a: np.ndarray, b: np.ndarray) -> float:
-    if not len(a) and not len(b):
-        return 1.0
-    both = np.concatenate([a, b])
-    both.sort()
-    new = np.r_[True, both[1:] != both[:-1]]
-    starts = np.flatnonzero(new)[:SKETCH]
-    common = np.r_[both[1:] == both[:-1], False][starts]
-    return float(common.sum() / len(starts))
-
-
-def _hex(values: np.ndarray) -> str:
-    return values.astype(">u4").tobytes().hex()
+def fingerprint(text: bytes, hashes: np.ndarray, places: np.ndarray) -> str:
+    """All anchors of ``text`` with their distances, in hex."""
+    last = int(places[-1]) + K if len(places) else 0
+    rest = b"%d:" % len(text) + (text[:places[0]] + b"|" + text[last:] if len(places) else b"")
+    steps = np.empty(len(places), _STEP)
+    steps["hash"], steps["gap"] = hashes >> np.uint64(32), np.diff(places, prepend=0)
+    return hashlib.blake2b(rest, digest_size=4).hexdigest() + steps.tobytes().hex()
+
+
+def _chain(places: list[int]) -> int:
+    """Length of the longest ascending subsequence."""
+    ends: list[int] = []
+    for x in places:
+        at = bisect_left(ends, x)
+        ends[at:at + 1] = [x]
+    return len(ends)
+
+
+def likeness(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Of each pair of anchor sequences (hashes in the order of the text), the share of anchors that match by position."""
+    sizes = [np.array([len(x) for x in side], np.int64) for side in (left, right)]
+    keys = [np.concatenate([h >> np.uint64(32) for h in side] or [np.empty(0, np.uint64)]) | (np.repeat(np.arange(len(n)), n).astype(np.uint64) << np.uint64(32))
+            for side, n in zip((left, right), sizes)]
+    orders = [np.argsort(k, kind="stable") for k in keys]
+    a, b = (k[o] for k, o in zip(keys, orders))
+    here = np.arange(len(b))
+    best = np.zeros(len(left), np.int64)
+    for partner in (np.searchsorted(a, b) + here - np.searchsorted(b, b), np.searchsorted(a, b, "right") + here - np.searchsorted(b, b, "right")):
+        known = (partner >= 0) & (partner < len(a))
+        known[known] = a[partner[known]] == b[known]
+        at = orders[0][partner[known]]
+        by_left = np.argsort(at)
+        to, row = orders[1][known][by_left], (b[known] >> np.uint64(32)).astype(np.int64)[by_left]
+        chains = np.bincount(row, minlength=len(left))
+        cut = np.r_[0, np.cumsum(chains)]
+        for r in np.unique(row[1:][to[1:] < to[:-1]]).tolist():
+            chains[r] = _chain(to[cut[r]:cut[r + 1]].tolist())
+        best = np.maximum(best, chains)
+    total = sizes[0] + sizes[1] - best
+    return np.where(total > 0, best / np.maximum(total, 1), 1.0)
 
 
 def _bytes(text: str | None) -> bytes:
@@ -116,8 +145,9 @@ def _bytes(text: str | None) -> bytes:
 def fingerprints(df: DataFrame, text_col: str = "text") -> DataFrame:
     """``df`` with fingerprint, anchor_hash and anchor_at (byte positions of the anchors)."""
     def compute(texts: list[str | None]) -> list[pa.Array]:
-        found = anchors([_bytes(t) for t in texts])
-        return [pa.array([_hex(sketch(h)) for h, _ in found]), pa.array([h.view(np.int64) for h, _ in found], pa.list_(pa.int64())),
+        read = [_bytes(t) for t in texts]
+        found = anchors(read)
+        return [pa.array([fingerprint(t, *f) for t, f in zip(read, found)]), pa.array([h.view(np.int64) for h, _ in found], pa.list_(pa.int64())),
                 pa.array([p for _, p in found], pa.list_(pa.int64()))]
 
     return with_computed(df, text_col, "fingerprint string, anchor_hash array<long>, anchor_at array<long>", compute)
@@ -137,8 +167,7 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         bucket, look, ids, texts = [batch.column(i).to_pylist() for i in range(4)]
         texts = [t or "" for t in texts]
-        marks = [sketch(h) for h, _ in anchors([_bytes(t) for t in texts])]
-        rows = list(zip(bucket, look, ids, texts, marks))
+        rows = list(zip(bucket, look, ids, texts, anchors([_bytes(t) for t in texts])))
         pairs = [(a, b) for a, b in zip(([held] if held else []) + rows[:-1], rows if held else rows[1:]) if a[0] == b[0] and not a[1]]
         held = rows[-1] if rows else held
         if pairs:
@@ -150,9 +179,11 @@ def _compared(pairs: list) -> pa.RecordBatch:
     for a, b in pairs:
         cut = len(a[3]) // 3
         new.append(_bytes(a[3][:len(a[3]) - cut] + b[3][:cut]))
-    marks = [sketch(h) for h, _ in anchors(new)]
+    marks = anchors(new)
+    own = [a[4][0] for a, _ in pairs]
     return pa.RecordBatch.from_arrays([
         pa.array([a[2] for a, _ in pairs], pa.int64()), pa.array([len(a[3]) for a, _ in pairs], pa.int64()),
-        pa.array([hashlib.sha256(t).hexdigest() for t in new]), pa.array([_hex(a[4]) for a, _ in pairs]), pa.array([_hex(m) for m in marks]),
-        pa.array([likeness(a[4], m) for (a, _), m in zip(pairs, marks)]), pa.array([likeness(a[4], b[4]) for a, b in pairs]),
+        pa.array([hashlib.sha256(t).hexdigest() for t in new]), pa.array([fingerprint(_bytes(a[3]), *a[4]) for a, _ in pairs]),
+        pa.array([fingerprint(t, *m) for t, m in zip(new, marks)]),
+        pa.array(likeness(own, [h for h, _ in marks])), pa.array(likeness(own, [b[4][0] for _, b in pairs])),
     ], [f.split()[0] for f in _EDITED.split(", ")])

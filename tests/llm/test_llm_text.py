@@ -221,16 +221,67 @@ def test_edited_documents(spark, docs):
     rows = docs.select("doc_id", "text").unionByName(extra)
     got = sorted((r.id is not None, r.id or 0, r.n_chars, r.edited_sha256, r.fingerprint) for r in sy.edited(rows).collect())
     order = sorted(((r.doc_id is not None, -(r.doc_id or 0), r.text or "") for r in rows.collect()), key=lambda r: (not r[0], r[1], r[2]))
-    want = []
+    want, near = [], {}
     for n, (known, minus, text) in enumerate(order):
         after = order[(n + 1) % len(order)][2]
         cut = len(text) // 3
-        want.append((known, -minus, len(text), hashlib.sha256((text[:len(text) - cut] + after[:cut]).encode()).hexdigest(), sy._hex(sy.sketch(sy.anchors([text.encode()])[0][0]))))
+        new = text[:len(text) - cut] + after[:cut]
+        want.append((known, -minus, len(text), hashlib.sha256(new.encode()).hexdigest(), sy.fingerprint(text.encode(), *sy.anchors([text.encode()])[0])))
+        near[known, -minus, want[-1][3]] = (like(text, new), like(text, after))
     assert got == sorted(want)
+    for r in sy.edited(rows).collect():
+        assert (r.near_edited, r.near_next) == pytest.approx(near[r.id is not None, r.id or 0, r.edited_sha256])
     scores = [(r.near_edited, r.near_next) for r in sy.edited(docs).collect()]
     assert np.mean([a for a, _ in scores]) > 0.4 > 0.05 > np.mean([b for _, b in scores]) and all(0 <= x <= 1 for s in scores for x in s)
 
 
+def like(one, two):
+    """Likeness from the definition: matches by occurrence, from the front and from the back, longest chain by comparing all pairs of matches."""
+    def chain(a, b):
+        seen, places = {}, {}
+        for i, h in enumerate(b):
+            places.setdefault(h, []).append(i)
+        to = []
+        for h in a:
+            n = seen[h] = seen.get(h, -1) + 1
+            to += places.get(h, [])[n:n + 1]
+        best = []
+        for i, x in enumerate(to):
+            best.append(1 + max((best[j] for j in range(i) if to[j] < x), default=0))
+        return max(best, default=0)
+
+    a, b = [[int(h) >> 32 for h in sy.anchors([t.encode()])[0][0]] for t in (one, two)]
+    longest = max(chain(a, b), chain(a[::-1], b[::-1]))
+    return longest / (len(a) + len(b) - longest) if a or b else 1.0
+
+
+def test_anchors_are_matched_by_position(docs):
+    some = [r.text for r in docs.limit(60).collect()]
+    half = " ".join(some[:30]), " ".join(some[30:])
+    texts = [(half[0] + half[1], half[1] + half[0]), ("ab" * 500, "ab" * 400 + "x"), (half[0], half[0]), ("", ""), ("", "x"), ("short", "short!"),
+             (some[0] * 3 + some[1], some[0] + some[1] + some[0]), (some[2] + some[3] + some[2] + some[4], some[3] + some[2] + some[4])]
+    one, two = [[sy.anchors([t[i].encode()])[0][0] for t in texts] for i in (0, 1)]
+    got = sy.likeness(one, two)
+    assert got.tolist() == pytest.approx([like(*t) for t in texts])
+    assert got[0] < 0.55 and got[2:6].tolist() == [1, 1, 0, 0] and len(sy.likeness([], [])) == 0
+
+
+def test_every_edit_changes_the_fingerprint(docs):
+    words = " ".join(r.text for r in docs.limit(100).collect()).split()[:20_000]
+    rnd = random.Random(6)
+
+    def mark(words):
+        text = " ".join(words).encode()
+        return sy.fingerprint(text, *sy.anchors([text])[0])
+
+    own = mark(words)
+    for at in [0, 1, len(words) - 1, *rnd.sample(range(len(words)), 30)]:
+        assert mark(words[:at] + ["".join(rnd.sample("bcdfgh", 5))] + words[at + 1:]) != own
+    text = " ".join(words).encode()
+    places = sy.anchors([text])[0][1]
+    assert np.diff(places).max() <= sy.K - sy.S and len(own) == 8 + 10 * len(places) < 0.7 * len(text)
+
+
 def test_buckets_count_bounds(spark):
     from shelflift.llm.neighbours import _bucket
 
