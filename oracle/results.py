@@ -542,6 +542,29 @@ SELECT pool, {d("lift", "lift_to_detect")}, {d("lift * mean", "lift_dollars_per_
 FROM (SELECT *, CAST(ceil(2 * ((1.959963984540054::DOUBLE + 0.8416212335729143::DOUBLE) * sd / nullif(lift * mean, 0)) ** 2)
              AS BIGINT) AS g
       FROM v_poolstats CROSS JOIN (SELECT unnest([0.05, 0.1, 0.15, 0.2]::DOUBLE[]) AS lift))"""
+# Power of the t test at the sizes from the normal form upwards. The normal distribution function is its series; the critical value is the
+# expansion of Student's t around the normal value; the estimated over the true deviation (1 + o) is summed over a grid.
+_NORMAL_UP_TO = ("(0.5 + exp(-0.5 * ({0}) ** 2) / sqrt(2 * pi()) * list_sum(list_transform(range(100), lambda k: "
+                 "({0}) ** (2 * k + 1) / exp(lgamma(2 * k + 2) - k * ln(2) - lgamma(k + 1)))))")
+RESULTS["ab_sample_size_exact"] = f"""
+WITH wanted AS (
+  SELECT pool, lift, lift * mean / nullif(sd, 0) AS effect
+  FROM v_poolstats CROSS JOIN (SELECT unnest([0.05, 0.1, 0.15, 0.2]::DOUBLE[]) AS lift)),
+sizes AS (
+  SELECT pool, lift, effect, n::DOUBLE AS n, 2 * n::DOUBLE - 2 AS nu, 1.959963984540054::DOUBLE AS z
+  FROM (SELECT *, unnest(range(greatest(2, ceil(15.697759 / effect ** 2)::BIGINT - 1), ceil(15.697759 / effect ** 2)::BIGINT + 6)) AS n
+        FROM wanted WHERE effect <> 0)),
+bounds AS (
+  SELECT *, effect * sqrt(n / 2) AS delta, z + (z**3 + z) / (4 * nu) + (5 * z**5 + 16 * z**3 + 3 * z) / (96 * nu**2)
+    + (3 * z**7 + 19 * z**5 + 17 * z**3 - 15 * z) / (384 * nu**3)
+    + (79 * z**9 + 776 * z**7 + 1482 * z**5 - 1920 * z**3 - 945 * z) / (92160 * nu**4) AS bound
+  FROM sizes),
+grid AS (SELECT *, unnest(range(-200, 201)) / 25.0::DOUBLE / sqrt(2 * nu) AS o FROM bounds),
+summed AS (
+  SELECT pool, lift, n, sum(w * ({_NORMAL_UP_TO.format("delta - bound * (1 + o)")} + {_NORMAL_UP_TO.format("-delta - bound * (1 + o)")})) / sum(w) AS power
+  FROM (SELECT *, exp((nu - 1) * ln(1 + o) - nu * o * (2 + o) / 2) AS w FROM grid WHERE o > -1) GROUP BY ALL)
+SELECT pool, {d("lift", "lift_to_detect")}, g::BIGINT AS households_per_group, 2 * g::BIGINT AS total_households
+FROM wanted LEFT JOIN (SELECT pool, lift, min(n) AS g FROM summed WHERE power >= 0.8 GROUP BY ALL) USING (pool, lift)"""
 RESULTS["ab_sample_size_prop"] = f"""
 SELECT {d("a", "keep_rate")}, {d("b", "target_rate")}, {d("h", "effect_size")},
        CAST(ceil(2 * ((1.959963984540054::DOUBLE + 0.8416212335729143::DOUBLE) / nullif(h, 0)) ** 2) AS BIGINT)

@@ -15,10 +15,13 @@ tie-break cuts. The number of cuts follows from the number of rows, so that a bu
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from shelflift.sources.tables import scratch_path
+
 CUTS = 64
 BUCKET_ROWS = 500_000
 MAX_CUTS = 4096  # above this, buckets grow instead of the list of cuts, which every row's task holds
@@ -113,6 +116,46 @@ def ntile(
     return ranked.withColumn(out, tile.cast("int")).drop("_rn", "_n", "_order")
 
 
+def ntiles(df: DataFrame, tiles: int, scores: Mapping[str, tuple[str, bool]], tie: str) -> DataFrame:
+    """SQL NTILE for several orders at once: ``scores`` maps each new column to (value column, whether descending).
+
+    How often each value occurs, with running totals, tells which value stands at the end of each tile. Rows of that value alone are ranked by
+    ``tie``, and only where the tile ends among them. What comes out is one pair (value, tie) per tile and score, which every row is compared
+    with: the rows themselves are not dealt, sorted or joined. ``df`` should be a stored table; it is read three times, whatever the number of scores.
+    """
+    spark = df.sparkSession
+    lowest = F.lit(float("-inf"))
+    ordered = {out: F.coalesce(F.col(value).cast("double") * (-1 if descending else 1), lowest) for out, (value, descending) in scores.items()}
+    levels = df.select(F.explode(F.array(*[F.struct(F.lit(out).alias("score"), v.alias("v"), F.col(tie).alias("tie")) for out, v in ordered.items()])).alias("x")).select("x.*")
+    counts = _stored(levels.groupBy("score", "v").agg(F.count("*").alias("c")), "counts")
+    ranked = running_total(counts, "v", "v", by=["score"], weight=F.col("c"), out="upto", total="n")
+    small, extra, before = F.expr(f"n div {tiles}"), F.col("n") % tiles, F.col("upto") - F.col("c")
+    ends = F.transform(F.sequence(F.lit(1), F.lit(tiles - 1)), lambda b: F.struct(b.alias("b"), (b * small + F.least(b, extra)).alias("rank")))
+    held = ranked.select("score", "v", "c", before.alias("before"), F.explode(F.filter(ends, lambda e: (e["rank"] > before) & (e["rank"] <= F.col("upto")))).alias("e"))
+    # At most tiles - 1 rows per score.
+    borders = [(r["score"], r["e"]["b"], r["v"], r["e"]["rank"] - r["before"] if r["e"]["rank"] - r["before"] < r["c"] else None) for r in held.collect()]
+    split = [b for b in borders if b[3] is not None]
+    last: dict[tuple[str, int], int] = {}
+    if split:
+        wanted = spark.createDataFrame(split, "score string, b int, v double, k long")
+        inside = _stored(levels.join(F.broadcast(wanted), ["score", "v"]), "inside")
+        places = running_total(inside, "tie", "tie", by=["score", "b"], out="place", total="all")
+        last = {(r["score"], r["b"]): r["tie"] for r in places.where("place = k").collect()}
+
+    def beyond(out: str, b: int, v: float) -> Column:
+        after = ordered[out] > v
+        return after | ((ordered[out] == v) & (F.col(tie) > last[out, b])) if (out, b) in last else after
+
+    tile = {out: reduce(lambda a, x: a + x, [beyond(o, b, v).cast("int") for o, b, v, _ in borders if o == out], F.lit(1)) for out in scores}
+    return df.withColumns(tile)
+
+
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def quantile_bin(row_num: Column, n: Column, bins: int) -> Column:
     """Bin 0..bins-1 of a row number when the bin edges are interpolated between ranks 1 and n.
 

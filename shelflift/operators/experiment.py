@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from shelflift.functions.columns import constant_rows, count_where, ratio
+from shelflift.functions.distributions import group_size_for_power
 from shelflift.functions.intervals import Z_POWER_80, Z_TWO_SIDED_95
 from shelflift.functions.ranking import running_total
 from shelflift.params import Params
@@ -60,6 +61,17 @@ def ab_sample_size(stats: DataFrame, p: Params) -> DataFrame:
     )
 
 
+def ab_sample_size_exact(stats: DataFrame, p: Params) -> DataFrame:
+    """As :func:`ab_sample_size`, but solved for the power of the t test itself (noncentral t); NULL without a mean or a spread."""
+    effect = ratio(F.col("lift_to_detect") * F.col("mean_weekly_spend"), F.col("sd_weekly_spend"))
+    size = group_size_for_power(effect, F.lit(0.05), F.lit(0.8))
+    return (
+        constant_rows(stats, "lift_to_detect", p.lifts)
+        .withColumn("households_per_group", F.when(~F.isnan(size), size.cast("bigint")))
+        .select("pool", "lift_to_detect", "households_per_group", (2 * F.col("households_per_group")).alias("total_households"))
+    )
+
+
 def ab_sample_size_prop(backtest: DataFrame, p: Params) -> DataFrame:
     """Households per group to see the keep rate of flagged households rise by some points.
 

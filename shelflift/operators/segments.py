@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from shelflift.functions.columns import count_where, label, ratio, sum_where
 from shelflift.functions.distributions import chi_square_p
 from shelflift.functions.intervals import wilson
-from shelflift.functions.ranking import ntile
+from shelflift.functions.ranking import ntiles
 from shelflift.params import Params
 from shelflift.schema import (
     AT_RISK, CHAMPIONS, FAIR_SCORE, HIGH_SCORE, INCOME_BANDS, LOST, LOYAL, NEEDS_ATTENTION, PROMISING,
@@ -55,9 +55,8 @@ def recent_13w(trips: DataFrame, p: Params) -> DataFrame:
 
 def rfm_scores(base: DataFrame) -> DataFrame:
     """Quintile scores 1-5 (5 is best); ties are ordered by household. ``base`` should be a stored table."""
-    scored = ntile(base, 5, "days_since_last", "household_key", "r_score", descending=True)
-    scored = ntile(scored, 5, "trips", "household_key", "f_score", source=base)
-    return ntile(scored, 5, "sales", "household_key", "m_score", source=base)
+    scores = {"r_score": ("days_since_last", True), "f_score": ("trips", False), "m_score": ("sales", False)}
+    return ntiles(base, 5, scores, "household_key")
 
 
 def segment(r: Column, f: Column) -> Column:

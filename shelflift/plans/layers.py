@@ -234,6 +234,7 @@ TABLES: dict[str, Table] = {
     "experiment_pool": Table("recommend", lambda L: experiment.experiment_pool(L["dim_household"])),
     "ab_pool_stats": Table("recommend", lambda L: experiment.ab_pool_stats(L["experiment_pool"], L["baskets"], L.p)),
     "ab_sample_size": Table("recommend", lambda L: experiment.ab_sample_size(L["ab_pool_stats"], L.p)),
+    "ab_sample_size_exact": Table("recommend", lambda L: experiment.ab_sample_size_exact(L["ab_pool_stats"], L.p)),
     "ab_sample_size_prop": Table("recommend", lambda L: experiment.ab_sample_size_prop(L["churn_backtest"], L.p)),
     "ab_assignment": Table("recommend", lambda L: experiment.ab_assignment(L["experiment_pool"])),
     "ab_balance": Table("recommend", lambda L: experiment.ab_balance(L["ab_assignment"], L["baskets"], L.p)),

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from shelflift.functions import distributions as dist
 from shelflift.functions.intervals import wilson
-from shelflift.functions.ranking import exact_quantiles, ntile, quantile_bin, running_total
+from shelflift.functions.ranking import exact_quantiles, ntile, ntiles, quantile_bin, running_total
 from shelflift.functions.regression import clustered_treatment_effect
 from shelflift.operators import experiment
 
@@ -20,6 +20,18 @@ def test_tail_probabilities():
     assert dist.incomplete_beta(0.5, 0.5, 1 / (1 + 12.706204736432095 ** 2)) == pytest.approx(0.05, abs=1e-10)
 
 
+def test_group_sizes_for_the_t_test():
+    # Published sizes at 5 % two-sided and 80 % power, by effect; published power of 30 per group at half a deviation.
+    published = {0.2: 394, 0.3: 176, 0.5: 64, 0.8: 26, 1.0: 17}
+    assert {d: dist.t_test_group_size(d, 0.05, 0.8) for d in published} == published
+    assert dist.t_test_power(0.5, 30, 0.05) == pytest.approx(0.4779, abs=1e-4)
+    assert dist.t_test_power(0.0, 12, 0.05) == pytest.approx(0.05, abs=1e-6)
+    assert dist.t_critical(0.025, 10) == pytest.approx(2.2281388519649385) and dist.t_critical(0.025, 1) == pytest.approx(12.706204736432095)
+    assert dist.t_critical(0.025, 1000) == pytest.approx(dist.t_critical(0.025, 1000 + 1e-9), abs=1e-9)
+    # The normal form leaves out the other tail, 1e-6 here, so its size is larger by 2.4e-6 of it.
+    assert dist.t_test_group_size(1e-5, 0.05, 0.8) == pytest.approx(2 * 2.8015852181 ** 2 * 1e10 * (1 - 2.4e-6), rel=1e-7) and np.isnan(dist.t_test_group_size(0.0, 0.05, 0.8))
+
+
 def test_p_values_of_missing_statistics_are_missing(frame):
     row = frame("t double, d double", [(None, 3.0)]).select(dist.student_two_sided_p("t", "d").alias("p")).first()
     assert row.p is None or np.isnan(row.p)
@@ -43,6 +55,19 @@ def test_ntile_matches_sql(frame, n):
     assert got == want
 
 
+@pytest.mark.parametrize("n", [0, 1, 3, 7, 403])
+def test_tiles_of_several_orders_match_sql(frame, n):
+    draw = random.Random(n)
+    rows = [(k, draw.choice([0, 0, 0, 1, 2, 500, None]), draw.choice([7.5, 7.5, 7.5, draw.random()]), 3) for k in draw.sample(range(5 * n + 1), n)]
+    df = frame("k bigint, v int, w double, same int", rows)
+    got = ntiles(df, 5, {"a": ("v", False), "b": ("v", True), "c": ("w", False), "d": ("same", True)}, "k")
+    assert got.columns == ["k", "v", "w", "same", "a", "b", "c", "d"]
+    df.createOrReplaceTempView("tile_rows")
+    want = df.sparkSession.sql("""SELECT k, ntile(5) OVER (ORDER BY v NULLS FIRST, k) a, ntile(5) OVER (ORDER BY -v NULLS FIRST, k) b,
+        ntile(5) OVER (ORDER BY w, k) c, ntile(5) OVER (ORDER BY k) d FROM tile_rows""")
+    assert sorted(tuple(r) for r in got.select("k", "a", "b", "c", "d").collect()) == sorted(tuple(r) for r in want.collect())
+
+
 def test_chained_ranks_of_one_hot_value(frame):
     df = frame("k bigint, v int, g string", [(k, 7 if k % 3 else k, "hot" if k % 4 else "cold") for k in range(2000)])
     ranked = running_total(df, "v", "k", by=["g"])

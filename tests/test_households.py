@@ -134,3 +134,9 @@ def test_sample_sizes_match_the_published_scale(frame):
     assert 3300 < rows[0.10] < 3400 and rows[0.05] > 4 * rows[0.10] - 5
     backtest = frame("flagged boolean, came_back double", [(True, 0.68), (False, 0.95)])
     assert 1250 < experiment.ab_sample_size_prop(backtest, P).first().households_per_group < 1350
+
+
+def test_exact_sample_sizes(frame):
+    stats = frame("pool string, mean_weekly_spend double, sd_weekly_spend double", [("all", 13.29, 19.41), ("none", 0.0, 1.0), ("flat", 5.0, 0.0), ("gone", None, None)])
+    rows = {(r.pool, r.lift_to_detect): r.households_per_group for r in experiment.ab_sample_size_exact(stats, P).collect()}
+    assert rows["all", 0.10] == 3350 and {v for k, v in rows.items() if k[0] != "all"} == {None} and len(rows) == 16
