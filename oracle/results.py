@@ -650,3 +650,5 @@ CONTENTS = {n for n in _STORED if _QUERY_OF.get(n, n) in RESULTS}
 RESULTS["rebuild_all"] = " UNION ALL ".join(
     _content(n, RESULTS[_QUERY_OF.get(n, n)]) if n in CONTENTS
     else f"SELECT '{n}' AS table_name, count(*) AS row_count, NULL::DOUBLE AS numbers FROM {v}" for n, v in _STORED.items())
+RESULTS["weekly_refresh"] = " UNION ALL ".join(
+    _content(n, RESULTS[_QUERY_OF.get(n, n)]) for n in ("transactions", "promotions", "weekly_product_store_sales", "weekly_category_sales", "baskets"))

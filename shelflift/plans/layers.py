@@ -79,6 +79,10 @@ class Layers:
         self._cache[name] = read_table(spark, path)
         return self._cache[name]
 
+    def take(self, name: str, df: DataFrame) -> None:
+        """Use ``df`` as the table instead of building it."""
+        self._cache[name] = df
+
 
 def _members(design: str) -> Callable[[Layers], DataFrame]:
     return lambda L: campaign.did_members(L["campaign_spend"], design)

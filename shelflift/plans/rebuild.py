@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import argparse
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
 from shelflift.operators import weekly
 from shelflift.params import Params
 from shelflift.plans.layers import TABLES, Layers
+from shelflift.plans.refresh import refresh_weeks
 from shelflift.schema import SOURCE_TABLES
 from shelflift.sources.csv import load_csv
 from shelflift.sources.published import Publication
@@ -29,7 +30,9 @@ def load_raw(spark: SparkSession, folder: str, out: str) -> None:
     source = Publication(spark, f"{out.rstrip('/')}/raw")
     version = source.begin()
     for name, df in load_csv(spark, folder).items():
-        df.write.parquet(f"{version}/{name}")
+        # Sorted by week where there is one, so that a refresh of some weeks skips the files of others.
+        rows = df.repartitionByRange("week_no", "product_id", "store_id").sortWithinPartitions("week_no") if "week_no" in df.columns else df
+        rows.write.parquet(f"{version}/{name}")
     source.publish({name: f"{version}/{name}" for name in SOURCE_TABLES})
 
 
@@ -72,15 +75,29 @@ def rebuild_all(
         stored = [name for name, table in TABLES.items() if table.stored and not (reuse_campaigns and name in CAMPAIGN_STEPS)]
         layers.store_all(stored)
         tables.publish({name: layers.path(name) for name in [*stored, *kept]})
+    _report(layers, out, week)
+    return layers
+
+
+def _report(layers: Layers, out: str, week: int | None) -> None:
     chosen = weekly.report_week(layers["dim_week"], week)
     categories = weekly.weekly_category_report(layers["fact_category_week"], chosen)
     sheets = report_sheets(
         weekly.weekly_headline(layers["fact_baskets"], chosen),
         weekly.weekly_department_report(categories),
         categories,
-        weekly.weekly_movers(categories, params),
+        weekly.weekly_movers(categories, layers.p),
     )
     write_report(sheets, f"{out.rstrip('/')}/reports", chosen)
+
+
+def refresh_report(spark: SparkSession, raw: Mapping[str, DataFrame], out: str, weeks: Iterable[int], params: Params = Params(), week: int | None = None) -> Layers:
+    """The weekly job: build the changed weeks again, and write the report from the tables stored by week."""
+    layers = Layers(raw, params)
+    for name, df in refresh_weeks(spark, raw, out, weeks, params).items():
+        if name in TABLES:
+            layers.take(name, df)
+    _report(layers, out, week)
     return layers
 
 
@@ -91,14 +108,16 @@ def main() -> None:
     parser.add_argument("--week", type=int, help="week of the report (default: the latest complete week)")
     parser.add_argument("--report-only", action="store_true", help="use the stored tables")
     parser.add_argument("--reuse-campaigns", action="store_true", help="keep the stored campaign results")
+    parser.add_argument("--refresh-weeks", type=int, nargs="+", metavar="WEEK", help="build only these weeks again, and the report (the first time: all weeks)")
     args = parser.parse_args()
     spark = SparkSession.builder.appName("shelflift").config("spark.ui.enabled", "false").getOrCreate()
     if args.load_raw:
         load_raw(spark, args.load_raw, args.out)
-    rebuild_all(
-        spark, stored_raw(spark, args.out), args.out, week=args.week, report_only=args.report_only,
-        reuse_campaigns=args.reuse_campaigns,
-    )
+    raw = stored_raw(spark, args.out)
+    if args.refresh_weeks:
+        refresh_report(spark, raw, args.out, args.refresh_weeks, week=args.week)
+    else:
+        rebuild_all(spark, raw, args.out, week=args.week, report_only=args.report_only, reuse_campaigns=args.reuse_campaigns)
     clear_scratch(spark)
 
 

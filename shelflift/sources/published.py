@@ -41,6 +41,10 @@ class Publication:
         numbers = self._numbers()
         return {name: f"{self.folder}/{path}" for name, path in self._tables(numbers[-1]).items()} if numbers else {}
 
+    def folders(self, path: str) -> list[str]:
+        """The names in a folder of this publication."""
+        return self._names(path.removeprefix(f"{self.folder}/"))
+
     def begin(self) -> str:
         """A fresh version folder to write into."""
         number = max([0, *self._numbers()]) + 1

@@ -19,7 +19,7 @@ CHECKED = [
     "did_panel_never", "did_panel_other_times", "did_per_campaign", "event_study", "household_rfm", "churn_backtest",
     "retention_by_quarter", "redemption_by", "redemption_chi_square", "dim_household", "bi_promo_uplift",
     "weekly_category_report", "weekly_headline", "weekly_movers", "kpi_discount_describe", "kpi_net_extra", "rec_summary",
-    "ab_sample_size", "ab_sample_size_exact", "ab_assignment",
+    "ab_sample_size", "ab_sample_size_exact", "ab_assignment", "weekly_refresh",
 ]
 
 

@@ -3,11 +3,13 @@ import re
 from dataclasses import replace
 
 import pytest
+from pyspark.sql import functions as F
 
 from shelflift.params import Params
 from shelflift.plans import rebuild
 from shelflift.plans.layers import TABLES, Layers
-from shelflift.plans.rebuild import load_raw, rebuild_all, stored_raw
+from shelflift.plans.rebuild import load_raw, rebuild_all, refresh_report, stored_raw
+from shelflift.plans.refresh import refresh_weeks
 from shelflift.schema import SOURCE_TABLES
 from shelflift.sources.csv import load_counts, load_csv, read_source_csv
 from shelflift.sources.published import Publication
@@ -180,3 +182,52 @@ def test_scratch_is_cleared(spark, monkeypatch, tmp_path):
     assert os.path.isdir(path)
     clear_scratch(spark)
     assert not os.path.exists(tmp_path / "scratch")
+
+
+def _same(a, b):
+    return a.columns == b.columns and a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+
+
+def test_refreshed_weeks_equal_a_full_build(spark, tmp_path):
+    raw, p = dict(retail_tables(spark, SMALL)), Params()
+    lines, placed = raw["transaction_data"].where("week_no in (40, 41, 42)"), raw["causal_data"].where("week_no in (40, 41, 42)")
+    # One store has placements in week 42 only, and sells in weeks 40 and 42.
+    store = lines.where("week_no = 40 and quantity > 0 and sales_value > 0").first().store_id
+    lines = lines.where(f"store_id <> {store} or week_no <> 41").unionByName(lines.limit(1).withColumn("week_no", F.lit(None).cast(dict(lines.dtypes)["week_no"])))
+    placed = placed.where(f"store_id <> {store}").unionByName(
+        placed.where("week_no = 42").limit(1).withColumn("store_id", F.lit(store).cast(dict(placed.dtypes)["store_id"])))
+    raw |= {"transaction_data": _kept(lines, tmp_path / "lines"), "causal_data": _kept(placed, tmp_path / "placed")}
+    whole = refresh_weeks(spark, raw, str(tmp_path / "whole"), params=p)
+    layers = Layers(raw, p)
+    for name in ("transactions", "promotions", "weekly_product_store_sales", "weekly_category_sales", "baskets"):
+        assert _same(whole[name], layers[name]), name
+
+    out = str(tmp_path / "out")
+    earlier = raw | {n: raw[n].where("week_no in (40, 41) or week_no is null") for n in ("transaction_data", "causal_data")}
+    refresh_weeks(spark, earlier, out, params=p)
+    tables = Publication(spark, f"{out}/weekly")
+    first = tables.current()
+    parts = refresh_weeks(spark, raw, out, [42], p)
+    assert all(_same(parts[name], whole[name]) for name in whole)
+    kept = {n for n, path in tables.current().items() if first.get(n) == path}
+    assert {f"{t}/week={w}" for t in ("transactions", "baskets", "weekly_category_sales") for w in (40, 41)} <= kept
+    # The store's tracking has changed, so week 40, where it sold, is new, and week 41 is not.
+    assert "weekly_product_store_sales/week=41" in kept and "weekly_product_store_sales/week=40" not in kept
+    assert not any(n.endswith("week=42") for n in kept)
+    # A week that is gone, and one that comes again as it was.
+    parts = refresh_weeks(spark, earlier, out, [42, 41, None], p)
+    full = refresh_weeks(spark, earlier, str(tmp_path / "earlier"), params=p)
+    assert all(_same(parts[name], full[name]) for name in full)
+    none = {n: df.limit(0) for n, df in raw.items()}
+    assert all(df.isEmpty() for df in refresh_weeks(spark, none, str(tmp_path / "none")).values())
+
+
+def _kept(df, path):
+    df.write.parquet(str(path))
+    return df.sparkSession.read.parquet(str(path))
+
+
+def test_report_of_a_refresh(spark, tmp_path):
+    raw, out = retail_tables(spark, SMALL), str(tmp_path / "out")
+    refresh_report(spark, raw, out, [60], Params(mover_min_sales=1), week=60)
+    assert {r.week_no for r in spark.read.parquet(f"{out}/reports/Categories").select("week_no").distinct().collect()} == {60}
