@@ -163,7 +163,7 @@ def match(pieces: DataFrame, capacity: int) -> DataFrame | None:
         left = pieces.filter((F.col("length") > above) & (F.col("length") <= to))
         # Once with the gaps there are; then with as many new sequences as the tokens left need at least.
         for new in (False, True) if 2 * to <= capacity else ():
-            if new and to - above > 1 and size["n"] > capacity // size["longest"]:
+            if new and size["n"] and to - above > 1 and size["n"] > capacity // size["longest"]:
                 more = -(-size["total"] // capacity)
                 gaps = gaps.unionByName(spark.range(opened, opened + more).select(
                     F.col("id").alias("sequence_id"), F.lit(capacity).cast("long").alias("gap")))
