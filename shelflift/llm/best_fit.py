@@ -1,11 +1,12 @@
 """Best-fit packing of token sequences, in rounds over the whole corpus.
 
 * Tokens: byte-level BPE, then an end id. Longer documents than the capacity are cut into whole pieces; the first piece takes what is over.
-* Pieces and gaps are tables. In a round they are sorted by range in one order of size, and a sweep gives every piece its successor, the smallest gap that
-  holds it; claims to the same gap are settled by rank, longer pieces first; then the gaps are updated, and the round is repeated with what is left.
-* Rounds go through bands of lengths, longest first. What finds no gap opens sequences: first as many as the tokens left need at least, which are
-  swept like the others, then for the rest. With one length in a band this is best-fit decreasing; a band of several lengths takes its pieces at the same time.
-* Only counts reach the driver. Every round is stored, so a lost executor costs a round at most.
+* Pieces are sorted by range of length, so that no length, however common, ends up in one task, and get a rank within their length.
+* One round per length, longest first: all pieces of that length look up their successor, the smallest gap that holds them. Claims to the same gap
+  are settled by rank: gap ``i`` of a class takes the next ``gap // length`` ranks. The gaps are updated, and pieces that find none open sequences.
+  This gives what best-fit decreasing gives, piece by piece.
+* Lengths and gaps are at most the capacity, so a round works on classes: counts per length (at most ``capacity`` numbers) are all that reaches
+  the driver. What comes back are blocks of ranks, which are expanded on the executors to one slot per piece and joined on (length, rank).
 
 Null text: empty, which is one piece with the end id alone. Repeated rows and null ids are packed like any other row. An empty table
 gives an empty result. Columns of the input are carried along; those named like an added column are replaced.
@@ -15,12 +16,12 @@ from __future__ import annotations
 
 import base64
 import re
+from bisect import bisect_left, insort
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from shelflift.llm.common import pin, small_batches
 
@@ -29,6 +30,7 @@ END_ID = 0
 RANKS, VOCABULARY, ENDING = "byte_bpe_50k.tiktoken", "byte_bpe_50k.json", "<|endoftext|>"
 # Characters on which the two libraries' classes of letters, digits and blanks are the same beyond doubt.
 _COMMON = re.compile("[\t\n\r\x20-\x7e¡-¬®-ɏ]*")
+_SLOTS = 4096
 
 
 def encoder():
@@ -85,119 +87,71 @@ def pieces(df: DataFrame, text_col: str = "text", capacity: int = CAPACITY) -> D
     return df.select(*[F.col(f"`{c}`") for c in kept], F.col(text_col).cast("string").alias("_text_to_read")).mapInArrow(run, schema)
 
 
-def bands(capacity: int) -> list[tuple[int, int]]:
-    """Ranges (above, to) of lengths, longest first. Pieces of the first share no sequence; later ones are a quarter of their end wide, or a 64th of the capacity."""
-    out, to = [(capacity // 2, capacity)], capacity // 2
-    while to:
-        out.append((max(to - max(to // 4, capacity // 64, 1), 0), to))
-        to = out[-1][0]
-    return out
-
-
-def _running(rows: DataFrame, order: list[str], weight: Column) -> DataFrame:
-    """``rows``, sorted by range of ``order`` (a key of theirs), with the running sum ``_level`` of ``weight``.
-
-    What tasks tell one another is a sum per task.
-    """
-    ranged = pin(rows.withColumn("_weight", weight).repartitionByRange(*order).withColumn("_part", F.spark_partition_id()), "ranged")
-    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    sums = ranged.groupBy("_part").agg(F.sum("_weight").alias("_sum")).select(
-        "_part", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_before"))
-    within = Window.partitionBy("_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    # One row per task of the sort.
-    return ranged.join(F.broadcast(sums), "_part").withColumn("_level", F.col("_before") + F.sum("_weight").over(within)).drop(
-        "_part", "_before", "_weight")
-
-
-def sweep(left: DataFrame, gaps: DataFrame, above: int, to: int, each: int) -> DataFrame:
-    """One round: (key, length) of ``left``, all above ``above`` and at most ``to``, against (sequence_id, gap).
-
-    Every row of ``left`` comes back, with sequence_id, gap and nth (the place in the gap) if it found a place.
-    A gap offers as many places as it has room for pieces of length ``to`` (``each`` at most), or one. Pieces and places lie in one order of size. Going up,
-    a piece adds one to the level and a place takes one off: the place that brings the level back below a piece is its successor, that is
-    the smallest that no longer piece takes, ties by rank. Each size crosses a level once at most in each direction, so the
-    rows of a level are bounded by the capacity, however many rows have the same length.
-    """
-    places = gaps.filter(F.col("gap") > above).withColumn("nth", F.explode(F.sequence(F.lit(1), F.least(
-        F.greatest(F.floor(F.col("gap") / to), F.lit(1)), F.lit(each)).cast("int"))))
-    rows = left.select(F.col("length").alias("size"), F.lit(0).alias("place"), "key", F.lit(0).alias("nth")).unionByName(
-        places.select(F.col("gap").alias("size"), F.lit(1).alias("place"), F.col("sequence_id").alias("key"), "nth"))
-    levels = _running(rows, ["size", "place", "key", "nth"], F.lit(1) - 2 * F.col("place"))
-    following = Window.partitionBy(F.col("_level") + F.col("place")).orderBy("size", "place")
-    return levels.select("key", F.col("size").alias("length"), "place", F.lead("key").over(following).alias("sequence_id"),
-                         F.lead("size").over(following).alias("gap"), F.lead("nth").over(following).alias("nth")).filter("place = 0").drop("place")
-
-
-def open_full(left: DataFrame, first: int, to: int, capacity: int) -> DataFrame:
-    """New sequences from ``first`` on for all of ``left``, longest first, as many pieces in each as of length ``to`` fit. Columns as of ``sweep``."""
-    each = capacity // to
-    ranked = _running(left.withColumn("short", -F.col("length")), ["short", "key"], F.lit(1))
-    return ranked.select("key", "length", (F.lit(first) + F.expr(f"(_level - 1) div {each}")).alias("sequence_id"),
-                         F.lit(capacity).cast("long").alias("gap"), ((F.col("_level") - 1) % each).cast("int").alias("nth"))
-
-
-def match(pieces: DataFrame, capacity: int) -> DataFrame | None:
-    """(key, sequence_id, offset) for every (key, length), which are stored; none for no rows.
-
-    The driver decides on rounds by counts, sums and maxima; pieces and gaps stay in tables.
-    """
-    spark = pieces.sparkSession
-    limits = bands(capacity)
-    band = F.coalesce(*[F.when(F.col("length") > above, F.lit(i)) for i, (above, _) in enumerate(limits)])
-    figures = [F.count("*").alias("n"), F.sum("length").alias("total"), F.max("length").alias("longest")]
-    sizes = {r["band"]: r for r in pieces.groupBy(band.alias("band")).agg(*figures).collect()}
-    gaps = spark.createDataFrame([], "sequence_id long, gap long")
-    done, opened = [], 0
-
-    def settle(found: DataFrame, others: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """A round's result is stored; what found no place, and the gaps after it."""
-        found = pin(found.withColumn("round", F.lit(len(done))), "found")
-        done.append(found)
-        used = found.filter("sequence_id IS NOT NULL").groupBy("sequence_id").agg(F.sum("length").alias("used"), F.first("gap").alias("had"))
-        rest = used.select("sequence_id", (F.col("had") - F.col("used")).alias("gap"))
-        if others is not None:
-            rest = others.join(used, "sequence_id", "left_anti").unionByName(rest)
-        return found.filter("sequence_id IS NULL").select("key", "length"), pin(rest.filter("gap > 0"), "gaps")
-
-    for above, to, size in [(*limits[i], sizes[i]) for i in sorted(sizes)]:
-        left = pieces.filter((F.col("length") > above) & (F.col("length") <= to))
-        # Once with the gaps there are; then with as many new sequences as the tokens left need at least.
-        for new in (False, True) if 2 * to <= capacity else ():
-            if new and size["n"] and to - above > 1 and size["n"] > capacity // size["longest"]:
-                more = -(-size["total"] // capacity)
-                gaps = gaps.unionByName(spark.range(opened, opened + more).select(
-                    F.col("id").alias("sequence_id"), F.lit(capacity).cast("long").alias("gap")))
-                opened += more
-            elif new:
-                # One sequence holds them, or they are equally long.
-                break
-            placed = before = size["n"]
-            while size["n"] and 4 * placed >= before:
-                room = gaps.filter(F.col("gap") > above).count()
-                if not room:
-                    break
-                before, each = size["n"], min(capacity // size["longest"], 16 + 4 * size["n"] // room)
-                left, gaps = settle(sweep(left, gaps, above, size["longest"], each), gaps)
-                size = left.agg(*figures).first()
-                placed = before - size["n"]
-        if size["n"]:
-            left, rest = settle(open_full(left, opened, size["longest"], capacity), None)
-            gaps = pin(gaps.unionByName(rest), "gaps") if done[1:] else rest
-            opened += -(-size["n"] // (capacity // size["longest"]))
-    if not done:
-        return None
-    placed = reduce(DataFrame.unionByName, done).filter("sequence_id IS NOT NULL")
-    before = Window.partitionBy("sequence_id", "round").orderBy("nth").rowsBetween(Window.unboundedPreceding, -1)
-    return placed.select("key", "sequence_id", (
-        F.lit(capacity) - F.col("gap") + F.coalesce(F.sum("length").over(before), F.lit(0))).alias("offset"))
+def rounds(counts: dict[int, int], capacity: int) -> list[tuple[int, int, int, int, int, int]]:
+    """Blocks (length, first rank, pieces, first sequence, pieces per sequence, offset) from the number of pieces of each length."""
+    gaps: dict[int, list[tuple[int, int]]] = {}  # gap -> runs (first sequence, sequences) with that much room
+    order: list[int] = []
+    blocks, opened = [], 0
+
+    def add(gap: int, first: int, n: int) -> None:
+        if n and gap:
+            if gap not in gaps:
+                gaps[gap] = []
+                insort(order, gap)
+            gaps[gap].append((first, n))
+
+    for length in sorted(counts, reverse=True):
+        rank, total = 0, counts[length]
+        while rank < total:
+            i = bisect_left(order, length)
+            if i < len(order):
+                gap = order[i]
+                first, n = gaps[gap].pop()
+                if not gaps[gap]:
+                    del gaps[gap]
+                    order.pop(i)
+            else:
+                gap = capacity
+                first, n = opened, -(-(total - rank) // (capacity // length))
+                opened += n
+            each = gap // length
+            used = min(n, -(-(total - rank) // each))
+            placed = min(total - rank, used * each)
+            add(gap, first + used, n - used)
+            blocks.append((length, rank, placed, first, each, capacity - gap))
+            full, rest = divmod(placed, each)
+            add(gap - each * length, first, full)
+            if rest:
+                add(gap - rest * length, first + full, 1)
+            rank += placed
+    return blocks
+
+
+def _slots(spark: SparkSession, blocks: list[tuple[int, int, int, int, int, int]]) -> DataFrame:
+    """One row (length, rank, sequence_id, offset) per piece; large blocks are spread before they are expanded."""
+    names = ["length", "first_rank", "n", "first", "each", "base"]
+    columns = np.array(blocks, np.int64).reshape(-1, len(names)).T
+    table = spark.createDataFrame(pa.table({name: pa.array(c) for name, c in zip(names, columns)}))
+    parts = table.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(n - 1) div {_SLOTS}"))))
+    each = parts.repartition("length", "first_rank", "part").withColumn("j", F.explode(F.sequence(
+        F.col("part") * _SLOTS, F.least("n", (F.col("part") + 1) * _SLOTS) - 1)))
+    return each.select(
+        "length", (F.col("first_rank") + F.col("j")).alias("rank"), (F.col("first") + F.expr("j div each")).alias("sequence_id"),
+        (F.col("base") + F.col("j") % F.col("each") * F.col("length")).alias("offset"))
 
 
 def pack(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """``cut`` with sequence_id and offset. It has a column length (1 to ``capacity``), and is read more than once, so it should be stored."""
     keyed = cut.drop("sequence_id", "offset")
-    numbered = pin(keyed.withColumn("_key", F.monotonically_increasing_id()), "numbered")
-    places = match(numbered.select(F.col("_key").alias("key"), F.col("length").cast("long").alias("length")), capacity)
-    if places is None:
-        return numbered.select(*[F.col(f"`{c}`") for c in keyed.columns], F.lit(0).cast("long").alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
-    placed = numbered.join(places.withColumnRenamed("key", "_key"), "_key")
-    return placed.select(*[F.col(f"`{c}`") for c in keyed.columns], "sequence_id", "offset")
+    ranged = pin(keyed.withColumn("_key", F.monotonically_increasing_id()).repartitionByRange("length", "_key")
+                 .withColumn("_part", F.spark_partition_id()), "ranged")
+    parts = pin(ranged.groupBy("_part", "length").agg(F.count("*").alias("_n")), "lengths")
+    before = Window.partitionBy("length").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    first = parts.select("_part", "length", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_first"))
+    within = Window.partitionBy("_part", "length").orderBy("_key")
+    ranked = ranged.withColumn("_place", F.row_number().over(within) - 1).join(first, ["_part", "length"])
+    counts = {r["length"]: r["n"] for r in parts.groupBy("length").agg(F.sum("_n").alias("n")).collect()}
+    slots = _slots(cut.sparkSession, rounds(counts, capacity))
+    # There are as many slots as pieces, though what Spark sees of them is the size of the blocks: merge, never broadcast.
+    placed = ranked.withColumn("rank", F.col("_first") + F.col("_place")).join(slots.hint("merge"), ["length", "rank"])
+    return placed.select(*keyed.columns, "sequence_id", "offset")
