@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from shelflift.functions.columns import deal
 from shelflift.params import Params
 from shelflift.schema import EXCLUDED_DEPARTMENTS, NO_COMMODITY, NOT_PLACED
 
@@ -45,8 +46,12 @@ def clean_transactions(tx: DataFrame, product: DataFrame) -> DataFrame:
 
 
 def clean_promotions(causal: DataFrame) -> DataFrame:
-    """One row per product, store and week. Codes are any text and compare as text, so any placement wins over '0'."""
-    best = causal.groupBy("product_id", "store_id", "week_no").agg(F.max("display").alias("display"), F.max("mailer").alias("mailer"))
+    """One row per product, store and week. Codes are any text and compare as text, so any placement wins over '0'.
+
+    The largest text takes a sort. Placements hardly repeat, so they are dealt first and sorted once, in parts, not also in front of the exchange.
+    """
+    keys = ["product_id", "store_id", "week_no"]
+    best = deal(causal.select(*keys, "display", "mailer"), *keys).groupBy(*keys).agg(F.max("display").alias("display"), F.max("mailer").alias("mailer"))
     return best.withColumns({
         "on_display": F.col("display") != NOT_PLACED,
         "in_mailer": F.col("mailer") != NOT_PLACED,
@@ -64,16 +69,19 @@ def weekly_product_store_sales(
     """One row per product, store and week with a sale, with the week's promotion flags.
 
     Purchases are summed on the three keys before anything is joined: the shuffle carries three numbers
-    as key instead of category names, and a best-selling product is reduced to its store-weeks first. What is
-    no merchandise goes before the promotions are joined.
+    as key instead of category names. They are dealt by these keys once; a distinct count would by itself take an exchange with the
+    household and a second one without. What is no merchandise goes before the promotions are joined.
     """
+    keys = ["product_id", "store_id", "week_no"]
+    lines = sold_lines(tx).where(F.col("product_id").isNotNull()).select(
+        *keys, "household_key", "quantity", "sales_value", _discount().alias("discount"))
     weekly = (
-        sold_lines(tx)
-        .groupBy("product_id", "store_id", "week_no")
+        deal(lines, *keys)
+        .groupBy(*keys)
         .agg(
             F.sum("quantity").alias("units"),
             F.sum("sales_value").alias("sales"),
-            F.sum(_discount()).alias("discount"),
+            F.sum("discount").alias("discount"),
             F.countDistinct("household_key").alias("households"),
         )
     )

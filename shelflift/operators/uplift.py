@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from shelflift.functions.columns import count_where, label, ratio, sum_where
+from shelflift.functions.columns import count_where, deal, label, ratio, sum_where
 from shelflift.functions.intervals import clustered_total_ci
 from shelflift.params import Params
 from shelflift.schema import (
@@ -73,7 +73,7 @@ def promotion_timeline(weeks: DataFrame, promotions: DataFrame, p: Params) -> Da
         (F.col("on_display") | F.col("in_mailer")) & F.col("week_no").between(p.first_week, p.last_week)
     ).select(*PAIR, "week_no", "display", "mailer", promo_type().alias("promo_type"))
     sold = weeks.select(*PAIR, "week_no", *CATEGORY, "discount", "adj_sales")
-    rows = sold.unionByName(promoted, allowMissingColumns=True).repartition(*PAIR)
+    rows = deal(sold.unionByName(promoted, allowMissingColumns=True), *PAIR)
     values = [*CATEGORY, "discount", "adj_sales", "display", "mailer", "promo_type"]
     return rows.groupBy(*PAIR, "week_no").agg(*[F.max(v).alias(v) for v in values])
 
