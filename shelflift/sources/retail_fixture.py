@@ -220,8 +220,9 @@ class RetailTables(Mapping):
             return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
         def read_lines(*columns: str) -> DataFrame:
-            # The test files hold a single row group, which one task would read and derive everything from.
-            return read("lineitem").select(*columns).repartition(spark.sparkContext.defaultParallelism)
+            # A small test file holds a single row group, which one task would read and derive everything from. Larger ones are read in enough splits.
+            lines, tasks = read("lineitem").select(*columns), spark.sparkContext.defaultParallelism
+            return lines if lines.rdd.getNumPartitions() >= tasks else lines.repartition(tasks)
 
         self._build = {
             "transaction_data": lambda: transaction_data(read_lines(

@@ -57,3 +57,15 @@ def test_timeline_keeps_the_number_of_partitions(frame, spark):
     timeline = uplift.pair_timeline(uplift.promotion_timeline(weekly, promotions, Params()), Params())
     assert timeline.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
     assert [(r.week_no, r.promoted, r.department) for r in timeline.orderBy("week_no").collect()] == [(10, False, "A"), (11, True, "A")]
+
+
+def test_lines_read_in_enough_splits_are_not_dealt_again(spark, tmp_path):
+    days = [dt.datetime(1996, 1, 1) + dt.timedelta(days=100 * i) for i in range(12)]
+    lines = spark.createDataFrame([(i, 10 * i, 1, days[i]) for i in range(12)], "l_orderkey long, l_partkey long, l_linenumber int, l_shipdate timestamp_ntz")
+    part = spark.createDataFrame([(10 * i, "LARGE", 5) for i in range(12)], "p_partkey long, p_type string, p_size int")
+    for folder, files in (("few", 1), ("many", 12)):
+        lines.repartition(files).write.parquet(str(tmp_path / folder / "lineitem.parquet"))
+        part.write.parquet(str(tmp_path / folder / "part.parquet"))
+    few, many = (retail_tables(spark, str(tmp_path / folder))._build["causal_data"]() for folder in ("few", "many"))
+    assert "RoundRobin" in plan_of(few) and "RoundRobin" not in plan_of(many)
+    assert few.exceptAll(many).isEmpty() and many.exceptAll(few).isEmpty() and few.count() > 0
