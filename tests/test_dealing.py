@@ -59,6 +59,18 @@ def test_timeline_keeps_the_number_of_partitions(frame, spark):
     assert [(r.week_no, r.promoted, r.department) for r in timeline.orderBy("week_no").collect()] == [(10, False, "A"), (11, True, "A")]
 
 
+def test_counts_of_trips_and_households_send_no_line_twice_over(frame):
+    rows = [("A", "X", 1, 1, 1), ("A", "X", 1, 1, 1), ("A", "X", 1, 2, 1), ("A", "X", 1, 2, 2), ("A", "X", 1, None, 3), ("A", "X", 1, 3, None),
+            (None, "X", None, 1, 1), (None, "X", None, 2, 1)]
+    lines = frame("department string, commodity_desc string, week_no int, basket_id bigint, household_key int, quantity int, "
+                  "sales_value decimal(10,2), retail_disc decimal(10,2), coupon_disc decimal(10,2), coupon_match_disc decimal(10,2)",
+                  [(*r, 2, D("1.50"), D("0.10"), D("0.20"), D("0.00")) for r in rows])
+    weekly = clean.weekly_category_sales(lines)
+    assert "Expand" not in plan_of(weekly)
+    assert {tuple(r) for r in weekly.collect()} == {
+        ("A", "X", 1, D("9.00"), 12, D("1.80"), 3, 3), (None, "X", None, D("3.00"), 4, D("0.60"), 2, 1)}
+
+
 def test_lines_read_in_enough_splits_are_not_dealt_again(spark, tmp_path):
     days = [dt.datetime(1996, 1, 1) + dt.timedelta(days=100 * i) for i in range(12)]
     lines = spark.createDataFrame([(i, 10 * i, 1, days[i]) for i in range(12)], "l_orderkey long, l_partkey long, l_linenumber int, l_shipdate timestamp_ntz")
