@@ -10,7 +10,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from shelflift.functions.columns import count_where
+from shelflift.functions.columns import count_where, deal
 from shelflift.schema import NO_COMMODITY
 
 Tables = Mapping[str, DataFrame]
@@ -122,11 +122,12 @@ def dq_report(tables: Tables, checks: Iterable[str] = tuple(CHECKS)) -> DataFram
 
 
 def dq_causal_conflicts(causal: DataFrame) -> DataFrame:
-    """Repeated placement keys: how many are exact copies and how many disagree."""
-    versions = causal.groupBy("product_id", "store_id", "week_no", "display", "mailer").agg(
+    """Repeated placement keys: how many are exact copies and how many disagree. One exchange, by the key, serves both counts."""
+    key = ["product_id", "store_id", "week_no"]
+    versions = deal(causal.select(*key, "display", "mailer"), *key).groupBy(*key, "display", "mailer").agg(
         F.count(F.lit(1)).alias("copies")
     )
-    keys = versions.groupBy("product_id", "store_id", "week_no").agg(
+    keys = versions.groupBy(*key).agg(
         F.sum("copies").alias("rows"), F.count(F.lit(1)).alias("versions")
     )
     repeated, conflicting = F.col("rows") > 1, F.col("versions") > 1
