@@ -18,7 +18,7 @@ from shelflift.params import Params
 from shelflift.sources.published import Publication
 
 WEEK, NO_WEEK = "week_no", "__HIVE_DEFAULT_PARTITION__"
-# Per table, the columns after the week by which its files are cut; together they tell the rows of a large week apart.
+# Per table, the columns after the week by whose hash it is dealt into files, each sorted by them; together they tell the rows of a large week apart.
 CUT_BY = {
     "transactions": ("basket_id", "product_id"),
     "promotions": ("product_id", "store_id"),
@@ -67,9 +67,13 @@ def refresh_weeks(
     def changed(name: str, which: set | None) -> DataFrame:
         return raw[name] if which is None else raw[name].where(_in(which))
 
-    def store(table: str, df: DataFrame, part: str = "") -> None:
+    def store(table: str, df: DataFrame, among: set | None = weeks, part: str = "") -> None:
         path = f"{version}/{table}{part}"
-        rows = df.repartitionByRange(WEEK, *CUT_BY[table]).sortWithinPartitions(WEEK, *CUT_BY[table])
+        # Dealt by week and part, not by range: a range exchange samples its input first, which computes the table twice. A week has so many parts
+        # that all tasks have work, also where one week is refreshed.
+        tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        parts = -(-tasks // max(1, params.last_week + 1 if among is None else len(among)))
+        rows = df.repartition(tasks, WEEK, F.pmod(F.hash(*CUT_BY[table]), F.lit(parts))).sortWithinPartitions(WEEK, *CUT_BY[table])
         rows.withColumn("week", F.col(WEEK)).write.partitionBy("week").parquet(path)
         spark.createDataFrame([], df.schema).write.parquet(f"{path}-schema")
         after[f"{table}/schema"] = f"{path}-schema"
@@ -88,7 +92,7 @@ def refresh_weeks(
     again = set() if weeks is None else _weeks_of_changed_stores(spark, before, after, stores) - weeks
     if again:
         promotions = _read(spark, after, "promotions").where(_in(again))
-        store("weekly_product_store_sales", sales(changed("transaction_data", again), promotions), "-again")
+        store("weekly_product_store_sales", sales(changed("transaction_data", again), promotions), again, "-again")
     published.publish(after)
     return week_tables(spark, out)
 

@@ -71,6 +71,13 @@ def test_counts_of_trips_and_households_send_no_line_twice_over(frame):
         ("A", "X", 1, D("9.00"), 12, D("1.80"), 3, 3), (None, "X", None, D("3.00"), 4, D("0.60"), 2, 1)}
 
 
+def test_placement_conflicts_take_one_exchange(frame):
+    rows = [(1, 1, 9, "0", "A"), (1, 1, 9, "0", "A"), (2, 1, 9, "0", "A"), (2, 1, 9, "0", None), (None, 1, 9, "0", "A"), (3, 1, 9, "0", "A")]
+    found = quality.dq_causal_conflicts(frame(CAUSAL, rows))
+    assert plan_of(found).count(HASHED) == 1
+    assert tuple(found.first()) == (2, 1, 1)
+
+
 def test_lines_read_in_enough_splits_are_not_dealt_again(spark, tmp_path):
     days = [dt.datetime(1996, 1, 1) + dt.timedelta(days=100 * i) for i in range(12)]
     lines = spark.createDataFrame([(i, 10 * i, 1, days[i]) for i in range(12)], "l_orderkey long, l_partkey long, l_linenumber int, l_shipdate timestamp_ntz")
@@ -81,3 +88,20 @@ def test_lines_read_in_enough_splits_are_not_dealt_again(spark, tmp_path):
     few, many = (retail_tables(spark, str(tmp_path / folder))._build["causal_data"]() for folder in ("few", "many"))
     assert "RoundRobin" in plan_of(few) and "RoundRobin" not in plan_of(many)
     assert few.exceptAll(many).isEmpty() and many.exceptAll(few).isEmpty() and few.count() > 0
+
+
+def test_a_refresh_samples_nothing(frame, tmp_path, monkeypatch):
+    spark = frame("a int", []).sparkSession
+    raw = {"transaction_data": frame(TX, [line(b, 1, week=w) for b in range(40) for w in (10, 11, None)]),
+           "causal_data": frame(CAUSAL, [(1, 1, 10, "3", "0")]), "product": frame(PRODUCT, [(1, 1, "GROCERY", "National", "BREAD", "RYE", "1 OZ")])}
+
+    def fail(*args):
+        raise AssertionError("a range exchange computes its input twice")
+
+    monkeypatch.setattr(DataFrame, "repartitionByRange", fail)
+    refresh_weeks(spark, raw, str(tmp_path / "out"), params=Params())
+    tables = refresh_weeks(spark, raw, str(tmp_path / "out"), [10], Params())
+    assert sorted((r.week_no or 0, r["count"]) for r in tables["transactions"].groupBy("week_no").count().collect()) == [(0, 40), (10, 40), (11, 40)]
+    assert sorted((r.week_no or 0, r.units, r.promo_tracked) for r in tables["weekly_product_store_sales"].collect()) == [(0, 40, None), (10, 40, True), (11, 40, True)]
+    # A week that is refreshed alone is dealt to all tasks.
+    assert len({r.f for r in tables["transactions"].where("week_no = 10").selectExpr("input_file_name() AS f").collect()}) > 1
