@@ -39,6 +39,8 @@ class Layers:
         self.raw, self.p, self.store = raw, params, store.rstrip("/") if store else None
         self._cache: dict[str, DataFrame] = {}
         self._reused: dict[str, str] = {}
+        self._lazy: set[str] = set()
+        self._pinned = {name for name, table in TABLES.items() if table.pinned}
         self._locks = {name: RLock() for name in TABLES}
 
     def path(self, name: str) -> str:
@@ -55,11 +57,21 @@ class Layers:
                 df, layout = table.build(self), {"cluster_by": table.cluster_by, "bucket_by": table.bucket_by, "dealt": True}
                 if self.store and table.stored:
                     df = materialize(df, self.path(name), **layout)
-                elif table.pinned:
+                elif name in self._pinned:
                     df = materialize(df, scratch_path(df.sparkSession, name), **(layout if table.bucket_by else {}))
+                else:
+                    self._lazy.add(name)
                 self._cache[name] = df
             return self._cache[name]
 
+    def pin(self, name: str) -> None:
+        """Write a table to the scratch folder when it is next asked for, as several readers of it are about to be built."""
+        with self._locks[name]:
+            self._pinned.add(name)
+            if name in self._lazy:
+                self._lazy.discard(name)
+                del self._cache[name]
+
     def store_all(self, names: Sequence[str], at_once: int = 4) -> None:
         """Build and store tables, several at a time. A table that another needs first is built by whoever asks for it first; the others wait for it."""
         in_thread = inheritable_thread_target(next(iter(self.raw.values())).sparkSession)
@@ -96,6 +108,15 @@ def _campaign_results(L: Layers) -> DataFrame:
     return campaign.campaign_results(designs, L["campaign_overview"])
 
 
+def _bi_row_counts(L: Layers) -> DataFrame:
+    """The views go through the trips in seven ways, so these are summed once, and what the views need is built at the same time, the longest first."""
+    views = {"dim_week": "dim_week", "fact_baskets": "fact_baskets", "fact_category_week": "fact_category_week", "dim_household": "dim_household",
+             "promo_uplift": "bi_promo_uplift", "promo_cannibalisation": "bi_promo_cannibalisation", "campaign_results": "bi_campaign_results"}
+    L.pin("baskets")
+    L.store_all(["bi_promo_uplift", "did_never", "dim_household", "did_other", *views.values()])
+    return bi.bi_row_counts({view: L[name] for view, name in views.items()})
+
+
 # How the large tables of product, store and week are laid out, so that a reader of some products skips the rest.
 PAIR_WEEK = ("product_id", "store_id", "week_no")
 PAIR = ("product_id", "store_id")
@@ -196,10 +217,7 @@ TABLES: dict[str, Table] = {
     "bi_promo_cannibalisation": Table("bi", lambda L: cannibal.bi_promo_cannibalisation(
         L["cannibalisation_summary"]), True),
     "bi_campaign_results": Table("bi", lambda L: L["campaign_did"].select("*"), True),
-    "bi_row_counts": Table("bi", lambda L: bi.bi_row_counts({
-        "dim_week": L["dim_week"], "fact_baskets": L["fact_baskets"], "fact_category_week": L["fact_category_week"],
-        "dim_household": L["dim_household"], "promo_uplift": L["bi_promo_uplift"],
-        "promo_cannibalisation": L["bi_promo_cannibalisation"], "campaign_results": L["bi_campaign_results"]})),
+    "bi_row_counts": Table("bi", _bi_row_counts),
     # weekly report
     "latest_complete_week": Table("report", lambda L: weekly.latest_complete_week(L["dim_week"])),
     "weekly_category_report": Table("report", lambda L: weekly.weekly_category_report(

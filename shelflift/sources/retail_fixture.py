@@ -7,6 +7,7 @@ so that another engine can derive identical rows. See FIXTURES.md for the defini
 from __future__ import annotations
 
 from collections.abc import Mapping
+from threading import RLock
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -206,6 +207,7 @@ def hh_demographic(customer: DataFrame) -> DataFrame:
 
 # Folder of each derived table, by application, data folder and table.
 _LOADED: dict[tuple[str, str, str], str] = {}
+_LOADING: dict[tuple[str, str, str], RLock] = {}
 
 
 class RetailTables(Mapping):
@@ -241,10 +243,12 @@ class RetailTables(Mapping):
 
     def __getitem__(self, name: str) -> DataFrame:
         key = (self._spark.sparkContext.applicationId, self._sf_dir, name)
-        if key not in _LOADED:
-            path = scratch_path(self._spark, f"raw-{name}")
-            self._build[name]().write.parquet(path)
-            _LOADED[key] = path
+        # Threads that build layers at the same time load a table once.
+        with _LOADING.setdefault(key, RLock()):
+            if key not in _LOADED:
+                path = scratch_path(self._spark, f"raw-{name}")
+                self._build[name]().write.parquet(path)
+                _LOADED[key] = path
         return self._spark.read.parquet(_LOADED[key])
 
     def __iter__(self):

@@ -2,13 +2,17 @@
 
 import datetime as dt
 import re
+import time
+from concurrent.futures import ThreadPoolExecutor
 from decimal import Decimal as D
 
 from pyspark.sql import DataFrame
 
+from shelflift.functions import ranking
 from shelflift.functions.columns import deal
 from shelflift.operators import clean, quality, uplift
 from shelflift.params import Params
+from shelflift.plans.layers import Layers
 from shelflift.plans.refresh import refresh_weeks
 from shelflift.schema import SOURCE_TABLES
 from shelflift.sources.retail_fixture import retail_tables
@@ -105,3 +109,52 @@ def test_a_refresh_samples_nothing(frame, tmp_path, monkeypatch):
     assert sorted((r.week_no or 0, r.units, r.promo_tracked) for r in tables["weekly_product_store_sales"].collect()) == [(0, 40, None), (10, 40, True), (11, 40, True)]
     # A week that is refreshed alone is dealt to all tasks.
     assert len({r.f for r in tables["transactions"].where("week_no = 10").selectExpr("input_file_name() AS f").collect()}) > 1
+
+
+def test_row_counts_sum_the_trips_once(frame):
+    raw = {"transaction_data": frame(TX, [line(1, 1), line(1, 1), line(2, 1, household=2), line(3, 1, week=11), line(4, 2)]),
+           "product": frame(PRODUCT, [(1, 1, "GROCERY", "National", "BREAD", "RYE", "1 OZ")])}
+    layers, one = Layers(raw, Params()), frame("campaign_type string", [("TypeA",)])
+    for name in ("bi_promo_uplift", "did_never", "dim_household", "did_other", "bi_promo_cannibalisation", "bi_campaign_results"):
+        layers.take(name, one)
+    # A lazy table of an earlier query does not keep the trips from being stored.
+    assert "hashpartitioning(basket_id" in plan_of(layers["baskets"])
+    counts = layers["bi_row_counts"]
+    assert "hashpartitioning(basket_id" not in plan_of(counts)
+    assert [tuple(r) for r in counts.collect()] == [
+        ("dim_week", 2), ("fact_baskets", 3), ("fact_category_week", 2), ("dim_household", 1), ("promo_uplift", 1),
+        ("promo_cannibalisation", 1), ("campaign_results", 1)]
+
+
+def test_cuts_are_searched_not_passed_through(frame):
+    cuts, ties = [-2.0, 0.0, 1.5, 7.0], [10, 20, 30]
+    rows = [(v, t) for v in (None, -3.0, -2.0, -1.0, 0.0, 1.5, 6.0, 7.0, 8.0, float("nan")) for t in (5, 10, 15, 30, 31)]
+    limits = frame("g int, _value_cuts array<double>, _tie_cuts array<int>", [(1, cuts, ties)])
+    found = ranking._bucketed(frame("g int, v double, t int", [(1, *r) for r in rows]), limits, "v", "t", ["g"], 5)
+    assert "filter(_value_cuts" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+    def bucket(v, t):
+        ties_below = sum(c < t for c in ties)
+        if v is None:
+            return ties_below - 6
+        below = len(cuts) if v != v else sum(c < v for c in cuts)
+        return (below * 2 + (v in cuts)) * 6 + (ties_below if v in cuts else 0)
+
+    assert sorted((str(r.v), r.t, r._bucket) for r in found.collect()) == sorted((str(v), t, bucket(v, t)) for v, t in rows)
+    # A group with nothing but NULL has no cuts.
+    empty = frame("g int, _value_cuts array<double>, _tie_cuts array<int>", [(1, None, ties)])
+    assert [r._bucket for r in ranking._bucketed(frame("g int, v double, t int", [(1, None, 15)]), empty, "v", "t", ["g"], 5).collect()] == [-5]
+
+
+def test_threads_load_a_source_table_once(spark, tmp_path):
+    tables, built = retail_tables(spark, str(tmp_path)), []
+
+    def build():
+        built.append(1)
+        time.sleep(0.5)
+        return spark.range(3)
+
+    tables._build["product"] = build
+    with ThreadPoolExecutor(2) as pool:
+        assert [df.count() for df in pool.map(lambda _: tables["product"], range(2))] == [3, 3]
+    assert len(built) == 1
