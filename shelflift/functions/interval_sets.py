@@ -11,15 +11,17 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
-def count_upto(ascending: Column, x: Column, most: int | None = None) -> Column:
+def search_bits(ascending: Column) -> Column:
+    """The bits that a count of the array's elements takes, highest first."""
+    return F.sequence(F.length(F.bin(F.size(ascending))) - 1, F.lit(0))
+
+
+def count_upto(ascending: Column, x: Column, bits: Column | None = None) -> Column:
     """How many elements of a sorted array are at most ``x``; 0 for a NULL array or ``x``. The count is built up from its highest bit.
 
-    ``most``: no array is longer, so the bits are the same for all rows.
+    ``bits``: :func:`search_bits` of the array or of a longer one, for a caller that searches it several times.
     """
-    if most is None:
-        bits = F.sequence(F.length(F.bin(F.size(ascending))) - 1, F.lit(0))
-    else:
-        bits = F.array(*[F.lit(b) for b in reversed(range(max(1, most.bit_length())))])
+    bits = search_bits(ascending) if bits is None else bits
 
     def step(count: Column, bit: Column) -> Column:
         more = count + F.call_function("shiftleft", F.lit(1), bit)

@@ -140,3 +140,26 @@ def test_exact_sample_sizes(frame):
     stats = frame("pool string, mean_weekly_spend double, sd_weekly_spend double", [("all", 13.29, 19.41), ("none", 0.0, 1.0), ("flat", 5.0, 0.0), ("gone", None, None)])
     rows = {(r.pool, r.lift_to_detect): r.households_per_group for r in experiment.ab_sample_size_exact(stats, P).collect()}
     assert rows["all", 0.10] == 3350 and {v for k, v in rows.items() if k[0] != "all"} == {None} and len(rows) == 16
+
+
+def test_memberships_search_no_campaign_per_household(frame):
+    days = [(1, 400, 420), (2, 290, 299), (3, 200, 287), (4, 700, 719), (5, 650, 600), (6, 500, None), (7, 800, 810), (1, 480, 490)]
+    campaigns = frame(CAMPAIGNS, [(c, "TypeA", s, e) for c, s, e in days])
+    targets = {(1, 1), (2, 2), (3, 3), (4, 5), (4, 6), (5, 7), (5, 4), (6, None), (None, 2), (7, 99)}
+    index = frame("household_key int, days array<int>, upto array<decimal(38,2)>", [(h, [10], [D("1.00")]) for h in range(1, 9)])
+    found = campaign.memberships(index, campaigns, frame(TARGETS, [("TypeA", h, c) for h, c in targets]), P)
+    # Which campaigns run at the same time is worked out on the campaigns, not by sorting and searching every household's own ones.
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and "aggregate(" not in plan
+    wanted = set()
+    for h in range(1, 9):
+        own = {c for home, c in targets if home == h}
+        ran = [(s, e) for c, s, e in days if c in own and e is not None and s <= e]
+        ever = any(c in own for c, _, _ in days)
+        for c, s, e in days:
+            last = 711 if e is None else min(e, 711)
+            busy = any(a <= last and b >= s - 112 for a, b in ran)
+            if s <= 711 and (c in own or not ever or not busy):
+                wanted.add((h, c, s, last, c in own, ever, busy))
+    rows = [(r.household_key, *m) for r in found.collect() for m in r.members]
+    assert set(rows) == wanted and len(rows) == len(wanted)
